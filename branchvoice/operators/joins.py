@@ -40,3 +40,9 @@ def attach_topics(reviews: DataFrame, topics: DataFrame, default: str) -> DataFr
     """Topic name per review id, the default label without one. Both sides are large."""
     named = topics.select("id", F.col("topic_name").alias("topic"))
     return reviews.join(named, "id", "left").withColumn("topic", F.coalesce("topic", F.lit(default)))
+
+
+def topic_of(reviews: DataFrame, topics: DataFrame) -> DataFrame:
+    """One topic name per review id, whatever the number of topic rows of that id."""
+    one = topics.groupBy("id").agg(F.min("topic_name").alias("topic_name"))
+    return reviews.join(one, "id", "left")
