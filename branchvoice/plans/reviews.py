@@ -1,6 +1,6 @@
 """From raw reviews to the enriched mart."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from branchvoice.functions import dates, names, rules, scores, text
@@ -56,31 +56,34 @@ def int_reviews_cleaned(stg: DataFrame) -> DataFrame:
     return with_quality(cleaned.withColumn("avis_length_cleaned", F.length("avis_cleaned")))
 
 
-def _group_id(*cols: str):
+def _group_id(kind: str, *cols: str) -> Column:
     """Digest of several non-NULL texts; lengths in front keep their borders apart."""
     sized = [part for c in cols for part in (F.length(c).cast("string"), F.col(c))]
-    return F.sha2(F.concat_ws(":", *sized), 256)
+    return F.unhex(F.sha2(F.concat_ws(":", F.lit(kind), *sized), 256))
 
 
-def duplicate_ranks(cleaned: DataFrame, body: str = "avis_cleaned", parts: int | None = None) -> DataFrame:
-    """Rank of every id among exact copies and among near copies (same first 100 characters).
+def duplicate_keys(cleaned: DataFrame, body: str = "avis_cleaned") -> DataFrame:
+    """Two rows per review: its group of exact copies, and of near copies (same bank,
+    city and first 100 characters)."""
+    headed = cleaned.withColumn("_head", F.left(body, F.lit(100)))
+    groups = {
+        "exact": _group_id("exact", *EXACT_KEYS, body),
+        "similar": _group_id("similar", "banque", "ville", "_head"),
+    }
+    pairs = F.array(*[F.struct(F.lit(k).alias("kind"), g.alias("copies")) for k, g in groups.items()])
+    return headed.select("id", "created_at", F.inline(pairs))
 
-    Works on narrow rows: only digests, load time and id are sorted and shuffled.
-    """
-    keys = duplicate_keys(cleaned, body)
-    order = ["created_at", "id"]
-    exact = rank_in_group(keys.select("id", "created_at", "exact_group"), "exact_group", order, "duplicate_rank", parts)
-    similar = rank_in_group(keys.select("id", "created_at", "similar_group"), "similar_group", order, "similar_rank", parts)
-    return exact.select("id", "duplicate_rank").join(similar.select("id", "similar_rank"), "id")
 
+def duplicate_ranks(keys: DataFrame, parts: int | None = None) -> DataFrame:
+    """Rank of every review in its groups, earliest first.
 
-def duplicate_keys(cleaned: DataFrame, body: str = "avis_cleaned") -> DataFrame:
-    headed = cleaned.withColumn("_head", F.left(body, F.lit(100)))
-    return headed.select(
-        "id",
-        "created_at",
-        _group_id(*EXACT_KEYS, body).alias("exact_group"),
-        _group_id("banque", "ville", "_head").alias("similar_group"),
+    Works on narrow rows, both kinds in one pass: only digests, load time and id are
+    sorted and shuffled.
+    """
+    ranked = rank_in_group(keys, "copies", ["created_at", "id"], "rank", parts)
+    rank = {kind: F.max(F.when(F.col("kind") == kind, F.col("rank"))) for kind in ("exact", "similar")}
+    return ranked.groupBy("id").agg(
+        rank["exact"].alias("duplicate_rank"), rank["similar"].alias("similar_rank")
     )
 
 
@@ -100,9 +103,9 @@ def dedup_decision(ranked: DataFrame) -> DataFrame:
 
 def int_reviews_deduplicated(cleaned: DataFrame, body: str = "avis_cleaned", parts: int | None = None) -> DataFrame:
     """All reviews with content hash, both ranks, flags and decision; drops nothing."""
-    # Read three times below (two rankings and the final join): write it once.
+    # Read for the ranking and for the final join: clean every text once.
     cleaned = stored(cleaned, "cleaned")
-    ranked = cleaned.join(duplicate_ranks(cleaned, body, parts), "id")
+    ranked = cleaned.join(duplicate_ranks(duplicate_keys(cleaned, body), parts), "id")
     hashed = ranked.withColumn("content_hash", F.md5(F.concat(*EXACT_KEYS, body)))
     return dedup_decision(hashed)
 

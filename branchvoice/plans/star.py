@@ -1,5 +1,6 @@
 """Star schema over the enriched mart."""
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,8 +12,6 @@ from branchvoice.operators.joins import lookup_join, lookup_key
 from branchvoice.operators.ranking import number_rows
 from branchvoice.operators.storage import stored
 
-UNKNOWN_KEY = -1
-
 
 def _stamped(df: DataFrame, as_of: str) -> DataFrame:
     return df.withColumn("created_at", F.to_timestamp(F.lit(as_of)))
@@ -93,7 +92,7 @@ def dim_topic(mart: DataFrame, as_of: str) -> DataFrame:
 
 @dataclass
 class Star:
-    """The mart and its dimensions, each written once."""
+    """The mart, written once, and its dimensions, whose keys are written once."""
 
     mart: DataFrame
     bank: DataFrame
@@ -106,15 +105,16 @@ class Star:
 
 def star_schema(mart: DataFrame, as_of: str) -> Star:
     mart = stored(mart, "mart")
-    return Star(
-        mart=mart,
-        bank=stored(dim_bank(mart, as_of), "dim"),
-        branch=stored(dim_branch(mart, as_of), "dim"),
-        location=stored(dim_location(mart, as_of, keep_address=True), "dim"),
-        sentiment=dim_sentiment(mart.sparkSession, as_of),
-        topic=stored(dim_topic(mart, as_of), "dim"),
-        as_of=as_of,
-    )
+    builders = {"bank": dim_bank, "branch": dim_branch, "location": _full_location, "topic": dim_topic}
+    # Independent small jobs: submitted together, so they share the cluster.
+    with ThreadPoolExecutor(len(builders)) as pool:
+        running = {name: pool.submit(build, mart, as_of) for name, build in builders.items()}
+        dims = {name: job.result() for name, job in running.items()}
+    return Star(mart=mart, sentiment=dim_sentiment(mart.sparkSession, as_of), as_of=as_of, **dims)
+
+
+def _full_location(mart: DataFrame, as_of: str) -> DataFrame:
+    return dim_location(mart, as_of, keep_address=True)
 
 
 def _reviews(mart: DataFrame) -> DataFrame:

@@ -1,13 +1,13 @@
 """Topic model: one distributed LDA per language over TF-IDF vectors."""
 
-from math import ceil
+from math import ceil, log
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.clustering import LDA, LDAModel
-from pyspark.ml.feature import IDF, CountVectorizer, ElementwiseProduct, NGram, Normalizer, SQLTransformer
+from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import DenseVector
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from branchvoice.functions import names
@@ -23,7 +23,7 @@ PASSES = 10
 BATCH = 128
 # Every iteration reads the stored vectors once. A small corpus is cut into batches of
 # BATCH documents; a large one into this many, so that reads stay bounded.
-MAX_BATCHES = 10
+MAX_BATCHES = 5
 OTHER_LABEL = {"fr": "Topic", "ar": "موضوع"}
 
 
@@ -38,27 +38,48 @@ def prep_corpus(corpus: DataFrame, lang: str) -> DataFrame:
     return words.filter(F.length(F.array_join("words", " ")) > 5)
 
 
-def vectorizer() -> Pipeline:
-    """Counts of single words and pairs: in 2 documents or more, at most 80 %, top 1000."""
-    return Pipeline(
-        stages=[
-            NGram(n=2, inputCol="words", outputCol="pairs"),
-            SQLTransformer(statement="SELECT *, concat(words, pairs) AS terms FROM __THIS__"),
-            CountVectorizer(inputCol="terms", outputCol="counts", minDF=2.0, maxDF=0.8, vocabSize=1000),
-            IDF(inputCol="counts", outputCol="_idf"),
-        ]
+def terms(words: Column) -> Column:
+    """Single words and pairs of neighbours."""
+    pairs = F.zip_with(
+        F.slice(words, F.lit(1), F.size(words) - 1),
+        F.slice(words, F.lit(2), F.size(words) - 1),
+        lambda a, b: F.concat_ws(" ", a, b),
     )
+    return F.concat(words, pairs)
 
 
-def tfidf(fitted: PipelineModel, docs: DataFrame) -> DataFrame:
-    """Counts times (idf + 1), scaled to unit length. One driver-side vector of weights
-    (at most 1000 numbers) turns the fitted idf into its shifted form."""
-    idf = fitted.stages[-1].idf
-    shifted = DenseVector(idf.toArray() + 1.0)
-    weighted = ElementwiseProduct(scalingVec=shifted, inputCol="counts", outputCol="_weighted")
-    scaled = Normalizer(p=2.0, inputCol="_weighted", outputCol="features")
-    counted = PipelineModel(fitted.stages[:-1]).transform(docs)
-    return scaled.transform(weighted.transform(counted)).select("id", "features")
+def vocabulary(docs: DataFrame, rows: int, size: int = 1000) -> DataFrame:
+    """The `size` most frequent terms found in 2 documents or more and in at most 80 %.
+
+    Sorting a document's terms marks their first occurrence, so one aggregation (combined
+    before its shuffle) gives both document and occurrence counts.
+    """
+    ordered = F.array_sort(terms(F.col("words")))
+    before = F.concat(F.array(F.lit(None).cast("string")), F.slice(ordered, F.lit(1), F.size(ordered) - 1))
+    marked = F.zip_with(
+        ordered, before, lambda t, p: F.struct(t.alias("term"), (~t.eqNullSafe(p)).cast("long").alias("first"))
+    )
+    counts = docs.select(F.inline(marked)).groupBy("term").agg(
+        F.sum("first").alias("documents"), F.count("*").alias("occurrences")
+    )
+    used = counts.filter((F.col("documents") >= 2) & (F.col("documents") <= 0.8 * rows))
+    return used.orderBy(F.desc("occurrences"), "term").limit(size)
+
+
+def tfidf(docs: DataFrame, known: list[Row], rows: int) -> DataFrame:
+    """Term counts times smoothed idf + 1, scaled to unit length.
+
+    The vocabulary (at most 1000 rows) is the only thing that reaches the driver; its
+    document counts give the idf without another pass over the documents.
+    """
+    idf = DenseVector([log((1 + rows) / (1 + r["documents"])) + 1.0 for r in known])
+    stages = [
+        CountVectorizerModel.from_vocabulary([r["term"] for r in known], inputCol="terms", outputCol="counts"),
+        ElementwiseProduct(scalingVec=idf, inputCol="counts", outputCol="weighted"),
+        Normalizer(p=2.0, inputCol="weighted", outputCol="features"),
+    ]
+    tagged = docs.select("id", terms(F.col("words")).alias("terms"))
+    return PipelineModel(stages).transform(tagged).select("id", "features")
 
 
 def fit_topics(vectors: DataFrame, rows: int, k: int = TOPICS) -> LDAModel:
@@ -80,27 +101,31 @@ def fit_topics(vectors: DataFrame, rows: int, k: int = TOPICS) -> LDAModel:
 
 
 def assign_topics(model: LDAModel, vectors: DataFrame) -> DataFrame:
-    """Strongest topic of every document with its probability."""
+    """Strongest topic of every document with its probability.
+
+    A document without any known term has no evidence: all topics are equally likely and
+    the first one is taken.
+    """
     spread = model.transform(vectors).select("id", vector_to_array("topicDistribution").alias("p"))
     best = F.array_max("p")
     return spread.select(
         "id",
         (F.array_position("p", best) - 1).cast("int").alias("topic_id"),
-        best.cast("decimal(4,3)").alias("topic_probability"),
+        F.when(best > 0, best).otherwise(1.0 / model.getK()).cast("decimal(4,3)").alias("topic_probability"),
     )
 
 
-def top_terms(model: LDAModel, vocabulary: list[str], n: int = 5) -> DataFrame:
+def top_terms(model: LDAModel, known: list[str], n: int = 5) -> DataFrame:
     """The n strongest terms of each topic (k x n rows), strongest first."""
-    terms = F.array(*[F.lit(t) for t in vocabulary])
+    table = F.array(*[F.lit(t) for t in known])
     return model.describeTopics(n).select(
         F.col("topic").alias("topic_id"), F.posexplode("termIndices").alias("place", "index")
-    ).select("topic_id", "place", F.get(terms, F.col("index")).alias("term"))
+    ).select("topic_id", "place", F.get(table, F.col("index")).alias("term"))
 
 
-def name_topics(terms: DataFrame, lang: str) -> DataFrame:
+def name_topics(strong: DataFrame, lang: str) -> DataFrame:
     """Label of the first strong term with a known keyword, else number and three terms."""
-    labelled = terms.withColumn("label", names.keyword_topic(F.lower("term")))
+    labelled = strong.withColumn("label", names.keyword_topic(F.lower("term")))
     label = F.min_by("label", F.when(F.col("label").isNotNull(), F.col("place")))
     strongest = F.array_sort(F.collect_list(F.when(F.col("place") < 3, F.struct("place", "term"))))
     listed = F.array_join(F.transform(strongest, lambda x: x["term"]), ", ")
@@ -120,13 +145,12 @@ class LanguageTopics:
         self.rows = docs.count()
         if self.rows < MIN_DOCUMENTS:
             return
-        fitted = vectorizer().fit(docs)
-        self.vocabulary = fitted.stages[2].vocabulary
+        known = vocabulary(docs, self.rows).collect()
         # Read once per iteration: written once, in an order a re-run repeats.
-        ordered = tfidf(fitted, docs).repartition("id").sortWithinPartitions("id")
+        ordered = tfidf(docs, known, self.rows).repartition("id").sortWithinPartitions("id")
         self.vectors = stored(ordered, "vectors")
         self.model = fit_topics(self.vectors, self.rows)
-        self.names = name_topics(top_terms(self.model, self.vocabulary), lang)
+        self.names = name_topics(top_terms(self.model, [r["term"] for r in known]), lang)
         self.ready = True
 
     def assignments(self) -> DataFrame:

@@ -577,6 +577,13 @@ STATEMENTS = {
     "stopwords": words(f"list_filter({TOKENS}, lambda w: {NOT_STOP})"),
     "stems": words(f"list_transform(list_filter({TOKENS}, lambda w: {WORDY} AND {NOT_STOP}), lambda w: {STEM})"),
     "eligible_languages": "SELECT langue, count(*) AS n FROM corpus WHERE langue IN ('fr', 'ar') GROUP BY langue HAVING count(*) >= 20",
+    "topic_vocabulary": f"""
+      SELECT term, count(*) AS documents, CAST(sum(n) AS BIGINT) AS occurrences
+      FROM (SELECT id, term, count(*) AS n
+            FROM (SELECT id, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS term FROM prepared)
+            GROUP BY ALL)
+      GROUP BY term HAVING count(*) >= 2 AND count(*) <= 0.8 * (SELECT count(*) FROM prepared)
+      ORDER BY occurrences DESC, term LIMIT 1000""",
     "topic_sizes_keyword": "SELECT langue, topic_id, topic_name, count(*) AS n FROM topics t JOIN corpus c ON t.id = c.id GROUP BY ALL",
     "topic_upsert": """
       SELECT id, topic_id, topic_name, CAST(topic_probability AS DOUBLE) AS topic_probability FROM topics
@@ -601,4 +608,9 @@ STATEMENTS = {
              {dmy('date_avis_raw')} AS date_avis, (SELECT min(topic_name) FROM topics t WHERE t.id = k.id) AS topic FROM kept k""",
 }
 
+CTES["prepared"] = (
+    "SELECT id, string_split(words, ' ') AS w FROM (" + STATEMENTS["stems"].split(" UNION ALL ")[0] + ") WHERE length(words) > 5"
+)
+NAMES = ["prepared" if n == "tagged" else n for n in NAMES if n != "prepared"] + ["tagged"]
+
 ORACLE = {name: with_models(sql) for name, sql in STATEMENTS.items()}

@@ -327,19 +327,19 @@ def content_hash(b):
     return b.cleaned.select("id", F.md5(F.concat(*reviews.EXACT_KEYS, "avis_cleaned")).alias("content_hash"))
 
 
-def _one_rank(b, group: str, out: str) -> DataFrame:
-    keys = reviews.duplicate_keys(b.cleaned).select("id", "created_at", group)
-    return rank_in_group(keys, group, ["created_at", "id"], out).select("id", out)
+def _one_rank(b, kind: str, out: str) -> DataFrame:
+    keys = reviews.duplicate_keys(b.cleaned).filter(F.col("kind") == kind)
+    return rank_in_group(keys, "copies", ["created_at", "id"], out).select("id", out)
 
 
 @query
 def exact_duplicates(b):
-    return _one_rank(b, "exact_group", "duplicate_rank")
+    return _one_rank(b, "exact", "duplicate_rank")
 
 
 @query
 def similar_duplicates(b):
-    return _one_rank(b, "similar_group", "similar_rank")
+    return _one_rank(b, "similar", "similar_rank")
 
 
 @query
@@ -549,11 +549,19 @@ def eligible_languages(b):
 def topic_vectors(b):
     """Largest TF-IDF weights of every French review."""
     docs = stored(topics.prep_corpus(b.corpus, "fr"), "words")
-    vectors = topics.tfidf(topics.vectorizer().fit(docs), docs)
+    rows = docs.count()
+    vectors = topics.tfidf(docs, topics.vocabulary(docs, rows).collect(), rows)
     weights = topics.vector_to_array("features")
     return vectors.select("id", F.array_max(weights).alias("top_weight"), F.size(F.filter(weights, lambda w: w > 0)).alias("terms"))
 
 
+@query
+def topic_vocabulary(b):
+    """Terms of the French reviews that the model may use."""
+    docs = stored(topics.prep_corpus(b.corpus, "fr"), "words")
+    return topics.vocabulary(docs, docs.count())
+
+
 @query
 def topic_assignments(b):
     return topics.review_topics(b.corpus)
