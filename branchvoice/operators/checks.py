@@ -1,4 +1,4 @@
-"""Data-quality checks. Each returns its failing rows; summary() makes one row of them."""
+"""Data-quality checks: the failing rows, or one summary row per check."""
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,12 +23,19 @@ def violates(df: DataFrame, rule: Column) -> DataFrame:
     return df.filter(~rule)
 
 
+def rule_summary(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
+    """One row per rule with its number of violations, all rules in one pass."""
+    counts = df.agg(*[F.count_if(~rule).alias(name) for name, rule in rules.items()])
+    return _with_status(counts.unpivot([], list(rules), "check_name", "failures"))
+
+
+def _with_status(counts: DataFrame) -> DataFrame:
+    return counts.withColumn("status", F.when(F.col("failures") == 0, "pass").otherwise("fail"))
+
+
 def summary(name: str, failing: DataFrame) -> DataFrame:
-    return failing.agg(F.count("*").alias("failures")).select(
-        F.lit(name).alias("check_name"),
-        "failures",
-        F.when(F.col("failures") == 0, "pass").otherwise("fail").alias("status"),
-    )
+    counts = failing.agg(F.count("*").alias("failures"))
+    return _with_status(counts.select(F.lit(name).alias("check_name"), "failures"))
 
 
 def freshness(df: DataFrame, col: str, as_of: str, warn_days: int = 1, error_days: int = 7) -> DataFrame:

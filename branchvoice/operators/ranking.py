@@ -16,13 +16,18 @@ _ROW_BITS = 33  # monotonically_increasing_id: partition number above, row numbe
 
 
 def _positions(df: DataFrame) -> DataFrame:
-    """The table with stable _part (partition number) and _row (0-based row in it)."""
+    """The table with stable _part (partition number) and _row (0-based row in it).
+
+    Both are written, so the search for _row = 0 skips all but the first row group of
+    every file.
+    """
     tagged = df.withColumn("_id", F.monotonically_increasing_id())
-    return stored(tagged, "positions").select(
+    placed = tagged.select(
         *df.columns,
         F.shiftright("_id", _ROW_BITS).alias("_part"),
         F.col("_id").bitwiseAND((1 << _ROW_BITS) - 1).alias("_row"),
     )
+    return stored(placed, "positions")
 
 
 def _offsets(sizes: DataFrame, group: list[str]) -> DataFrame:

@@ -7,8 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from branchvoice.functions import names, rules, scores
-from branchvoice.operators.aggregates import union_all, with_total_row
-from branchvoice.operators.joins import lookup_join
+from branchvoice.operators.aggregates import with_total_row
 from branchvoice.operators.ranking import number_rows, top_per_key
 from branchvoice.operators.storage import stored
 
@@ -21,149 +20,171 @@ def _with_category(mart: DataFrame) -> DataFrame:
     )
 
 
+FEELINGS = ("Positif", "Negatif", "Neutre")
+STARS = (5, 4, 3, 2, 1)
+
+
 def _feels(label: str) -> Column:
-    return F.col("sentiment") == label
+    return F.count_if(F.col("sentiment") == label)
+
 
+def _measures() -> list[Column]:
+    """Whole-number measures of a group: sums of them give every coarser group exactly."""
+    star = F.floor(F.col("note") + 0.5)
+    return [
+        F.count("*").alias("n"),
+        F.sum((F.col("note") * 10).cast("long")).alias("tenths"),  # ratings have one decimal
+        F.sum(F.length("avis").cast("long")).alias("characters"),
+        *[_feels(label).alias(label) for label in FEELINGS],
+        *[F.count_if(star == k).alias(f"star_{k}") for k in STARS],
+    ]
 
-def _count(test: Column) -> Column:
-    return F.count_if(test)
 
+def _note_mean(tenths: Column, n: Column) -> Column:
+    return scores.ratio(tenths, n * 10, 2)
 
-def _note_mean(digits: int = 2) -> Column:
-    """Mean rating; ratings have one decimal, so tenths are whole numbers."""
-    return scores.ratio(F.sum(F.col("note") * 10), F.count("*") * 10, digits)
 
+def topic_cube(mart: DataFrame) -> DataFrame:
+    """Measures per topic, bank and city: the only pass the topic reports make over the
+    reviews. Written, because every report reads it several times."""
+    keys = ["topic_name", "topic_category", "banque", "ville"]
+    return stored(_with_category(mart).groupBy(*keys).agg(*_measures()), "cube")
 
-def _length_mean(digits: int) -> Column:
-    return scores.ratio(F.sum(F.length("avis").cast("long")), F.count("*"), digits)
+
+def _roll_up(cube: DataFrame, *keys: str) -> DataFrame:
+    measures = [c for c in cube.columns if c not in ("topic_name", "topic_category", "banque", "ville")]
+    return cube.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in measures])
 
 
 def report_bank_topic(mart: DataFrame, min_reviews: int = 2) -> DataFrame:
     """Bank x topic: count, rating, sentiments, length, satisfaction; tiny groups left out."""
-    rows = F.count("*")
-    grouped = _with_category(mart).groupBy("banque", "topic_category", "topic_name").agg(
-        rows.alias("nombre_avis"),
-        _note_mean().alias("note_moyenne"),
-        F.round(F.stddev_samp(F.col("note").cast("double")), 2).alias("note_ecart_type"),
-        _count(_feels("Positif")).alias("sentiment_positif"),
-        _count(_feels("Negatif")).alias("sentiment_negatif"),
-        _count(_feels("Neutre")).alias("sentiment_neutre"),
-        _length_mean(2).alias("longueur_moyenne_avis"),
-        scores.pct(_count(_feels("Positif")), rows).alias("taux_satisfaction"),
-        scores.pct(_count(_feels("Negatif")), rows).alias("taux_insatisfaction"),
+    spread = F.stddev_samp(F.col("note").cast("double")).alias("spread")
+    grouped = _with_category(mart).groupBy("banque", "topic_category", "topic_name").agg(*_measures(), spread)
+    n = F.col("n")
+    return (
+        grouped.filter(n >= min_reviews)
+        .select(
+            "banque",
+            "topic_category",
+            "topic_name",
+            n.alias("nombre_avis"),
+            _note_mean(F.col("tenths"), n).alias("note_moyenne"),
+            F.round("spread", 2).alias("note_ecart_type"),
+            F.col("Positif").alias("sentiment_positif"),
+            F.col("Negatif").alias("sentiment_negatif"),
+            F.col("Neutre").alias("sentiment_neutre"),
+            scores.ratio(F.col("characters"), n, 2).alias("longueur_moyenne_avis"),
+            scores.pct(F.col("Positif"), n).alias("taux_satisfaction"),
+            scores.pct(F.col("Negatif"), n).alias("taux_insatisfaction"),
+        )
+        .orderBy("banque", "topic_category", "topic_name")
     )
-    return grouped.filter(F.col("nombre_avis") >= min_reviews).orderBy("banque", "topic_category", "topic_name")
 
 
-def _leader(tagged: DataFrame, col: str, out: str) -> DataFrame:
-    """Per topic: number of distinct values, and the most frequent one with its count.
-
-    Works on one row per topic and value; equal counts go to the first name.
-    """
-    counts = tagged.groupBy("topic_name", col).agg(F.count("*").alias("n"))
+def _leader(cube: DataFrame, col: str) -> DataFrame:
+    """Per topic: number of distinct values, and the most frequent one with its count;
+    equal counts go to the first name."""
+    counts = cube.groupBy("topic_name", col).agg(F.sum("n").alias("n"))
     return counts.groupBy("topic_name").agg(
-        F.count(col).alias(f"nombre_{out}s"),
-        F.min_by(col, F.struct(-F.col("n"), F.col(col))).alias(f"{out}_principale"),
-        F.max("n").alias(f"{out}_principale_count"),
+        F.count(col).alias(f"nombre_{col}s"),
+        F.min_by(col, F.struct(-F.col("n"), F.col(col))).alias(f"{col}_principale"),
+        F.max("n").alias(f"{col}_principale_count"),
     )
 
 
 def report_topic_distribution(mart: DataFrame) -> DataFrame:
     """Per topic: popularity, sentiments, star counts, leading bank and city, labels."""
-    tagged = _with_category(mart)
-    rows, star_of = F.count("*"), F.floor(F.col("note") + 0.5)
-    counts = {
-        **{f"sentiment_{label.lower()}": _count(_feels(label)) for label in ("Positif", "Negatif", "Neutre")},
-        **{f"note_{n}": _count(star_of == n) for n in (5, 4, 3, 2, 1)},
-    }
-    topics = tagged.groupBy("topic_name", "topic_category").agg(
-        rows.alias("nombre_avis"),
-        _note_mean().alias("note_moyenne"),
-        *[c.alias(f"{name}_count") for name, c in counts.items()],
-        *[scores.pct(c, rows).alias(f"{name}_pct") for name, c in counts.items()],
-        _length_mean(0).alias("longueur_moyenne_avis"),
-    )
-    joined = topics.join(_leader(tagged, "banque", "banque"), "topic_name").join(
-        _leader(tagged, "ville", "ville"), "topic_name"
-    )
-    # One row per topic from here on.
+    cube = topic_cube(mart)
+    n = F.col("n")
+    parts = {**{f"sentiment_{label.lower()}": label for label in FEELINGS}, **{f"note_{k}": f"star_{k}" for k in STARS}}
+    topics = _roll_up(cube, "topic_name", "topic_category").select(
+        "topic_name",
+        "topic_category",
+        n.alias("nombre_avis"),
+        _note_mean(F.col("tenths"), n).alias("note_moyenne"),
+        *[F.col(source).alias(f"{out}_count") for out, source in parts.items()],
+        *[scores.pct(F.col(source), n).alias(f"{out}_pct") for out, source in parts.items()],
+        scores.ratio(F.col("characters"), n, 0).alias("longueur_moyenne_avis"),
+    )
+    joined = topics.join(_leader(cube, "banque"), "topic_name").join(_leader(cube, "ville"), "topic_name")
     ranked = number_rows(joined, "rang_popularite", [F.desc("nombre_avis"), F.asc("topic_name")])
-    total = F.sum("nombre_avis").over(Window.partitionBy())
-    n, share = F.col("nombre_avis"), F.col("pourcentage_total")
-    top_feeling = F.greatest("sentiment_positif_pct", "sentiment_negatif_pct", "sentiment_neutre_pct")
-    dominant = (
-        F.when(top_feeling < rules.DOMINANT_SHARE, "Mixte")
-        .when(F.col("sentiment_positif_pct") == top_feeling, "Positif")
-        .when(F.col("sentiment_negatif_pct") == top_feeling, "Negatif")
-        .otherwise("Neutre")
-    )
-    return ranked.withColumn("pourcentage_total", scores.pct(n, total)).withColumns(
+    # One row per topic is left for the window.
+    rows, total = F.col("nombre_avis"), F.sum("nombre_avis").over(Window.partitionBy())
+    top_feeling = F.greatest(*[F.col(f"sentiment_{label.lower()}_pct") for label in FEELINGS])
+    dominant = F.when(top_feeling < rules.DOMINANT_SHARE, "Mixte")
+    for label in FEELINGS:
+        dominant = dominant.when(F.col(f"sentiment_{label.lower()}_pct") == top_feeling, label)
+    return ranked.withColumn("pourcentage_total", scores.pct(rows, total)).withColumns(
         {
-            "banque_principale_pct": scores.pct(F.col("banque_principale_count"), n),
-            "ville_principale_pct": scores.pct(F.col("ville_principale_count"), n),
+            "banque_principale_pct": scores.pct(F.col("banque_principale_count"), rows),
+            "ville_principale_pct": scores.pct(F.col("ville_principale_count"), rows),
             "performance_level": scores.threshold_label(
                 F.col("note_moyenne"), rules.PERFORMANCE_LEVELS, rules.LOW_PERFORMANCE
             ),
             "sentiment_dominant": dominant,
-            "popularite_level": scores.threshold_label(share, rules.POPULARITY_LEVELS, rules.LOW_POPULARITY),
+            "popularite_level": scores.threshold_label(
+                F.col("pourcentage_total"), rules.POPULARITY_LEVELS, rules.LOW_POPULARITY
+            ),
         }
     )
 
 
+def _names(cube: DataFrame, key: str, col: str, out: str) -> DataFrame:
+    """Sorted distinct names per key; distinct first, so the list holds names, not reviews."""
+    return cube.select(key, col).distinct().groupBy(key).agg(
+        F.array_join(F.array_sort(F.collect_list(col)), ", ").alias(out)
+    )
+
+
 def report_topic_detail(mart: DataFrame, n: int = 2) -> DataFrame:
     """Per topic: totals, positive rate, banks, and the first n positive and negative texts."""
-    tagged = _with_category(mart)
-    rows = F.count("*")
-    totals = tagged.groupBy("topic_name", "topic_category").agg(
-        rows.alias("total_avis"),
-        _note_mean().alias("note_moyenne"),
-        _count(_feels("Positif")).alias("sentiment_positif_count"),
-        _count(_feels("Negatif")).alias("sentiment_negatif_count"),
-        _count(_feels("Neutre")).alias("sentiment_neutre_count"),
-        scores.pct(_count(_feels("Positif")), rows).alias("taux_positif"),
-    )
-    # Distinct pairs first: the list holds bank names, not reviews.
-    banks = tagged.select("topic_name", "banque").distinct().groupBy("topic_name").agg(
-        F.array_join(F.array_sort(F.collect_list("banque")), ", ").alias("banques_mentionnant")
-    )
-    told = tagged.filter(F.col("sentiment").isin("Positif", "Negatif")).select("topic_name", "sentiment", "id", "avis")
+    cube = topic_cube(mart)
+    totals = _roll_up(cube, "topic_name", "topic_category").select(
+        "topic_name",
+        "topic_category",
+        F.col("n").alias("total_avis"),
+        _note_mean(F.col("tenths"), F.col("n")).alias("note_moyenne"),
+        *[F.col(label).alias(f"sentiment_{label.lower()}_count") for label in FEELINGS],
+        scores.pct(F.col("Positif"), F.col("n")).alias("taux_positif"),
+    )
+    told = mart.filter(F.col("sentiment").isin("Positif", "Negatif")).select(
+        F.col("topic").alias("topic_name"), "sentiment", "id", "avis"
+    )
     firsts = top_per_key(told, ["topic_name", "sentiment"], ["id"], n)
 
     def texts(label: str) -> Column:
-        chosen = F.array_sort(F.collect_list(F.when(_feels(label), F.struct("id", "avis"))))
+        # At most n texts per topic and sentiment are left.
+        chosen = F.array_sort(F.collect_list(F.when(F.col("sentiment") == label, F.struct("id", "avis"))))
         joined = F.array_join(F.transform(chosen, lambda x: x["avis"]), " | ")
         return F.nullif(joined, F.lit(""))
 
     examples = firsts.groupBy("topic_name").agg(
         texts("Positif").alias("exemples_avis_positifs"), texts("Negatif").alias("exemples_avis_negatifs")
     )
+    banks = _names(cube, "topic_name", "banque", "banques_mentionnant")
     return totals.join(banks, "topic_name").join(examples, "topic_name", "left")
 
 
 def report_category_insights(mart: DataFrame) -> DataFrame:
     """Per category: totals, best and worst bank by mean rating, topics."""
-    tagged = _with_category(mart)
-    rows = F.count("*")
-    totals = tagged.groupBy("topic_category").agg(
-        rows.alias("nombre_total_avis"),
-        _note_mean().alias("note_moyenne_categorie"),
-        scores.pct(_count(_feels("Positif")), rows).alias("taux_positif_categorie"),
-    )
-    banks = tagged.groupBy("topic_category", "banque").agg(_note_mean().alias("m"))
+    cube = topic_cube(mart)
+    n, tenths = F.col("n"), F.col("tenths")
+    totals = _roll_up(cube, "topic_category").select(
+        "topic_category",
+        n.alias("nombre_total_avis"),
+        _note_mean(tenths, n).alias("note_moyenne_categorie"),
+        scores.pct(F.col("Positif"), n).alias("taux_positif_categorie"),
+    )
+    banks = _roll_up(cube, "topic_category", "banque").withColumn("m", _note_mean(tenths, n))
     extremes = banks.groupBy("topic_category").agg(
         F.min_by("banque", F.struct(-F.col("m"), F.col("banque"))).alias("meilleure_banque"),
         F.max("m").alias("note_meilleure_banque"),
         F.min_by("banque", F.struct("m", "banque")).alias("pire_banque"),
         F.min("m").alias("note_pire_banque"),
     )
-    topics = tagged.select("topic_category", "topic_name").distinct().groupBy("topic_category").agg(
-        F.array_join(F.array_sort(F.collect_list("topic_name")), ", ").alias("topics_inclus")
-    )
-    return (
-        totals.join(extremes, "topic_category")
-        .join(topics, "topic_category")
-        .withColumnRenamed("topic_category", "categorie")
-    )
+    topics = _names(cube, "topic_category", "topic_name", "topics_inclus")
+    joined = totals.join(extremes, "topic_category").join(topics, "topic_category")
+    return joined.withColumnRenamed("topic_category", "categorie")
 
 
 def report_bank_year(counted: DataFrame, first: int = 2019, last: int = 2025) -> DataFrame:
@@ -209,7 +230,7 @@ def report_bank_summary(bank_year: DataFrame) -> DataFrame:
     per_bank = bank_year.groupBy("banque").agg(
         F.sum("nombre_avis").alias("total_avis_2019_2025"),
         F.first("moyenne_annuelle_banque").alias("moyenne_annuelle"),
-        _count(n > 0).alias("annees_actives"),
+        F.count_if(n > 0).alias("annees_actives"),
         F.max_by("year", F.struct(n, -year)).alias("meilleure_annee"),
         F.max("nombre_avis").alias("meilleur_score"),
         F.min_by("year", F.struct(n, year)).alias("pire_annee"),

@@ -600,8 +600,7 @@ def check_unique(b):
 
 @query
 def check_not_null(b):
-    frames = [checks.summary(f"not null {c}", checks.missing(b.raw, c)) for c in ("id", "banque", "avis")]
-    return aggregates.union_all(*frames)
+    return checks.rule_summary(b.raw, {f"not null {c}": F.col(c).isNotNull() for c in ("id", "banque", "avis")})
 
 
 @query
@@ -611,10 +610,12 @@ def check_accepted_values(b):
 
 @query
 def check_expression(b):
-    quality, note = F.col("text_quality_score"), F.col("note_numeric")
-    return aggregates.union_all(
-        checks.summary("note between 0 and 5", checks.violates(b.cleaned, note.between(0, 5))),
-        checks.summary("quality between 0 and 1", checks.violates(b.cleaned, quality.between(0, 1))),
+    return checks.rule_summary(
+        b.cleaned,
+        {
+            "note between 0 and 5": F.col("note_numeric").between(0, 5),
+            "quality between 0 and 1": F.col("text_quality_score").between(0, 1),
+        },
     )
 
 
