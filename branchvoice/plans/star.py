@@ -69,9 +69,9 @@ def dim_location(mart: DataFrame, as_of: str, keep_address: bool = False) -> Dat
 
 
 def dim_sentiment(spark: SparkSession, as_of: str) -> DataFrame:
-    fixed = spark.createDataFrame(
-        rules.SENTIMENTS, "sentiment_key int, sentiment string, score_range string, description string"
-    )
+    fields = ("sentiment_key", "sentiment", "score_range", "description")
+    values = [F.struct(*[F.lit(v).alias(f) for f, v in zip(fields, row)]) for row in rules.SENTIMENTS]
+    fixed = spark.range(1).select(F.inline(F.array(*values)))
     return _stamped(fixed, as_of)
 
 

@@ -1,5 +1,6 @@
 """Topic model: one distributed LDA per language over TF-IDF vectors."""
 
+from concurrent.futures import ThreadPoolExecutor
 from math import ceil, log
 
 from pyspark.ml import PipelineModel
@@ -161,11 +162,15 @@ class LanguageTopics:
 
 
 def topic_models(corpus: DataFrame) -> list[LanguageTopics]:
-    """A model for every language that passes both size gates."""
-    corpus = stored(corpus, "corpus")
+    """A model for every language that passes both size gates, fitted side by side.
+
+    The corpus should stand on a written table: it is read once per language and once
+    for the gate.
+    """
     enough = [r["langue"] for r in eligible_languages(corpus).collect()]  # at most two rows
-    fitted = [LanguageTopics(corpus, lang) for lang in LANGUAGES if lang in enough]
-    return [m for m in fitted if m.ready]
+    with ThreadPoolExecutor(len(LANGUAGES)) as pool:
+        fitted = pool.map(lambda lang: LanguageTopics(corpus, lang), [x for x in LANGUAGES if x in enough])
+        return [m for m in fitted if m.ready]
 
 
 def review_topics(corpus: DataFrame) -> DataFrame:
