@@ -37,7 +37,7 @@ def as_view(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
-def as_table(df: DataFrame, path: str) -> DataFrame:
-    """Full-refresh table at a path."""
-    df.write.mode("overwrite").parquet(path)
+def as_table(df: DataFrame, path: str, order: list[str] | None = None) -> DataFrame:
+    """Full-refresh table at a path, globally sorted when an order is given."""
+    (df.orderBy(*order) if order else df).write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -62,16 +62,22 @@ def _group_id(kind: str, *cols: str) -> Column:
     return F.unhex(F.sha2(F.concat_ws(":", F.lit(kind), *sized), 256))
 
 
-def duplicate_keys(cleaned: DataFrame, body: str = "avis_cleaned") -> DataFrame:
-    """Two rows per review: its group of exact copies, and of near copies (same bank,
-    city and first 100 characters)."""
+def with_group_ids(cleaned: DataFrame, body: str = "avis_cleaned") -> DataFrame:
+    """Adds the group of exact copies, and of near copies (same bank, city and first 100
+    characters)."""
     headed = cleaned.withColumn("_head", F.left(body, F.lit(100)))
-    groups = {
-        "exact": _group_id("exact", *EXACT_KEYS, body),
-        "similar": _group_id("similar", "banque", "ville", "_head"),
-    }
-    pairs = F.array(*[F.struct(F.lit(k).alias("kind"), g.alias("copies")) for k, g in groups.items()])
-    return headed.select("id", "created_at", F.inline(pairs))
+    return headed.withColumns(
+        {
+            "exact_group": _group_id("exact", *EXACT_KEYS, body),
+            "similar_group": _group_id("similar", "banque", "ville", "_head"),
+        }
+    ).drop("_head")
+
+
+def duplicate_keys(tagged: DataFrame) -> DataFrame:
+    """Two narrow rows per review, one for each of its groups."""
+    pairs = [F.struct(F.lit(k).alias("kind"), F.col(f"{k}_group").alias("copies")) for k in ("exact", "similar")]
+    return tagged.select("id", "created_at", F.inline(F.array(*pairs)))
 
 
 def duplicate_ranks(keys: DataFrame, parts: int | None = None) -> DataFrame:
@@ -103,9 +109,10 @@ def dedup_decision(ranked: DataFrame) -> DataFrame:
 
 def int_reviews_deduplicated(cleaned: DataFrame, body: str = "avis_cleaned", parts: int | None = None) -> DataFrame:
     """All reviews with content hash, both ranks, flags and decision; drops nothing."""
-    # Read for the ranking and for the final join: clean every text once.
-    cleaned = stored(cleaned, "cleaned")
-    ranked = cleaned.join(duplicate_ranks(duplicate_keys(cleaned, body), parts), "id")
+    # Written once: the ranking (and its sampling pass) reads only ids, times and digests.
+    tagged = stored(with_group_ids(cleaned, body), "cleaned")
+    ranks = duplicate_ranks(duplicate_keys(tagged), parts)
+    ranked = tagged.drop("exact_group", "similar_group").join(ranks, "id")
     hashed = ranked.withColumn("content_hash", F.md5(F.concat(*EXACT_KEYS, body)))
     return dedup_decision(hashed)
 

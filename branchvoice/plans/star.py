@@ -92,7 +92,7 @@ def dim_topic(mart: DataFrame, as_of: str) -> DataFrame:
 
 @dataclass
 class Star:
-    """The mart, written once, and its dimensions, whose keys are written once."""
+    """The mart table and its dimensions, whose keys are written once."""
 
     mart: DataFrame
     bank: DataFrame
@@ -104,7 +104,7 @@ class Star:
 
 
 def star_schema(mart: DataFrame, as_of: str) -> Star:
-    mart = stored(mart, "mart")
+    """Dimensions of a written mart, which is read once per dimension and for the fact."""
     builders = {"bank": dim_bank, "branch": dim_branch, "location": _full_location, "topic": dim_topic}
     # Independent small jobs: submitted together, so they share the cluster.
     with ThreadPoolExecutor(len(builders)) as pool:

@@ -107,13 +107,12 @@ def write_report(df: DataFrame, path: str) -> None:
 def write_fact(df: DataFrame, path: str) -> None:
     """Fact for look-up by year, bank and location.
 
-    Range partitioning splits a year that holds most rows over many tasks and leaves
-    every file with a narrow key range, so readers prune folders and skip row groups.
+    Rebalancing keeps a bank's year together, joins small pieces and splits a large one
+    over several tasks; sorted files let readers prune folders and skip row groups.
     """
-    keys = ["review_year", "bank_key", "location_key"]
+    balanced = df.hint("rebalance", F.col("review_year"), F.col("bank_key"))
     (
-        df.repartitionByRange(*keys, "review_id")
-        .sortWithinPartitions(*keys)
+        balanced.sortWithinPartitions("review_year", "bank_key", "location_key")
         .write.mode("overwrite")
         .partitionBy("review_year")
         .parquet(path)

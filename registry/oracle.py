@@ -277,7 +277,7 @@ CTES = {
              count(*) FILTER (language = 'fr') AS french_count, count(*) FILTER (language = 'ar') AS arabic_count
       FROM scored GROUP BY topic_category, bank_name""",
     "summary": f"""
-      SELECT topic_category, CAST(sum(review_count) AS BIGINT) AS total_reviews, CAST(sum(positive_count) AS BIGINT) AS total_positive,
+      SELECT topic_category, round(avg(avg_rating), 6) AS overall_avg_rating, CAST(sum(review_count) AS BIGINT) AS total_reviews, CAST(sum(positive_count) AS BIGINT) AS total_positive,
              CAST(sum(negative_count) AS BIGINT) AS total_negative,
              {pct("sum(positive_count)", "sum(review_count)")} AS overall_positive_rate
       FROM analysis GROUP BY topic_category""",
@@ -507,6 +507,8 @@ STATEMENTS = {
       SELECT a.*, overall_positive_rate AS topic_benchmark FROM analysis a
       LEFT JOIN summary s ON a.topic_category = s.topic_category""",
     "topic_summary": "SELECT * FROM summary",
+    "topic_corpus": "SELECT * FROM corpus",
+    "mart_sorted_table": "SELECT id, banque, CAST(note AS DOUBLE) AS note, sentiment, topic FROM mart",
     "report_bank_topic": BANK_TOPIC,
     "report_topic_distribution": f"""
       SELECT * EXCLUDE (best), CASE WHEN best < {rules.DOMINANT_SHARE} THEN 'Mixte' WHEN sentiment_positif_pct = best THEN 'Positif'

@@ -10,7 +10,7 @@ from branchvoice.functions import dates, names, rules, scores, sql, text
 from branchvoice.operators import aggregates, checks
 from branchvoice.operators.joins import attach_topics, lookup_join, topic_of
 from branchvoice.operators.ranking import rank_in_group
-from branchvoice.operators.storage import as_view, new_path, stored
+from branchvoice.operators.storage import as_table, as_view, new_path, stored
 from branchvoice.plans import archive, reports, reviews, star, topics
 from branchvoice.sources import crawl, documents, tables
 
@@ -78,9 +78,14 @@ class Build:
     def mart(self) -> DataFrame:
         return reviews.mart_reviews_enriched(self.kept, self.topics, AS_OF)
 
+    @cached_property
+    def mart_table(self) -> DataFrame:
+        """The mart as a table, for consumers that read it more than once."""
+        return stored(self.mart, "mart")
+
     @cached_property
     def star(self) -> star.Star:
-        return star.star_schema(self.mart, AS_OF)
+        return star.star_schema(self.mart_table, AS_OF)
 
     @cached_property
     def fact(self) -> DataFrame:
@@ -327,19 +332,19 @@ def content_hash(b):
     return b.cleaned.select("id", F.md5(F.concat(*reviews.EXACT_KEYS, "avis_cleaned")).alias("content_hash"))
 
 
-def _one_rank(b, kind: str, out: str) -> DataFrame:
-    keys = reviews.duplicate_keys(b.cleaned).filter(F.col("kind") == kind)
-    return rank_in_group(keys, "copies", ["created_at", "id"], out).select("id", out)
+def _one_rank(b, group: str, out: str) -> DataFrame:
+    keys = stored(reviews.with_group_ids(b.cleaned).select("id", "created_at", group), "keys")
+    return rank_in_group(keys, group, ["created_at", "id"], out).select("id", out)
 
 
 @query
 def exact_duplicates(b):
-    return _one_rank(b, "exact", "duplicate_rank")
+    return _one_rank(b, "exact_group", "duplicate_rank")
 
 
 @query
 def similar_duplicates(b):
-    return _one_rank(b, "similar", "similar_rank")
+    return _one_rank(b, "similar_group", "similar_rank")
 
 
 @query
@@ -396,6 +401,13 @@ def mart_reviews_enriched(b):
 
 # --- star ----------------------------------------------------------------------------
 
+@query
+def mart_sorted_table(b):
+    """The mart as a stored table sorted by id."""
+    table = as_table(b.mart, new_path(b.spark, "mart"), order=["id"])
+    return table.select("id", "banque", "note", "sentiment", "topic")
+
+
 @query
 def dim_bank(b):
     return star.dim_bank(b.mart, AS_OF)
@@ -462,7 +474,8 @@ def topic_analysis(b):
 
 @query
 def topic_summary(b):
-    return archive.topic_summary(archive.mart_topic_analysis(b.scored)).drop("overall_avg_rating")
+    summary = archive.topic_summary(archive.mart_topic_analysis(b.scored))
+    return summary.withColumn("overall_avg_rating", F.round("overall_avg_rating", 6))
 
 
 # --- reports -----------------------------------------------------------------------------
@@ -479,7 +492,7 @@ def report_topic_distribution(b):
 
 @query
 def report_topic_detail(b):
-    return reports.report_topic_detail(b.mart)
+    return reports.report_topic_detail(b.mart_table)
 
 
 @query
@@ -538,6 +551,11 @@ def stems(b):
     return _words(b, text.topic_words)
 
 
+@query
+def topic_corpus(b):
+    return b.corpus
+
+
 @query
 def eligible_languages(b):
     return topics.eligible_languages(b.corpus)

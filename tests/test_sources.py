@@ -54,6 +54,8 @@ def test_fact_file_layout(spark, tmp_path):
     tables.write_fact(df, str(tmp_path / "fact"))
     back = spark.read.parquet(str(tmp_path / "fact"))
     plan = back.filter("review_year = 2024")._jdf.queryExecution().executedPlan().toString()
+    written = df.hint("rebalance", F.col("review_year"))._jdf.queryExecution().executedPlan().toString()
+    assert "REBALANCE_PARTITIONS_BY_COL" in written
     assert back.count() == 1000 and "PartitionFilters: [isnotnull(review_year" in plan
 
 
@@ -74,3 +76,13 @@ def test_crawl_rules(spark):
     assert crawl.crawl_grid(banks).count() == 64
     flat = crawl.flatten_reviews(spark.createDataFrame([(1, ["x", "y"])], "p long, reviews array<string>"))
     assert [(r["p"], r["pos"], r["avis"]) for r in flat.collect()] == [(1, 0, "x"), (1, 1, "y")]
+
+
+def test_table_order(spark, tmp_path):
+    from branchvoice.operators.storage import as_table
+
+    df = spark.range(1000).select((F.col("id") * 7 % 1000).alias("id")).repartition(6)
+    files = as_table(df, str(tmp_path / "t"), ["id"]).groupBy(F.input_file_name().alias("f")).agg(
+        F.min("id").alias("lo"), F.max("id").alias("hi"), F.count("*").alias("n"))
+    # Sorted files do not overlap.
+    assert files.filter("hi - lo + 1 <> n").isEmpty()
