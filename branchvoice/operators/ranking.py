@@ -51,7 +51,10 @@ def number_rows(df: DataFrame, out: str, order: list | None = None, parts: int |
 
 
 def rank_in_group(df: DataFrame, group: str, order: list[str], out: str, parts: int | None = None) -> DataFrame:
-    """row_number() over (partition by group order by order); group is not NULL."""
+    """row_number() over (partition by group order by order).
+
+    The group is not NULL and the order decides between any two rows of a group.
+    """
     keys = [group, *order]
     ranged = df.repartitionByRange(parts, *keys) if parts else df.repartitionByRange(*keys)
     placed = _positions(ranged.sortWithinPartitions(*keys))

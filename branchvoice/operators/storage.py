@@ -21,7 +21,8 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    """A fresh path; all stages of an application share a folder, to be dropped with it."""
+    return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
 def stored(df: DataFrame, label: str = "stage") -> DataFrame:

@@ -30,7 +30,7 @@ def _feels(label: str) -> Column:
 
 def _measures() -> list[Column]:
     """Whole-number measures of a group: sums of them give every coarser group exactly."""
-    star = F.floor(F.col("note") + 0.5)
+    star = F.floor(F.col("note") + 0.5)  # nearest whole star; unrated reviews have none
     return [
         F.count("*").alias("n"),
         F.sum((F.col("note") * 10).cast("long")).alias("tenths"),  # ratings have one decimal
