@@ -9,6 +9,10 @@ from branchvoice.operators.ranking import first_per_key, rank_in_group
 from branchvoice.operators.storage import stored
 
 EXACT_KEYS = ["banque", "ville", "nom_agence"]
+# What the topic corpus and the mart read of a kept review; the original text is not in it.
+KEPT_COLUMNS = [
+    "id", *EXACT_KEYS, "localisation", "note_numeric", "avis_cleaned", "langue_detected", "date_avis_raw",
+]
 
 
 def filter_valid(df: DataFrame, min_len: int = 5, max_len: int = 2000) -> DataFrame:

@@ -64,7 +64,7 @@ class Build:
     @cached_property
     def kept(self) -> DataFrame:
         # Feeds the topic table and the mart.
-        return stored(reviews.kept_reviews(self.cleaned), "kept")
+        return stored(reviews.kept_reviews(self.cleaned).select(*reviews.KEPT_COLUMNS), "kept")
 
     @cached_property
     def corpus(self) -> DataFrame:
@@ -680,7 +680,7 @@ def union_all(b):
 
 @query
 def sql_functions(b):
-    as_view(b.kept, "kept_reviews")
+    as_view(reviews.kept_reviews(b.cleaned), "kept_reviews")
     as_view(stored(b.topics, "topics"), "review_topics")
     sql.register(b.spark, "review_topics")
     return b.spark.sql(f"""
