@@ -86,7 +86,7 @@ def test_bank_and_city_rules(apply):
 
 
 def test_branch_rules(apply):
-    assert apply(names.branch_type, ["Centre commercial", "Morocco Mall", "Airport", "Campus", "x"]) == [
+    assert apply(names.branch_type, ["Centre commercial", "City Mall", "Airport", "Campus", "x"]) == [
         "Agence Principale", "Agence Centre Commercial", "Agence Aéroport", "Agence Universitaire", "Agence Standard"]
     assert apply(names.branch_services, ["Campus", "Mall"]) == [
         "Services standards", "Services de base, Distributeurs, Guichets"]
