@@ -3,19 +3,34 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from branchvoice.llm import minhash
+from branchvoice.llm import minhash, mixing, sharding
+from branchvoice.llm.stages import ship
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = sharding.sharded(documents(spark, sf_dir), shards=16)
+    crc = F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32")
+    return rows.select("doc_id", "size", crc, F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(documents(spark, sf_dir), shingle=2, percent=80)
 
 
 QUERIES = {
+    "op1_sharding": op1_sharding,
+    "op4_mixing": op4_mixing,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
 }
 

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import math
+import os
+import shutil
+import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -69,3 +72,18 @@ def slices(column: str, limit: int) -> Callable:
                 start = stop
 
     return cut
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the workers unless the folder it lies in is on their path already."""
+    application = spark.sparkContext.applicationId
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    known = [os.path.abspath(p) for p in (os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)) if p]
+    if application in _shipped or root in known:
+        return
+    archive = shutil.make_archive(os.path.join(tempfile.mkdtemp(), "branchvoice"), "zip", root, "branchvoice")
+    spark.sparkContext.addPyFile(archive)
+    _shipped.add(application)
