@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from branchvoice.llm import minhash, mixing, sharding
+from branchvoice.llm import decontamination, language, minhash, mixing, sharding
 from branchvoice.llm.stages import ship
 
 
@@ -24,6 +24,15 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = language.identified(documents(spark, sf_dir))
+    return rows.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score")
+
+
+def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(documents(spark, sf_dir), shingle=2, percent=80)
 
@@ -31,6 +40,8 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op4_mixing": op4_mixing,
+    "op5_language_id": op5_language_id,
+    "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
 }
 
