@@ -23,6 +23,8 @@ from branchvoice.llm.stages import slices, stage
 BANDS, ROWS = 28, 4
 PIECE = 2 << 20
 FLAT = 1 << 15
+#: Documents of one side that are compared in one task.
+CELL = 512
 
 
 def _order(x: np.ndarray, spare: np.ndarray) -> None:
@@ -116,6 +118,71 @@ def _verify(docs: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFram
     return joined.select("a", "b", "text_a", "text_b").mapInArrow(_confirmed(n, percent), "a long, b long").distinct()
 
 
+def _links(n: int, percent: int):
+    """Links between the strangers and the members of one cell, as few as keep what is connected so."""
+
+    def sets_of(table: pa.Table) -> tuple[list[int], list[np.ndarray]]:
+        table = table.select(["node", "text"]).combine_chunks()
+        ids, sets = [], []
+        for batch in slices("text", PIECE)(table.to_batches()):
+            found = words.split(batch.column("text"), lower=True)
+            ids += batch.column("node").to_pylist()
+            sets += [shingle_set(found.hash[found.of(i)], n) for i in range(batch.num_rows)]
+        return ids, sets
+
+    def run(members: pa.Table, strangers: pa.Table) -> pa.Table:
+        ids, sets = sets_of(members)
+        queries, query_sets = sets_of(strangers)
+        out_a, out_b, parent = [], [], {}
+
+        def root(x: int) -> int:
+            while parent.setdefault(x, x) != x:
+                parent[x] = x = parent[parent[x]]
+            return x
+
+        if ids and queries:
+            flat = np.concatenate(sets)
+            owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+            order = np.argsort(flat, kind="stable")
+            flat, owner = flat[order], owner[order]
+            size = np.array([len(s) for s in sets])
+            for q, own in zip(queries, query_sets):
+                low, high = np.searchsorted(flat, own, "left"), np.searchsorted(flat, own, "right")
+                spans = high - low
+                at = np.repeat(low - np.cumsum(spans) + spans, spans) + np.arange(spans.sum())
+                common = np.bincount(owner[at], minlength=len(ids))
+                for k in np.flatnonzero(100 * common >= percent * (size + len(own) - common)):
+                    x, y = root(q), root(ids[k])
+                    if x != y:
+                        parent[x] = y
+                        out_a.append(q)
+                        out_b.append(ids[k])
+        return pa.table({"a": pa.array(out_a, pa.int64()), "b": pa.array(out_b, pa.int64())})
+
+    return run
+
+
+def _compared(docs: DataFrame, strangers: DataFrame, label: DataFrame, n: int, percent: int) -> DataFrame:
+    """Links (a, b) between the strangers of a family and all its members and strangers.
+
+    A family is a component; its strangers share a bucket with it. Both sides are dealt into cells
+    of bounded size, each compared in one task; pairs never become rows unless they join something.
+    """
+    own = label.join(strangers.select(F.col("family").alias("component")).distinct(), "component", "left_semi")
+    members = own.select(F.col("component").alias("family"), F.col("id").alias("node")).union(strangers)
+    members = members.union(strangers.select("family", F.col("family").alias("node"))).distinct()
+    counts = members.groupBy("family").agg(F.count("*").alias("m")).join(strangers.groupBy("family").agg(F.count("*").alias("s")), "family")
+    counts = stage(counts.select("family", F.ceil(F.col("m") / CELL).alias("ms"), F.ceil(F.col("s") / CELL).alias("ss")), "families")
+    text = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("node"), "text")
+    last = lambda c: F.sequence(F.lit(0).cast("long"), F.col(c) - 1)
+    cell = lambda c: F.pmod(F.xxhash64("node"), F.col(c))
+    left = members.join(counts, "family").select("family", "node", cell("ms").alias("i"), F.explode(last("ss")).alias("j"))
+    right = strangers.join(counts, "family").select("family", "node", cell("ss").alias("j"), F.explode(last("ms")).alias("i"))
+    left, right = (x.join(text, "node").select("family", "i", "j", "node", "text") for x in (left, right))
+    key = ["family", "i", "j"]
+    return left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(_links(n, percent), "a long, b long")
+
+
 def near_duplicates(
     docs: DataFrame, shingle: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS
 ) -> DataFrame:
@@ -125,10 +192,11 @@ def near_duplicates(
     100 * |intersection| >= percent * |union| of their shingle sets are linked.
 
     Equal sets are one node, so copies add no pairs. In a bucket of a band every member is first
-    compared with its smallest; components of those links are formed; then only members outside
-    the bucket's commonest component are compared with the members of other components. After
-    that no proposed pair of different components is left uncompared, so the components are those
-    of all proposed pairs, while a bucket of copies costs as many pairs as it has members.
+    compared with its smallest; components of those links are formed; then the members outside
+    their bucket's commonest component are compared with that component and with each other, cell
+    by cell. After that no proposed pair of different components is left uncompared, so the
+    components are those of all proposed pairs, while a bucket of copies costs as many pairs as it
+    has members.
 
     Null or empty text: empty set, linked with nothing. A null doc_id is never linked: its
     component_id is null and it is kept. Repeated rows of a doc_id are one node, each is returned.
@@ -157,23 +225,15 @@ def near_duplicates(
     linked = stage(_verify(base, stars, shingle, percent), "links")
     label = stage(components(linked), "labels")
 
-    placed = members.join(heads.select("bucket"), "bucket", "left_semi").join(
+    placed = members.join(heads.where("n > 2").select("bucket"), "bucket", "left_semi").join(
         label.withColumnRenamed("id", "node"), "node", "left"
     ).select("bucket", "node", F.coalesce("component", "node").alias("label"))
     sizes = placed.groupBy("bucket", "label").agg(F.count("*").alias("n"))
-    mixed = sizes.groupBy("bucket").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.count("*").alias("labels")).where("labels > 1")
-    open_ = stage(placed.join(mixed.select("bucket", "main"), "bucket"), "open-buckets")
-    rest = (
-        open_.where("label != main").select("bucket", F.col("node").alias("x"), F.col("label").alias("lx"))
-        .join(open_.select("bucket", F.col("node").alias("y"), F.col("label").alias("ly"), "main"), "bucket")
-        .where("lx != ly AND (ly = main OR x < y)")
-        .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-        .distinct()
-        .join(stars, ["a", "b"], "left_anti")
-    )
-    more = _verify(base, stage(rest, "late-pairs"), shingle, percent)
-    late = stage(linked.union(more), "links")
-    label = stage(components(late), "labels")
+    main = sizes.groupBy("bucket").agg(F.max_by("label", F.struct("n", "label")).alias("family"), F.count("*").alias("labels"))
+    strangers = placed.join(main.where("labels > 1").select("bucket", "family"), "bucket").where("label != family")
+    strangers = stage(strangers.select("family", "node").distinct(), "strangers")
+    more = stage(_compared(base, strangers, label, shingle, percent), "late-links")
+    label = stage(components(linked.union(more)), "labels")
 
     placed = signed.select("doc_id", "n_shingles", "d1", "d2").join(nodes, digest, "left")
     return (
