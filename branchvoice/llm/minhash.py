@@ -178,7 +178,10 @@ def _compared(docs: DataFrame, strangers: DataFrame, label: DataFrame, n: int, p
     cell = lambda c: F.pmod(F.xxhash64("node"), F.col(c))
     left = members.join(counts, "family").select("family", "node", cell("ms").alias("i"), F.explode(last("ss")).alias("j"))
     right = strangers.join(counts, "family").select("family", "node", cell("ss").alias("j"), F.explode(last("ms")).alias("i"))
-    left, right = (x.join(text, "node").select("family", "i", "j", "node", "text") for x in (left, right))
+    # Aliases tell the two sides apart, which read the same tables.
+    left, right = (
+        x.join(text, "node").select(*[F.col(c).alias(c) for c in ("family", "i", "j", "node", "text")]) for x in (left, right)
+    )
     key = ["family", "i", "j"]
     return left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(_links(n, percent), "a long, b long")
 
