@@ -5,8 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from branchvoice.llm import decontamination, language, minhash, mixing, sharding
-from branchvoice.llm.stages import ship
+from branchvoice.llm import decontamination, language, minhash, mixing, secret_scan, sharding, token_counts, token_files, vectors
+from branchvoice.llm.stages import new_folder, ship
+
+
+def tokenizer(name: str) -> str:
+    """Path of a public tokenizer file, the same on all workers."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,6 +27,27 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "size", crc, F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = secret_scan.secrets(documents(spark, sf_dir))
+    base = F.filter("spans", lambda s: s["kind"] != "random")
+
+    def number(kind: str):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return rows.select(
+        "doc_id", number("assign"), number("access"), number("hex"),
+        F.sha2(secret_scan.written(base), 256).alias("base_sha256"), secret_scan.written(F.col("spans")).alias("spans"),
+    )
+
+
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With a cache of its own, so that every run encodes all contents; pass a lasting folder to keep counts."""
+    cache = new_folder(spark, "token-cache")
+    return token_counts.token_counts(
+        documents(spark, sf_dir), tokenizer("word_bpe_49k.json"), cache, normalise=token_counts.one_space, by_word=True
+    )
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -29,6 +57,17 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark, "tokens")
+    manifest = token_files.write_tokens(documents(spark, sf_dir), tokenizer("byte_bpe_50k.json"), folder, end=0)
+    return token_files.read_tokens(spark, folder, manifest)
+
+
+def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return vectors.near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), least=0.9)
+
+
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminated(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
@@ -39,8 +78,12 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_sharding": op1_sharding,
+    "op2_secret_scan": op2_secret_scan,
+    "op3_token_counts": op3_token_counts,
     "op4_mixing": op4_mixing,
     "op5_language_id": op5_language_id,
+    "op6_token_files": op6_token_files,
+    "op8_embedding_near_dedup": op8_embedding_near_dedup,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
 }
