@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from branchvoice.llm import decontamination, language, minhash, mixing, secret_scan, sharding, token_counts, token_files, vectors
+from branchvoice.llm import decontamination, language, minhash, mixing, secret_scan, sharding, substrings, token_counts, token_files, vectors
 from branchvoice.llm.stages import new_folder, ship
 
 
@@ -63,6 +63,11 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_tokens(spark, folder, manifest)
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = substrings.without_repeats(documents(spark, sf_dir), window=13)
+    return rows.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
     return vectors.near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), least=0.9)
@@ -83,6 +88,7 @@ QUERIES = {
     "op4_mixing": op4_mixing,
     "op5_language_id": op5_language_id,
     "op6_token_files": op6_token_files,
+    "op7_substring_dedup": op7_substring_dedup,
     "op8_embedding_near_dedup": op8_embedding_near_dedup,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
