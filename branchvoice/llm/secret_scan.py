@@ -1,8 +1,9 @@
 """Secrets in texts: fixed patterns, and strings that look random to two character models.
 
 First-order Markov models of random strings and of ordinary identifiers are counted over a bounded
-sample of documents: characters of pattern matches are labelled random, all others ordinary. A
-string of the right make-up is a secret when its log-likelihood ratio is high enough.
+sample of documents: characters of pattern matches are labelled random, all others ordinary but
+for long strings of letters and digits, which are not labelled. Such a string outside the matches is a secret when its
+log-likelihood ratio is high enough.
 """
 
 from __future__ import annotations
@@ -30,8 +31,8 @@ CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 SAMPLE = 20_000
 CHARACTERS = "".join(map(chr, [*range(48, 58), *range(65, 91), *range(97, 123)])) + "+/_.=-"
 STATES = len(CHARACTERS) + 1
-#: Added to each count: random strings use all characters alike, identifiers rarely surprise.
-PRIOR_RANDOM, PRIOR_ORDINARY = 20.0, 0.05
+#: Weight, in counts, of what a state falls back on, and the count of a character never seen.
+PRIOR_RANDOM, PRIOR_ORDINARY, LEAST_SEEN = 1400.0, 5.0, 0.05
 #: Nats that speak for random: in all, and per character.
 LEAST_TOTAL, LEAST_EACH = 12.0, 0.6
 PIECE = 4 << 20
@@ -53,6 +54,11 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return sorted(spans, key=lambda s: (s[1], KINDS.index(s[0])))
 
 
+def mixed(value: str) -> bool:
+    """Letters and digits both."""
+    return bool(re.search("[0-9]", value) and re.search("[A-Za-z]", value))
+
+
 def _steps(text: str) -> np.ndarray:
     """State pairs of a text; everything outside the alphabet is one state."""
     states = _state[np.frombuffer(text.encode("latin-1", "replace"), np.uint8)]
@@ -70,7 +76,9 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 rest.append(text[last:start])
                 last = max(last, end)
             rest.append(text[last:])
-            counts[1] += np.bincount(_steps(f" {' '.join(rest)} "), minlength=STATES * STATES)
+            # Strings of the make-up that the models are to judge are not labelled.
+            known = CANDIDATE.sub(lambda m: " " if mixed(m[0]) else m[0], " ".join(rest))
+            counts[1] += np.bincount(_steps(f" {known} "), minlength=STATES * STATES)
     label, step = np.nonzero(counts)
     yield pa.RecordBatch.from_arrays([pa.array(label), pa.array(step), pa.array(counts[label, step])], names=["label", "step", "n"])
 
@@ -84,10 +92,12 @@ def ratios(docs: DataFrame, sample: int = SAMPLE) -> np.ndarray:
     counts = np.zeros((2, STATES, STATES))
     for r in counted.collect():
         counts[r["label"], r["step"] // STATES, r["step"] % STATES] = r["n"]
-    counts += np.array([PRIOR_RANDOM, PRIOR_ORDINARY])[:, None, None]
-    # Steps out of the outer state only say how strings begin.
-    chance = np.log(counts / counts.sum(axis=2, keepdims=True))
-    return chance[0] - chance[1]
+    # Random strings fall back on all characters alike, identifiers on how often a character is seen at all.
+    alone = counts[1].sum(axis=0) + LEAST_SEEN
+    alone /= alone.sum()
+    random = (counts[0] + PRIOR_RANDOM / STATES) / (counts[0].sum(axis=1, keepdims=True) + PRIOR_RANDOM)
+    ordinary = (counts[1] + PRIOR_ORDINARY * alone) / (counts[1].sum(axis=1, keepdims=True) + PRIOR_ORDINARY)
+    return np.log(random) - np.log(ordinary)
 
 
 def random_spans(text: str, ratio: np.ndarray, taken: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
@@ -95,7 +105,7 @@ def random_spans(text: str, ratio: np.ndarray, taken: list[tuple[str, int, int]]
     out = []
     for m in CANDIDATE.finditer(text):
         value = m[0]
-        if not (re.search("[0-9]", value) and re.search("[A-Za-z]", value)):
+        if not mixed(value):
             continue
         if any(start < m.end() and m.start() < end for _, start, end in taken):
             continue
