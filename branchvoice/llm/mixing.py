@@ -81,17 +81,18 @@ def sweep(words: np.ndarray, chance: np.ndarray, draw: np.random.Generator) -> n
         if not 0 < p[i] < 1:
             continue
         w_rest, p_rest = w[i + 1 :], p[i + 1 :]
-        open_ = (p_rest > 0) & (p_rest < 1)
-        lower, raise_ = (p_rest * w_rest)[open_].sum(), ((1 - p_rest) * w_rest)[open_].sum()
-        up, down = min((1 - p[i]) * w[i], lower), min(p[i] * w[i], raise_)
-        if not up > 0 or not down > 0:
+        # All move along one direction, so that no document's chance is shifted on average.
+        room = np.minimum(p_rest, 1 - p_rest)
+        held = float(room @ w_rest)
+        up, down = min((1 - p[i]) * w[i], held), min(p[i] * w[i], held)
+        if not held > 0:
             p[i] = float(draw.random() < p[i])
         elif draw.random() * (up + down) < down:
-            p_rest[open_] *= 1 - up / lower
-            p[i] = 1.0 if up < lower else p[i] + up / w[i]
+            p_rest -= room * (up / held)
+            p[i] = 1.0 if up < held else p[i] + up / w[i]
         else:
-            p_rest[open_] += (1 - p_rest[open_]) * (down / raise_)
-            p[i] = 0.0 if down < raise_ else p[i] - down / w[i]
+            p_rest += room * (down / held)
+            p[i] = 0.0 if down < held else p[i] - down / w[i]
         p_rest[p_rest < 1e-12] = 0.0
         p_rest[p_rest > 1 - 1e-12] = 1.0
         if 0 < p[i] < 1:
