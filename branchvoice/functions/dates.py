@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 ISO = r"^\d{4}-\d{2}-\d{2}\z"
 DMY_SLASH = r"^\d{1,2}/\d{1,2}/\d{4}\z"
 DMY_DASH = r"\d{1,2}-\d{1,2}-\d{4}"
+AGO = r"il y a (\d{1,4}|une?) (jour|semaine|mois|an)"
 UNKNOWN_DATE = "Date inconnue"
 
 
@@ -21,16 +22,25 @@ def parse_date_basic(c: Column) -> Column:
     )
 
 
-def format_date_dmy(c: Column, as_of: str) -> Column:
+def format_date_dmy(c: Column, as_of: str, exact_relative: bool = False) -> Column:
     """ISO, D/M/Y, relative French and D-M-Y text as DD/MM/YYYY, else NULL.
 
-    Relative dates go back one day, one week or one month, whatever their number.
+    Relative dates go back one day, one week or one month, whatever their number; with
+    `exact_relative` as many days, weeks, months or years as they say where they say it.
     """
     now, low = as_date(as_of), F.lower(c)
+    found = F.when(c.rlike(ISO), F.try_to_date(c, "yyyy-MM-dd")).when(c.rlike(DMY_SLASH), F.try_to_date(c, "d/M/yyyy"))
+    if exact_relative:
+        number, unit = (F.regexp_extract(low, AGO, k) for k in (1, 2))
+        n = F.when(number.startswith("un"), 1).otherwise(number.try_cast("int"))
+        found = (
+            found.when(unit == "jour", F.date_sub(now, n))
+            .when(unit == "semaine", F.date_sub(now, n * 7))
+            .when(unit == "mois", F.add_months(now, -n))
+            .when(unit == "an", F.add_months(now, n * -12))
+        )
     found = (
-        F.when(c.rlike(ISO), F.try_to_date(c, "yyyy-MM-dd"))
-        .when(c.rlike(DMY_SLASH), F.try_to_date(c, "d/M/yyyy"))
-        .when(low.rlike("(?s)il y a.*jour"), F.date_sub(now, 1))
+        found.when(low.rlike("(?s)il y a.*jour"), F.date_sub(now, 1))
         .when(low.rlike("(?s)il y a.*semaine"), F.date_sub(now, 7))
         .when(low.rlike("(?s)il y a.*mois"), F.add_months(now, -1))
         .otherwise(F.try_to_date(F.regexp_extract(c, DMY_DASH, 0), "d-M-yyyy"))

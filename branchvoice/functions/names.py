@@ -63,6 +63,11 @@ def topic_description(name: Column) -> Column:
     return _lookup(name, rules.TOPIC_DESCRIPTIONS, name)
 
 
-def keyword_topic(text: Column) -> Column:
-    """Topic label of the first keyword found in a term or text, NULL without one."""
-    return first_match(text, rules.TOPIC_KEYWORDS, F.lit(None).cast("string"))
+def keyword_topic(text: Column, fold: bool = False) -> Column:
+    """Topic label of the first keyword found in a term or text, NULL without one; `fold` ignores accents."""
+    table = rules.TOPIC_KEYWORDS
+    if fold:
+        text = F.translate(text, *rules.FOLDED)
+        bare = str.maketrans(*rules.FOLDED)
+        table = [([n.translate(bare) for n in needles], label) for needles, label in table]
+    return first_match(text, table, F.lit(None).cast("string"))

@@ -147,6 +147,9 @@ TOPIC_KEYWORDS = [
     (("secur", "confianc"), "Sécurité"),
 ]
 
+# Accented letters and what they are without.
+FOLDED = ("àâäéèêëîïôöùûüç", "aaaeeeeiioouuuc")
+
 # --- fixed values: stop words ------------------------------------------------
 DOMAIN_STOP_WORDS = {
     "fr": [
@@ -156,19 +159,8 @@ DOMAIN_STOP_WORDS = {
     ],
     "ar": ["بنك", "وكالة", "فرع", "جدا", "كل", "هذا", "ذلك", "هنا", "هناك"],
 }
-# Function words of each language. One- and two-letter words are left out: the
-# token filter already drops everything of that length.
+# Arabic function words; the French ones come from Spark's own list.
 FUNCTION_WORDS = {
-    "fr": [
-        "aux", "avec", "ces", "dans", "des", "elle", "eux", "leur", "lui", "mais",
-        "mes", "moi", "même", "nos", "notre", "nous", "par", "pas", "pour", "que",
-        "qui", "sans", "ses", "son", "sur", "ton", "toi", "tes", "une", "vos",
-        "votre", "vous", "est", "êtes", "était", "étais", "étaient", "étant", "été",
-        "être", "suis", "sommes", "sont", "sera", "serai", "serait", "seront",
-        "fus", "fut", "fussent", "soit", "soient", "ayant", "avons", "avez", "ont",
-        "aura", "aurai", "aurait", "auront", "avait", "avais", "avaient", "eut",
-        "eurent", "ait", "aient", "cette", "cet", "ils", "elles", "les", "mon",
-    ],
     "ar": [
         "على", "إلى", "عن", "مع", "هذه", "التي", "الذي", "الذين", "كان", "كانت",
         "لكن", "حتى", "بعد", "قبل", "عند", "كما", "ليس", "هو", "هي", "هم", "نحن",
@@ -176,7 +168,6 @@ FUNCTION_WORDS = {
         "غير", "بعض", "أيضا", "منذ", "حيث", "إذا", "كيف", "متى", "أين", "لماذا",
     ],
 }
-STOP_WORDS = {lang: FUNCTION_WORDS[lang] + DOMAIN_STOP_WORDS[lang] for lang in FUNCTION_WORDS}
 
 # Endings taken off by the light stemmers, longest first.
 STEM_ENDINGS = {

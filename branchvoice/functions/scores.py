@@ -8,8 +8,9 @@ from branchvoice.functions import rules
 RATING = r"^[0-5](\.[0-9])?\z"
 
 
-def parse_rating(c: Column) -> Column:
-    """Text like '4' or '4.0' as decimal(2,1); everything else 0.0."""
+def parse_rating(c: Column, decimal_comma: bool = False) -> Column:
+    """Text like '4' or '4.0' (with `decimal_comma` also '4,0') as decimal(2,1); everything else 0.0."""
+    c = F.translate(c, ",", ".") if decimal_comma else c
     return F.when(c.rlike(RATING), c).otherwise("0").cast("decimal(2,1)")
 
 
@@ -60,10 +61,14 @@ def threshold_label(value: Column, levels, lowest: str) -> Column:
 
 
 def ratio(num: Column, den: Column, digits: int) -> Column:
-    """num / den of whole non-negative numbers, rounded half up without float error."""
-    scale = 10**digits
+    """num / den of whole non-negative numbers, rounded half up without float error; 0 / 0 is NULL."""
+    return whole_ratio(num, den, digits).cast("double") / 10**digits
+
+
+def whole_ratio(num: Column, den: Column, digits: int) -> Column:
+    """The same ratio as a whole number of units in its last digit."""
     num, den = num.cast("decimal(38,0)"), den.cast("decimal(38,0)")
-    return F.floor((num * (2 * scale) + den) / (den * 2)).cast("double") / scale
+    return F.when(den > 0, F.floor((num * (2 * 10**digits) + den) / (den * 2)))
 
 
 def pct(num: Column, den: Column) -> Column:

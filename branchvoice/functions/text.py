@@ -3,6 +3,7 @@
 from functools import reduce
 from operator import or_
 
+from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -75,12 +76,19 @@ def detect_arabic_any(c: Column) -> Column:
     return F.when(c.rlike(r"[\x{0600}-\x{06FF}]"), "Arabe").otherwise("Français")
 
 
-def analyze_sentiment(c: Column) -> Column:
-    """First hit of: positive words, negative words, star patterns; else 'Neutre'."""
-    low = F.lower(c)
-    chain = F.when(contains_any(low, rules.POSITIVE_WORDS), "Positif").when(
-        contains_any(low, rules.NEGATIVE_WORDS), "Negatif"
-    )
+def has_word(text: Column, words) -> Column:
+    """One of the words, not inside a longer one."""
+    edge = r"[\p{L}\p{N}_]"
+    return text.rlike(f"(?<!{edge})({'|'.join(words)})(?!{edge})")
+
+
+def analyze_sentiment(c: Column, whole_words: bool = False) -> Column:
+    """First hit of: positive words, negative words, star patterns; else 'Neutre'.
+
+    Words count inside longer words too, unless `whole_words`.
+    """
+    low, found = F.lower(c), has_word if whole_words else contains_any
+    chain = F.when(found(low, rules.POSITIVE_WORDS), "Positif").when(found(low, rules.NEGATIVE_WORDS), "Negatif")
     starred = c.contains("étoile") | c.contains("/5")
     for pattern, label in rules.STAR_RULES:
         chain = chain.when(starred & c.rlike(f"(?s){pattern}"), label)
@@ -105,8 +113,14 @@ def filter_tokens(words: Column) -> Column:
     return F.filter(words, lambda w: (F.length(w) > 2) & w.rlike(r"^\p{L}+\z"))
 
 
+def stop_words(lang: str) -> list[str]:
+    """Function words (Spark's French list, ours for Arabic) and words of the trade; French by default."""
+    own = rules.FUNCTION_WORDS["ar"] if lang == "ar" else StopWordsRemover.loadDefaultStopWords("french")
+    return [*own, *rules.DOMAIN_STOP_WORDS["ar" if lang == "ar" else "fr"]]
+
+
 def drop_stopwords(words: Column, lang: str) -> Column:
-    stop = rules.STOP_WORDS.get(lang, rules.STOP_WORDS["fr"])
+    stop = stop_words(lang)
     return F.filter(words, lambda w: ~w.isin(stop))
 
 

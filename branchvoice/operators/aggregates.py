@@ -38,6 +38,11 @@ def sample_rows(df: DataFrame, n: int = 3, chars: int = 50) -> DataFrame:
     )
 
 
+def preview(df: DataFrame, n: int, *order: str) -> DataFrame:
+    """The first n rows in the given order, to look at."""
+    return df.orderBy(*order).limit(n)
+
+
 def by_language(df: DataFrame, lang: str) -> DataFrame:
     return df.filter(F.col("langue") == lang)
 

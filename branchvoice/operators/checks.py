@@ -3,12 +3,25 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from branchvoice.operators.storage import stored
+
 
 def not_unique(df: DataFrame, *cols: str) -> DataFrame:
     """Key values that occur more than once."""
     return df.groupBy(*cols).agg(F.count("*").alias("n")).filter("n > 1")
 
 
+def not_unique_text(df: DataFrame, keys: list[str], body: str) -> DataFrame:
+    """Combinations of keys and a long text that occur more than once.
+
+    Groups are formed by a digest of the text; texts are fetched for the failures only.
+    """
+    digest = F.unhex(F.sha2(F.col(body), 256)).alias("_digest")
+    groups = df.groupBy(*keys, digest).agg(F.count("*").alias("n"), F.min("id").alias("_first")).filter("n > 1")
+    failures = stored(groups.select(F.col("_first").alias("id"), "n"), "failures")
+    return df.select("id", *keys, body).join(failures, "id").drop("id")
+
+
 def missing(df: DataFrame, col: str) -> DataFrame:
     return df.filter(F.col(col).isNull())
 

@@ -4,7 +4,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MAX_BROADCAST_BYTES = 64 << 20
-SALTS = 16
 
 
 def is_small(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
@@ -17,16 +16,11 @@ def lookup_join(facts: DataFrame, dim: DataFrame, on: list[str], how: str = "lef
                 max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """Join facts to a stored dimension on equal columns.
 
-    A dimension that measures small is broadcast. A larger one is repeated once per salt
-    and the facts spread over the salts, so that a key holding a third of all facts is
-    split over many tasks.
+    A dimension that measures small is broadcast. A larger one is joined by a shuffle, and
+    adaptive execution splits the partition of a key that holds many facts into as many
+    tasks as its size asks for; cold keys cost nothing extra. Measuring runs one job.
     """
-    if is_small(dim, max_bytes):
-        return facts.join(F.broadcast(dim), on, how)
-    salted = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    # Salted by content, not by position: a retried task must send a row the same way.
-    spread = facts.withColumn("_salt", F.pmod(F.xxhash64(*facts.columns), F.lit(SALTS)).cast("int"))
-    return spread.join(salted, [*on, "_salt"], how).drop("_salt")
+    return facts.join(F.broadcast(dim) if is_small(dim, max_bytes) else dim.hint("merge"), on, how)
 
 
 def lookup_key(facts: DataFrame, dim: DataFrame, on: list[str], key: str,
@@ -36,9 +30,12 @@ def lookup_key(facts: DataFrame, dim: DataFrame, on: list[str], key: str,
     return joined.withColumn(key, F.coalesce(F.col(key), F.lit(-1)).cast("long"))
 
 
-def attach_topics(reviews: DataFrame, topics: DataFrame, default: str) -> DataFrame:
-    """Topic name per review id, the default label without one. Both sides are large."""
-    named = topics.select("id", F.col("topic_name").alias("topic"))
+def attach_topics(reviews: DataFrame, topics: DataFrame, default: str, probability: bool = False) -> DataFrame:
+    """Topic name per review id, the default label without one. Both sides are large.
+
+    `probability` carries topic_probability along, so that nobody has to join for it again.
+    """
+    named = topics.select("id", F.col("topic_name").alias("topic"), *["topic_probability"] * probability)
     return reviews.join(named, "id", "left").withColumn("topic", F.coalesce("topic", F.lit(default)))
 
 

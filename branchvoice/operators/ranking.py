@@ -50,6 +50,25 @@ def number_rows(df: DataFrame, out: str, order: list | None = None, parts: int |
     return numbered.withColumn(out, F.col("_before") + F.col("_row") + 1).drop("_part", "_row", "_before")
 
 
+#: Rows of a group that a window may sort in one task.
+GROUP_ROWS = 100_000
+
+
+def rank_rows(df: DataFrame, group: str, order: list[str], out: str, most: int = GROUP_ROWS) -> DataFrame:
+    """row_number() over (partition by group order by order), for a stored table.
+
+    Group sizes are counted first, combined before their shuffle. Groups of at most `most` rows
+    are ranked by a plain window; only larger ones take the way over ranges, which cuts them.
+    """
+    counts = df.groupBy(group).agg(F.count("*").alias("_n")).filter(F.col("_n") > most)
+    hot = stored(counts.select(group), "hot-groups")
+    window = Window.partitionBy(group).orderBy(*order)
+    if hot.isEmpty():
+        return df.withColumn(out, F.row_number().over(window))
+    cold = df.join(hot, group, "left_anti").withColumn(out, F.row_number().over(window))
+    return cold.unionByName(rank_in_group(df.join(hot, group, "left_semi"), group, order, out).withColumn(out, F.col(out).cast("int")))
+
+
 def rank_in_group(df: DataFrame, group: str, order: list[str], out: str, parts: int | None = None) -> DataFrame:
     """row_number() over (partition by group order by order).
 

@@ -5,19 +5,25 @@ so a lost executor never forces a recomputation past the written table, later re
 prune columns, and the optimizer sees real sizes.
 """
 
-import tempfile
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The session's spark.checkpoint.dir; a private folder only where it is unset."""
+    """The session's spark.checkpoint.dir, else a folder below its warehouse, which is shared too.
+
+    A warehouse on a local disk serves a local master only; a cluster must name a folder.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="branchvoice-")
-        spark.sparkContext.setCheckpointDir(folder)
-    return folder.rstrip("/")
+    if folder:
+        return folder.rstrip("/")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir")
+    local = not re.match("[a-zA-Z][a-zA-Z0-9+.-]*:", warehouse) or warehouse.startswith("file:")
+    if local and not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return warehouse.rstrip("/") + "/_stages"
 
 
 def new_path(spark: SparkSession, label: str) -> str:
@@ -25,6 +31,13 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
+def drop_stages(spark: SparkSession) -> None:
+    """Delete everything that this application has staged; tables built on it can't be read afterwards."""
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/{spark.sparkContext.applicationId}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def stored(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write once, read back."""
     spark = df.sparkSession

@@ -88,17 +88,24 @@ def mart_reviews_clean(normalized: DataFrame, as_of: str) -> DataFrame:
         (F.col("note_numeric") > 0).alias("has_rating"),
         F.to_timestamp(F.lit(as_of)).alias("processed_at"),
     )
-    # Read twice: for the statistics and for the rows.
-    return with_city_stats(stored(clean, "clean"))
+    # The statistics read four narrow columns of what is stored already.
+    return with_city_stats(clean)
 
 
-def review_scores(mart: DataFrame, topics: DataFrame) -> DataFrame:
+def review_scores(mart: DataFrame) -> DataFrame:
     """Input of the two marts below, whose source table was never defined: the enriched
-    mart, the topic probability, and a score of 60 % rating and 40 % sentiment."""
+    mart and a score of 60 % rating and 40 % sentiment.
+
+    Topic category and confidence come with a mart that carries topic and probability; the
+    bank metrics need neither.
+    """
     positive, negative = F.col("sentiment") == "Positif", F.col("sentiment") == "Negatif"
     feeling = F.when(positive, F.lit("0.4")).when(negative, F.lit("0.0")).otherwise("0.2").cast("decimal(2,1)")
-    confidence = topics.select("id", F.col("topic_probability").alias("topic_confidence"))
-    return mart.join(confidence, "id", "left").select(
+    topic = (
+        [names.topic_category(F.col("topic")).alias("topic_category"), F.col("topic_probability").alias("topic_confidence")]
+        if "topic_probability" in mart.columns else []
+    )
+    return mart.select(
         "banque",
         "ville",
         "nom_agence",
@@ -109,8 +116,7 @@ def review_scores(mart: DataFrame, topics: DataFrame) -> DataFrame:
         (F.col("sentiment") == "Neutre").cast("int").alias("is_neutral"),
         dates.review_date(F.col("date_avis")).alias("review_date"),
         F.col("langue").alias("language"),
-        names.topic_category(F.col("topic")).alias("topic_category"),
-        "topic_confidence",
+        *topic,
     )
 
 
@@ -163,10 +169,15 @@ def mart_topic_analysis(scored: DataFrame) -> DataFrame:
 
 
 def topic_summary(analysis: DataFrame) -> DataFrame:
-    """Second aggregation level; the overall rating is the mean of the banks' means."""
+    """Second aggregation level; the overall rating is the mean of the banks' means.
+
+    Those are taken in whole billionths, so that their sum does not depend on its order.
+    """
+    tenths = F.round(F.col("avg_rating") * F.col("review_count") * 10).cast("long")
+    billionths = scores.whole_ratio(tenths, F.col("review_count") * 10, 9)
     return analysis.groupBy("topic_category").agg(
         F.sum("review_count").alias("total_reviews"),
-        F.avg("avg_rating").alias("overall_avg_rating"),
+        (F.sum(billionths).cast("double") / F.count("*") / 1e9).alias("overall_avg_rating"),
         F.sum("positive_count").alias("total_positive"),
         F.sum("negative_count").alias("total_negative"),
         scores.pct(F.sum("positive_count"), F.sum("review_count")).alias("overall_positive_rate"),

@@ -56,11 +56,17 @@ def _roll_up(cube: DataFrame, *keys: str) -> DataFrame:
     return cube.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in measures])
 
 
-def report_bank_topic(mart: DataFrame, min_reviews: int = 2) -> DataFrame:
-    """Bank x topic: count, rating, sentiments, length, satisfaction; tiny groups left out."""
-    spread = F.stddev_samp(F.col("note").cast("double")).alias("spread")
-    grouped = _with_category(mart).groupBy("banque", "topic_category", "topic_name").agg(*_measures(), spread)
+def report_bank_topic(mart: DataFrame, min_reviews: int = 1) -> DataFrame:
+    """Bank x topic: count, rating, sentiments, length, satisfaction; groups below min_reviews are left out.
+
+    The standard deviation comes from whole sums of tenths and of their squares.
+    """
+    squares = F.sum((F.col("note") * 10).cast("long") * (F.col("note") * 10).cast("long")).alias("squares")
+    grouped = _with_category(mart).groupBy("banque", "topic_category", "topic_name").agg(*_measures(), squares)
     n = F.col("n")
+    whole = {c: F.col(c).cast("decimal(19,0)") for c in ("n", "squares", "tenths")}
+    variance = (whole["n"] * whole["squares"] - whole["tenths"] * whole["tenths"]).cast("double") / (n.cast("double") * (n - 1))
+    spread = F.when(n > 1, F.floor(F.sqrt(variance) * 10 + 0.5).cast("double") / 100)
     return (
         grouped.filter(n >= min_reviews)
         .select(
@@ -69,7 +75,7 @@ def report_bank_topic(mart: DataFrame, min_reviews: int = 2) -> DataFrame:
             "topic_name",
             n.alias("nombre_avis"),
             _note_mean(F.col("tenths"), n).alias("note_moyenne"),
-            F.round("spread", 2).alias("note_ecart_type"),
+            spread.alias("note_ecart_type"),
             F.col("Positif").alias("sentiment_positif"),
             F.col("Negatif").alias("sentiment_negatif"),
             F.col("Neutre").alias("sentiment_neutre"),
@@ -190,23 +196,18 @@ def report_category_insights(mart: DataFrame) -> DataFrame:
 def report_bank_year(counted: DataFrame, first: int = 2019, last: int = 2025) -> DataFrame:
     """Reviews per bank on a dense grid of years, with totals, share and rank.
 
+    Every bank has a row for every year; one without reviews in the years has zeros, and NULL shares.
+
     `counted` has bank_name, review_year and fact_rows, the number of fact rows of a
     review: 1 on the strict fact, more where the specified joins multiply.
     """
-    years = last - first + 1
-    per_year = (
-        counted.filter(F.col("review_year").between(first, last))
-        .groupBy(F.col("bank_name").alias("banque"), F.col("review_year").alias("year"))
-        .agg(F.sum("fact_rows").alias("nombre_avis"))
-    )
-    filled = stored(per_year)
-    grid = (
-        filled.select("banque")
-        .distinct()
-        .withColumn("year", F.explode(F.sequence(F.lit(first), F.lit(last))))
-        .join(filled, ["banque", "year"], "left")
-        .na.fill(0, ["nombre_avis"])
+    span = range(first, last + 1)
+    years, rows = len(span), F.col("fact_rows")
+    per_bank = counted.groupBy(F.col("bank_name").alias("banque")).agg(
+        *[F.coalesce(F.sum(F.when(F.col("review_year") == y, rows)), F.lit(0)).cast("long").alias(f"n{y}") for y in span]
     )
+    cells = F.array(*[F.struct(F.lit(y).alias("year"), F.col(f"n{y}").alias("nombre_avis")) for y in span])
+    grid = per_bank.select("banque", F.inline(cells))
     # At most one row per bank and year: a window holds a handful of rows.
     bank = Window.partitionBy("banque")
     total = F.col("total_avis_banque")
@@ -237,16 +238,17 @@ def report_bank_summary(bank_year: DataFrame) -> DataFrame:
         F.min("nombre_avis").alias("pire_score"),
         (F.max("nombre_avis") - F.min("nombre_avis")).alias("ecart_max_min"),
         (centred - F.sum("nombre_avis") * (F.min("year") + F.max("year"))).alias("_slope"),
-        F.stddev_pop(n.cast("double")).alias("_spread"),
-        F.avg(n.cast("double")).alias("_mean"),
+        (F.sum(n.cast("decimal(18,0)") * n.cast("decimal(18,0)")) * F.count("*")).alias("_squares"),
+        (F.sum(n).cast("decimal(19,0)") * F.sum(n).cast("decimal(19,0)")).alias("_square"),
     )
-    slope, spread = F.col("_slope"), F.col("_spread") / F.col("_mean")
+    # The deviation exceeds the mean when count * sum of squares exceeds twice the squared sum.
+    slope, squares, square = F.col("_slope"), F.col("_squares"), F.col("_square")
     labelled = per_bank.withColumns(
         {
             "tendance_generale": F.when(slope > 0, "Croissante").when(slope < 0, "Décroissante").otherwise("Stable"),
-            "regularite": F.when(spread > 1, "Variable").when(spread > 0.5, "Modérée").otherwise("Régulière"),
+            "regularite": F.when(squares > square * 2, "Variable").when(squares * 4 > square * 5, "Modérée").otherwise("Régulière"),
         }
-    ).drop("_slope", "_spread", "_mean")
+    ).drop("_slope", "_squares", "_square")
     return number_rows(labelled, "rang_volume_total", [F.desc("total_avis_2019_2025"), F.asc("banque")])
 
 

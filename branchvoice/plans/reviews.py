@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from branchvoice.functions import dates, names, rules, scores, text
 from branchvoice.operators.joins import attach_topics
-from branchvoice.operators.ranking import first_per_key, rank_in_group
+from branchvoice.operators.ranking import first_per_key, rank_in_group, rank_rows
 from branchvoice.operators.storage import stored
 
 EXACT_KEYS = ["banque", "ville", "nom_agence"]
@@ -90,15 +90,19 @@ def duplicate_ranks(keys: DataFrame, parts: int | None = None) -> DataFrame:
     Works on narrow rows, both kinds in one pass: only digests, load time and id are
     sorted and shuffled.
     """
-    ranked = rank_in_group(keys, "copies", ["created_at", "id"], "rank", parts)
+    order = ["created_at", "id"]
+    ranked = rank_in_group(keys, "copies", order, "rank", parts) if parts else rank_rows(keys, "copies", order, "rank")
     rank = {kind: F.max(F.when(F.col("kind") == kind, F.col("rank"))) for kind in ("exact", "similar")}
     return ranked.groupBy("id").agg(
         rank["exact"].alias("duplicate_rank"), rank["similar"].alias("similar_rank")
     )
 
 
-def dedup_decision(ranked: DataFrame) -> DataFrame:
-    """Duplicate flags, confidence and the keep decision from both ranks."""
+def dedup_decision(ranked: DataFrame, drop_similar: bool = False) -> DataFrame:
+    """Duplicate flags, confidence and the keep decision from both ranks.
+
+    Near copies are flagged and kept, unless `drop_similar`.
+    """
     first, alone = F.col("duplicate_rank") == 1, F.col("similar_rank") == 1
     score = (
         F.when(first & alone, 1.0)
@@ -108,17 +112,22 @@ def dedup_decision(ranked: DataFrame) -> DataFrame:
     )
     return ranked.withColumns(
         {"is_exact_duplicate": ~first, "is_similar_duplicate": ~alone, "keep_confidence_score": score}
-    ).withColumn("should_keep", ~F.col("is_exact_duplicate") | (F.col("keep_confidence_score") >= 0.8))
+    ).withColumn(
+        "should_keep",
+        (~F.col("is_exact_duplicate") | (F.col("keep_confidence_score") >= 0.8)) & (alone if drop_similar else F.lit(True)),
+    )
 
 
-def int_reviews_deduplicated(cleaned: DataFrame, body: str = "avis_cleaned", parts: int | None = None) -> DataFrame:
+def int_reviews_deduplicated(
+    cleaned: DataFrame, body: str = "avis_cleaned", parts: int | None = None, drop_similar: bool = False
+) -> DataFrame:
     """All reviews with content hash, both ranks, flags and decision; drops nothing."""
     # Written once: the ranking (and its sampling pass) reads only ids, times and digests.
     tagged = stored(with_group_ids(cleaned, body), "cleaned")
     ranks = duplicate_ranks(duplicate_keys(tagged), parts)
     ranked = tagged.drop("exact_group", "similar_group").join(ranks, "id")
     hashed = ranked.withColumn("content_hash", F.md5(F.concat(*EXACT_KEYS, body)))
-    return dedup_decision(hashed)
+    return dedup_decision(hashed, drop_similar)
 
 
 def kept_reviews(cleaned: DataFrame, body: str = "avis_cleaned") -> DataFrame:
@@ -140,22 +149,22 @@ def topic_corpus(kept: DataFrame) -> DataFrame:
     )
 
 
-def keyword_topics(corpus: DataFrame) -> DataFrame:
-    """Topic table by keyword instead of a fitted model: same columns, exact results.
+def keyword_topics(corpus: DataFrame, fold: bool = False) -> DataFrame:
+    """Topic table by keyword instead of a fitted model: same columns, exact results, and the language.
 
     Reviews without a keyword and reviews in neither language get no row; the
-    probability is a fixed function of the id.
+    probability is a fixed function of the id. With `fold` accents make no difference.
     """
-    label = names.keyword_topic(F.col("avis"))
+    label = names.keyword_topic(F.col("avis"), fold)
     ids = F.lit(None).cast("int")
     for i, (_, value) in reversed(list(enumerate(rules.TOPIC_KEYWORDS))):
         ids = F.when(F.col("topic_name") == value, i).otherwise(ids)
     share = (F.pmod("id", F.lit(1000)) + 1).cast("decimal(10,0)") / 1000
     return (
         corpus.filter(F.col("langue").isin("fr", "ar"))
-        .select("id", label.alias("topic_name"), share.cast("decimal(4,3)").alias("topic_probability"))
+        .select("id", "langue", label.alias("topic_name"), share.cast("decimal(4,3)").alias("topic_probability"))
         .filter(F.col("topic_name").isNotNull())
-        .select("id", ids.alias("topic_id"), "topic_name", "topic_probability")
+        .select("id", ids.alias("topic_id"), "topic_name", "topic_probability", "langue")
     )
 
 
@@ -166,8 +175,8 @@ def filter_final(df: DataFrame) -> DataFrame:
     )
 
 
-def mart_reviews_enriched(kept: DataFrame, topics: DataFrame, as_of: str) -> DataFrame:
-    """Kept reviews with normal names, date label, sentiment and topic."""
+def reviews_enriched(kept: DataFrame, as_of: str) -> DataFrame:
+    """Kept reviews with normal names, date label and sentiment; all of the mart but its topic."""
     base = kept.select(
         "id",
         names.normalize_bank(F.col("banque")).alias("banque"),
@@ -180,4 +189,9 @@ def mart_reviews_enriched(kept: DataFrame, topics: DataFrame, as_of: str) -> Dat
         F.coalesce(dates.format_date_dmy(F.col("date_avis_raw"), as_of), F.lit(dates.UNKNOWN_DATE)).alias("date_avis"),
         text.analyze_sentiment(F.col("avis_cleaned")).alias("sentiment"),
     )
-    return attach_topics(filter_final(base), topics, rules.DEFAULT_TOPIC)
+    return filter_final(base)
+
+
+def mart_reviews_enriched(kept: DataFrame, topics: DataFrame, as_of: str, probability: bool = False) -> DataFrame:
+    """The enriched reviews with their topic, and with its probability if asked for."""
+    return attach_topics(reviews_enriched(kept, as_of), topics, rules.DEFAULT_TOPIC, probability)

@@ -1,14 +1,14 @@
 """Topic model: one distributed LDA per language over TF-IDF vectors."""
 
 from concurrent.futures import ThreadPoolExecutor
-from math import ceil, log
+from math import log
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.clustering import LDA, LDAModel
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import DenseVector
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from branchvoice.functions import names
@@ -21,10 +21,8 @@ MIN_LANGUAGE_REVIEWS = 20
 MIN_DOCUMENTS = 10
 TOPICS = 8
 PASSES = 10
-BATCH = 128
-# Every iteration reads the stored vectors once. A small corpus is cut into batches of
-# BATCH documents; a large one into this many, so that reads stay bounded.
-MAX_BATCHES = 5
+# Every update reads a random part of the documents of this share, whatever the size of the corpus.
+BATCHES = 5
 OTHER_LABEL = {"fr": "Topic", "ar": "موضوع"}
 
 
@@ -33,10 +31,13 @@ def eligible_languages(corpus: DataFrame, minimum: int = MIN_LANGUAGE_REVIEWS) -
     return count_by(corpus.filter(F.col("langue").isin(LANGUAGES)), "langue").filter(F.col("n") >= minimum)
 
 
-def prep_corpus(corpus: DataFrame, lang: str) -> DataFrame:
-    """Word lists of one language; reviews with five characters or fewer left are dropped."""
-    words = by_language(corpus, lang).select("id", topic_words(F.col("avis"), lang).alias("words"))
-    return words.filter(F.length(F.array_join("words", " ")) > 5)
+def prep_corpus(corpus: DataFrame) -> DataFrame:
+    """Word lists (id, langue, words) of both languages in one pass; reviews with five characters or fewer left are dropped."""
+    words = F
+    for lang in LANGUAGES:
+        words = words.when(F.col("langue") == lang, topic_words(F.col("avis"), lang))
+    prepared = corpus.filter(F.col("langue").isin(LANGUAGES)).select("id", "langue", words.alias("words"))
+    return prepared.filter(F.length(F.array_join("words", " ")) > 5)
 
 
 def terms(words: Column) -> Column:
@@ -83,8 +84,18 @@ def tfidf(docs: DataFrame, known: list[Row], rows: int) -> DataFrame:
     return PipelineModel(stages).transform(tagged).select("id", "features")
 
 
-def fit_topics(vectors: DataFrame, rows: int, k: int = TOPICS) -> LDAModel:
-    batches = max(1, min(ceil(rows / BATCH), MAX_BATCHES))
+def weights(vectors: DataFrame, known: list[Row]) -> DataFrame:
+    """The vectors as rows (id, term, weight)."""
+    table = F.array(*[F.lit(r["term"]) for r in known])
+    cells = vectors.select("id", F.posexplode(vector_to_array("features")).alias("index", "weight"))
+    return cells.filter("weight > 0").select("id", F.get(table, F.col("index")).alias("term"), "weight")
+
+
+def fit_topics(vectors: DataFrame, k: int = TOPICS, batches: int = BATCHES, passes: int = PASSES) -> LDAModel:
+    """Online LDA: `passes` looks at every document on average, each in `batches` updates.
+
+    The schedule is the same at every size; the number of reads of the vectors is batches * passes.
+    """
     lda = LDA(
         k=k,
         seed=42,
@@ -95,7 +106,7 @@ def fit_topics(vectors: DataFrame, rows: int, k: int = TOPICS) -> LDAModel:
         topicConcentration=1.0 / k,
         optimizeDocConcentration=False,
         subsamplingRate=1.0 / batches,
-        maxIter=PASSES * batches,
+        maxIter=passes * batches,
         featuresCol="features",
     )
     return lda.fit(vectors)
@@ -138,50 +149,63 @@ def name_topics(strong: DataFrame, lang: str) -> DataFrame:
 
 
 class LanguageTopics:
-    """Vectors, model and names of one language; `ready` is False below the size gates."""
-
-    def __init__(self, corpus: DataFrame, lang: str):
-        self.lang, self.ready = lang, False
-        docs = stored(prep_corpus(corpus, lang), "words")
-        self.rows = docs.count()
-        if self.rows < MIN_DOCUMENTS:
-            return
-        known = vocabulary(docs, self.rows).collect()
-        # Read once per iteration: written once, in an order a re-run repeats.
-        ordered = tfidf(docs, known, self.rows).repartition("id").sortWithinPartitions("id")
-        self.vectors = stored(ordered, "vectors")
-        self.model = fit_topics(self.vectors, self.rows)
-        self.names = name_topics(top_terms(self.model, [r["term"] for r in known]), lang)
-        self.ready = True
+    """Vectors, model and names of one language; `ready` is False below the size gate."""
+
+    def __init__(self, words: DataFrame, lang: str):
+        self.lang = lang
+        self.documents = by_language(words, lang)
+        self.rows = self.documents.count()
+        self.ready = self.rows >= MIN_DOCUMENTS
+        if self.ready:
+            self.known = vocabulary(self.documents, self.rows).collect()
+
+    def fit(self) -> "LanguageTopics":
+        # Read once per update: written once, in an order a re-run repeats.
+        self.vectors = stored(self.tfidf().repartition("id").sortWithinPartitions("id"), "vectors")
+        self.model = fit_topics(self.vectors)
+        self.names = name_topics(top_terms(self.model, [r["term"] for r in self.known]), self.lang)
+        return self
+
+    def tfidf(self) -> DataFrame:
+        return tfidf(self.documents, self.known, self.rows)
 
     def assignments(self) -> DataFrame:
         # k rows of names.
         return assign_topics(self.model, self.vectors).join(F.broadcast(self.names), "topic_id").select(
-            "id", "topic_id", "topic_name", "topic_probability"
+            "id", "topic_id", "topic_name", "topic_probability", F.lit(self.lang).alias("langue")
         )
 
 
-def topic_models(corpus: DataFrame) -> list[LanguageTopics]:
-    """A model for every language that passes both size gates, fitted side by side.
+def language_documents(corpus: DataFrame) -> list[LanguageTopics]:
+    """Documents and vocabulary of every language that passes both size gates.
 
-    The corpus should stand on a written table: it is read once per language and once
-    for the gate.
+    The corpus should stand on a written table: it is read for the gate and once for the words.
     """
     enough = [r["langue"] for r in eligible_languages(corpus).collect()]  # at most two rows
+    words = stored(prep_corpus(corpus), "words")
+    found = [LanguageTopics(words, lang) for lang in LANGUAGES if lang in enough]
+    return [m for m in found if m.ready]
+
+
+def topic_models(corpus: DataFrame) -> list[LanguageTopics]:
+    """A fitted model for every language that passes both size gates, fitted side by side."""
     with ThreadPoolExecutor(len(LANGUAGES)) as pool:
-        fitted = pool.map(lambda lang: LanguageTopics(corpus, lang), [x for x in LANGUAGES if x in enough])
-        return [m for m in fitted if m.ready]
+        return list(pool.map(LanguageTopics.fit, language_documents(corpus)))
 
 
-def review_topics(corpus: DataFrame) -> DataFrame:
-    """Topic table: id, topic_id, topic_name, topic_probability over all languages."""
-    models = topic_models(corpus)
+def assigned(models: list[LanguageTopics], spark: SparkSession) -> DataFrame:
+    """Topic table of all languages, with the language: id, topic_id, topic_name, topic_probability, langue."""
     if not models:
-        schema = "id long, topic_id int, topic_name string, topic_probability decimal(4,3)"
-        return corpus.sparkSession.createDataFrame([], schema)
+        schema = "id long, topic_id int, topic_name string, topic_probability decimal(4,3), langue string"
+        return spark.createDataFrame([], schema)
     return union_all(*[m.assignments() for m in models])
 
 
-def topic_sizes(topics: DataFrame, corpus: DataFrame) -> DataFrame:
-    """Documents per language and topic."""
-    return count_by(topics.join(corpus.select("id", "langue"), "id"), "langue", "topic_id", "topic_name")
+def review_topics(corpus: DataFrame) -> DataFrame:
+    """Topic table: id, topic_id, topic_name, topic_probability over all languages."""
+    return assigned(topic_models(corpus), corpus.sparkSession).drop("langue")
+
+
+def topic_sizes(topics: DataFrame) -> DataFrame:
+    """Documents per language and topic of a topic table that carries the language."""
+    return count_by(topics, "langue", "topic_id", "topic_name")

@@ -39,6 +39,15 @@ def _pick(values: list, index: Column) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), (index % len(values) + 1).cast("int"))
 
 
+# An array has fewer than 2^31 elements, so lines of two texts never share an id; a doc_id of
+# 2^32 or more fails the job instead of wrapping round.
+LINES = 1 << 31
+
+
+def line_id(doc_id: Column, pos: Column | int) -> Column:
+    return doc_id * LINES + pos + 1
+
+
 def branch_pages(documents: DataFrame) -> DataFrame:
     """One branch page per document with the array of its reviews."""
     n, slot = F.col("n_chars"), (F.col("n_chars") % 20).cast("int")
@@ -63,7 +72,7 @@ def raw_reviews(documents: DataFrame) -> DataFrame:
     lines = flatten_reviews(branch_pages(documents))
     place = F.col("doc_id") + F.col("pos")
     return lines.select(
-        (F.col("doc_id") * 1_000_000 + F.col("pos") + 1).alias("id"),
+        line_id(F.col("doc_id"), F.col("pos")).alias("id"),
         "banque",
         "ville",
         "nom_agence",

@@ -1,10 +1,13 @@
 """Reading and storing review tables."""
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from branchvoice.functions import rules
+from branchvoice.operators.aggregates import union_all
 from branchvoice.operators.ranking import number_rows, top_per_key
 from branchvoice.operators.storage import as_table
 
@@ -25,15 +28,6 @@ def source(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Rows over all cores when a small file gives fewer scan tasks than there are cores.
-
-    Large tables already have enough scan tasks and stay as they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
-
-
 def select_as(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
     return df.select(*[F.col(f"`{old}`").alias(new) for old, new in mapping.items()])
 
@@ -45,28 +39,39 @@ def require_columns(df: DataFrame, cols) -> DataFrame:
     return df
 
 
-def _csv(spark: SparkSession, path: str, encoding: str) -> DataFrame:
+def _csv(spark: SparkSession, paths: str | list[str], encoding: str) -> DataFrame:
     """All-text scan; the header decides the columns, rows that do not fit are tagged."""
     options = {"sep": ";", "header": True, "multiLine": True, "quote": '"', "escape": '"', "encoding": encoding}
-    header = spark.read.options(**options).csv(path).columns
+    header = spark.read.options(**options).csv(paths).columns
     schema = T.StructType([T.StructField(c, T.StringType()) for c in [*header, _CORRUPT]])
     return spark.read.options(
         **options, mode="PERMISSIVE", columnNameOfCorruptRecord=_CORRUPT, enforceSchema=False
-    ).schema(schema).csv(path)
+    ).schema(schema).csv(paths)
+
+
+def files_by_encoding(spark: SparkSession, path: str) -> tuple[list[str], list[str]]:
+    """Files whose bytes are UTF-8, and the others. Every file is judged by its own bytes.
+
+    Lines are taken as raw bytes; a line end is never inside a character, so a file is UTF-8
+    exactly when all its lines are. Two lists of file names reach the driver, as in any scan.
+    """
+    lines = spark.read.option("recursiveFileLookup", True).text(path).select(F.input_file_name().alias("file"), F.is_valid_utf8("value").alias("ok"))
+    files = lines.groupBy("file").agg(F.bool_and("ok").alias("ok")).orderBy("file").collect()
+    name = lambda r: unquote(r["file"])
+    return [name(r) for r in files if r["ok"]], [name(r) for r in files if not r["ok"]]
 
 
 def read_reviews_csv(spark: SparkSession, path: str, encodings=("UTF-8", "ISO-8859-1")) -> DataFrame:
     """';'-separated reviews, header and byte-order mark handled by the scan.
 
-    Falls through to the next encoding when decoding left replacement characters. Give a
-    single encoding to save that look at the data.
+    With two encodings, files that are not UTF-8 are read in the second one, the others in the
+    first. A single encoding saves the look at the bytes.
     """
-    for encoding in encodings:
-        df = _csv(spark, path, encoding)
-        text = F.concat_ws("", *[F.col(f"`{c}`") for c in df.columns])
-        if encoding == encodings[-1] or df.filter(text.contains("�")).isEmpty():
-            break
-    return df
+    if len(encodings) == 1:
+        return _csv(spark, path, encodings[0])
+    first, second = files_by_encoding(spark, path)
+    frames = [_csv(spark, files, e) for files, e in zip((first, second), encodings) if files]
+    return union_all(*frames) if frames else _csv(spark, path, encodings[0])
 
 
 def as_raw_strings(df: DataFrame) -> DataFrame:
@@ -80,8 +85,10 @@ def as_raw_strings(df: DataFrame) -> DataFrame:
 
 
 def skipped_rows(df: DataFrame) -> DataFrame:
-    """Number of lines that did not fit the header."""
-    return df.agg(F.count(_CORRUPT).alias("skipped"))
+    """Number of rows that fit the header, and of those that did not and are left out."""
+    # Every column is read: with fewer, a scan would not see which rows do not fit.
+    whole = F.length(F.concat_ws("", *[F.col(f"`{c}`") for c in df.columns])) >= 0
+    return df.agg(F.count_if(whole & F.col(_CORRUPT).isNull()).alias("loaded"), F.count(_CORRUPT).alias("skipped"))
 
 
 def load_raw(df: DataFrame, path: str, loaded_at: str) -> DataFrame:
@@ -90,12 +97,12 @@ def load_raw(df: DataFrame, path: str, loaded_at: str) -> DataFrame:
     return as_table(numbered.select("id", *REVIEW_COLUMNS, "created_at"), path)
 
 
-def write_reviews_csv(df: DataFrame, path: str) -> None:
+def write_reviews_csv(df: DataFrame, path: str, encoding: str = "UTF-8") -> None:
     """';'-separated text with header; one part file per partition."""
     named = df.select(*[F.col(new).alias(old) for old, new in CSV_COLUMNS.items()])
     named.write.mode("overwrite").options(
         sep=";", header=True, quote='"', escape='"', emptyValue="",
-        ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
+        ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, encoding=encoding,
     ).csv(path)
 
 

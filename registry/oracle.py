@@ -5,6 +5,7 @@ regular expression per cleaning step, full word lists. Only fixed values are sha
 """
 
 import re
+from pathlib import Path
 
 from branchvoice.functions import rules
 from branchvoice.sources import documents as doc
@@ -40,8 +41,8 @@ def pct(num: str, den: str) -> str:
 def ratio(num: str, den: str, digits: int) -> str:
     scale = 10**digits
     return (
-        f"CAST((CAST({num} AS HUGEINT) * {2 * scale} + CAST({den} AS HUGEINT)) // (CAST({den} AS HUGEINT) * 2)"
-        f" AS DOUBLE) / {scale}"
+        f"CASE WHEN {den} > 0 THEN CAST((CAST({num} AS HUGEINT) * {2 * scale} + CAST({den} AS HUGEINT)) // (CAST({den} AS HUGEINT) * 2)"
+        f" AS DOUBLE) / {scale} END"
     )
 
 
@@ -86,6 +87,23 @@ def sentiment(c: str) -> str:
     )
 
 
+def whole_words(words) -> str:
+    return f"(^|[^\\p{{L}}\\p{{N}}_])({'|'.join(words)})($|[^\\p{{L}}\\p{{N}}_])"
+
+
+def sentiment_whole(c: str) -> str:
+    s = sentiment(c)
+    for words in (rules.POSITIVE_WORDS, rules.NEGATIVE_WORDS):
+        s = s.replace(lit("|".join(words)), lit(whole_words(words)))
+    return s
+
+
+def folded(text: str) -> str:
+    bare = str.maketrans(*rules.FOLDED)
+    table = [([n.translate(bare) for n in needles], v) for needles, v in rules.TOPIC_KEYWORDS]
+    return first_match(f"translate({text}, {lit(rules.FOLDED[0])}, {lit(rules.FOLDED[1])})", table, "NULL")
+
+
 def rating(c: str) -> str:
     return f"CASE WHEN regexp_matches({c}, '^[0-5](\\.[0-9])?$') THEN CAST({c} AS DECIMAL(2,1)) ELSE CAST(0 AS DECIMAL(2,1)) END"
 
@@ -123,6 +141,20 @@ def dmy(c: str) -> str:
     )
 
 
+AGO = "il y a ([0-9]{1,4}|une?) (jour|semaine|mois|an)"
+
+
+def dmy_exact(c: str) -> str:
+    number, unit = (f"regexp_extract(lower({c}), {lit(AGO)}, {k})" for k in (1, 2))
+    n = f"(CASE WHEN {number} IN ('un', 'une') THEN 1 ELSE try_cast({number} AS INTEGER) END)"
+    back = (
+        f"CASE {unit} WHEN 'jour' THEN {AS_OF} - {n} WHEN 'semaine' THEN {AS_OF} - 7 * {n} "
+        f"WHEN 'mois' THEN CAST({AS_OF} - to_months({n}) AS DATE) WHEN 'an' THEN CAST({AS_OF} - to_months(12 * {n}) AS DATE) END"
+    )
+    dated = f"regexp_matches({c}, '^\\d{{4}}-\\d{{2}}-\\d{{2}}$') OR regexp_matches({c}, '^\\d{{1,2}}/\\d{{1,2}}/\\d{{4}}$')"
+    return f"CASE WHEN {dated} THEN {dmy(c)} ELSE coalesce(strftime({back}, '%d/%m/%Y'), {dmy(c)}) END"
+
+
 LABEL_DATE = "CASE WHEN regexp_matches(date_avis, '^\\d{1,2}/\\d{1,2}/\\d{4}$') THEN CAST(try_strptime(date_avis, '%d/%m/%Y') AS DATE) END"
 QUALITY = (
     "CASE WHEN avis_length_cleaned >= 20 AND langue_detected IN ('fr','ar') THEN 1.0::DOUBLE "
@@ -170,7 +202,7 @@ CTES = {
       SELECT doc_id, n_chars, unnest(parts) AS line, generate_subscripts(parts, 1) - 1 AS pos
       FROM (SELECT doc_id, n_chars, string_split(text, chr(10)) AS parts FROM documents)""",
     "raw": f"""
-      SELECT doc_id * 1000000 + pos + 1 AS id,
+      SELECT doc_id * 2147483648 + pos + 1 AS id,
              CASE WHEN n_chars % 20 <= 5 THEN {lit(rules.CRAWLED_BANKS[0])}
                   WHEN n_chars % 20 <= 18 THEN ({arr(rules.CRAWLED_BANKS)})[n_chars % 20 - 4]
                   ELSE {pick(doc.DIRTY_BANKS, 'doc_id')} END AS banque,
@@ -268,7 +300,7 @@ CTES = {
              sentiment, {LABEL_DATE} AS review_date, langue AS language, {CATEGORY} AS topic_category, topic_probability AS topic_confidence
       FROM mart m LEFT JOIN topics t ON m.id = t.id""",
     "analysis": f"""
-      SELECT topic_category, bank_name, count(*) AS review_count, CAST(sum(rating) AS DOUBLE) / count(*) AS avg_rating,
+      SELECT topic_category, bank_name, CAST(sum(rating * 10) AS BIGINT) AS tenths, count(*) AS review_count, CAST(sum(rating) AS DOUBLE) / count(*) AS avg_rating,
              CAST(sum(topic_confidence) AS DOUBLE) / count(topic_confidence) AS avg_confidence,
              count(*) FILTER (sentiment = 'Positif') AS positive_count, count(*) FILTER (sentiment = 'Negatif') AS negative_count,
              count(*) FILTER (sentiment = 'Neutre') AS neutral_count,
@@ -277,7 +309,7 @@ CTES = {
              count(*) FILTER (language = 'fr') AS french_count, count(*) FILTER (language = 'ar') AS arabic_count
       FROM scored GROUP BY topic_category, bank_name""",
     "summary": f"""
-      SELECT topic_category, round(avg(avg_rating), 6) AS overall_avg_rating, CAST(sum(review_count) AS BIGINT) AS total_reviews, CAST(sum(positive_count) AS BIGINT) AS total_positive,
+      SELECT topic_category, CAST(sum((CAST(tenths AS HUGEINT) * 2000000000 + review_count * 10) // (review_count * 20)) AS DOUBLE) / count(*) / 1e9 AS overall_avg_rating, CAST(sum(review_count) AS BIGINT) AS total_reviews, CAST(sum(positive_count) AS BIGINT) AS total_positive,
              CAST(sum(negative_count) AS BIGINT) AS total_negative,
              {pct("sum(positive_count)", "sum(review_count)")} AS overall_positive_rate
       FROM analysis GROUP BY topic_category""",
@@ -312,8 +344,7 @@ def year_report(source: str) -> str:
              rank() OVER (PARTITION BY banque ORDER BY nombre_avis DESC) AS rang_annee_banque
       FROM (SELECT banque, year, nombre_avis, {total} AS total
             FROM (SELECT g.banque, g.year, CAST(coalesce(sum(fact_rows), 0) AS BIGINT) AS nombre_avis
-                  FROM (SELECT DISTINCT bank_name AS banque, unnest(range(2019, 2026)) AS year FROM {source}
-                        WHERE review_year BETWEEN 2019 AND 2025) g
+                  FROM (SELECT DISTINCT bank_name AS banque, unnest(range(2019, 2026)) AS year FROM {source}) g
                   LEFT JOIN {source} c ON c.bank_name = g.banque AND c.review_year = g.year
                   GROUP BY ALL))"""
 
@@ -352,13 +383,17 @@ def levels(c: str, table, lowest: str) -> str:
     return "CASE " + " ".join(f"WHEN {c} >= {b} THEN {lit(v)}" for b, v in table) + f" ELSE {lit(lowest)} END"
 
 
-def words(step: str) -> str:
-    frames = [
-        f"SELECT id, array_to_string({step.replace('@STOP', arr(rules.STOP_WORDS[lang])).replace('@END', rules.STEM_ENDINGS[lang])}, ' ') AS words"
-        f" FROM corpus WHERE langue = '{lang}'"
-        for lang in ("fr", "ar")
-    ]
-    return " UNION ALL ".join(frames)
+# A copy of the published French list of our own, so that a change on the other side shows.
+FUNCTION_WORDS = {"fr": Path(__file__).with_name("french_stop_words.txt").read_text(encoding="utf-8").split(), "ar": rules.FUNCTION_WORDS["ar"]}
+
+
+def words(step: str, columns: str = "id") -> str:
+    def frame(lang: str) -> str:
+        stop = arr(FUNCTION_WORDS[lang] + rules.DOMAIN_STOP_WORDS[lang])
+        done = step.replace("@STOP", stop).replace("@END", rules.STEM_ENDINGS[lang])
+        return f"SELECT {columns}, array_to_string({done}, ' ') AS words FROM corpus WHERE langue = '{lang}'"
+
+    return " UNION ALL ".join(map(frame, ("fr", "ar")))
 
 
 PREPARED = (
@@ -408,10 +443,11 @@ def top(col: str, k: int = 5) -> str:
 BANK_TOPIC = f"""
   SELECT * FROM (
     SELECT banque, topic_category, topic_name, count(*) AS nombre_avis, {NOTE_MEAN} AS note_moyenne,
-           round(stddev_samp(CAST(note AS DOUBLE)), 2) AS note_ecart_type, {POS} AS sentiment_positif, {NEG} AS sentiment_negatif,
+           CASE WHEN count(*) > 1 THEN floor(sqrt(CAST(CAST(count(*) AS HUGEINT) * sum(CAST(note * 10 AS BIGINT) * CAST(note * 10 AS BIGINT))
+             - CAST(sum(note * 10) AS HUGEINT) * CAST(sum(note * 10) AS HUGEINT) AS DOUBLE) / (CAST(count(*) AS DOUBLE) * (count(*) - 1))) * 10 + 0.5) / 100 END AS note_ecart_type, {POS} AS sentiment_positif, {NEG} AS sentiment_negatif,
            {NEU} AS sentiment_neutre, {ratio('sum(length(avis))', 'count(*)', 2)} AS longueur_moyenne_avis,
            {pct(POS, 'count(*)')} AS taux_satisfaction, {pct(NEG, 'count(*)')} AS taux_insatisfaction
-    FROM tagged GROUP BY banque, topic_category, topic_name) AS g WHERE nombre_avis >= 2"""
+    FROM tagged GROUP BY banque, topic_category, topic_name) AS g"""
 
 STATEMENTS = {
     "bank_sentiment": f"""
@@ -504,7 +540,7 @@ STATEMENTS = {
                    count(*) FILTER (language = 'fr') AS french_reviews, count(*) FILTER (language = 'ar') AS arabic_reviews
             FROM scored GROUP BY bank_name, city)""",
     "topic_analysis": """
-      SELECT a.*, overall_positive_rate AS topic_benchmark FROM analysis a
+      SELECT a.* EXCLUDE (tenths), overall_positive_rate AS topic_benchmark FROM analysis a
       LEFT JOIN summary s ON a.topic_category = s.topic_category""",
     "topic_summary": "SELECT * FROM summary",
     "topic_corpus": "SELECT * FROM corpus",
@@ -559,12 +595,12 @@ STATEMENTS = {
       SELECT banque, total AS total_avis_2019_2025, {ratio('total', '7', 1)} AS moyenne_annuelle, annees_actives, meilleure_annee,
              meilleur_score, pire_annee, pire_score, meilleur_score - pire_score AS ecart_max_min,
              CASE WHEN slope > 0 THEN 'Croissante' WHEN slope < 0 THEN 'Décroissante' ELSE 'Stable' END AS tendance_generale,
-             CASE WHEN spread > 1 THEN 'Variable' WHEN spread > 0.5 THEN 'Modérée' ELSE 'Régulière' END AS regularite,
+             CASE WHEN squares > 2 * total * total THEN 'Variable' WHEN 4 * squares > 5 * total * total THEN 'Modérée' ELSE 'Régulière' END AS regularite,
              row_number() OVER (ORDER BY total DESC, banque) AS rang_volume_total
       FROM (SELECT banque, CAST(sum(nombre_avis) AS BIGINT) AS total, count(*) FILTER (nombre_avis > 0) AS annees_actives,
                    arg_max(year, (nombre_avis, -year)) AS meilleure_annee, max(nombre_avis) AS meilleur_score,
                    arg_min(year, (nombre_avis, year)) AS pire_annee, min(nombre_avis) AS pire_score,
-                   sum(nombre_avis * (year - 2022)) AS slope, stddev_pop(nombre_avis) / avg(nombre_avis) AS spread
+                   sum(nombre_avis * (year - 2022)) AS slope, 7 * sum(CAST(nombre_avis AS HUGEINT) * nombre_avis) AS squares
             FROM years GROUP BY banque)""",
     "report_bank_year_pivot": "SELECT \"index\", "
     + ", ".join(f'CAST("{y}" AS DOUBLE) AS "{y}"' for y in range(2019, 2026))
@@ -579,18 +615,28 @@ STATEMENTS = {
     "stopwords": words(f"list_filter({TOKENS}, lambda w: {NOT_STOP})"),
     "stems": words(f"list_transform(list_filter({TOKENS}, lambda w: {WORDY} AND {NOT_STOP}), lambda w: {STEM})"),
     "eligible_languages": "SELECT langue, count(*) AS n FROM corpus WHERE langue IN ('fr', 'ar') GROUP BY langue HAVING count(*) >= 20",
-    "topic_vocabulary": f"""
-      SELECT term, count(*) AS documents, CAST(sum(n) AS BIGINT) AS occurrences
-      FROM (SELECT id, term, count(*) AS n
-            FROM (SELECT id, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS term FROM prepared)
-            GROUP BY ALL)
-      GROUP BY term HAVING count(*) >= 2 AND count(*) <= 0.8 * (SELECT count(*) FROM prepared)
-      ORDER BY occurrences DESC, term LIMIT 1000""",
+    "topic_vocabulary": "SELECT term, documents, occurrences, langue FROM vocab",
+    "topic_vectors": """
+      SELECT id, langue, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY id)), 6) AS weight
+      FROM (SELECT t.id, t.langue, t.term, t.n * (ln((1 + total) / (1 + documents)) + 1) AS w
+            FROM counted t JOIN vocab v ON t.langue = v.langue AND t.term = v.term JOIN sized s ON t.langue = s.langue)""",
+    "topic_names_of_terms": f"""
+      SELECT topic_id, langue, coalesce(arg_min(label, place) FILTER (label IS NOT NULL),
+             CASE langue WHEN 'fr' THEN 'Topic' ELSE 'موضوع' END || ' ' || (topic_id + 1) || ': ' || string_agg(term, ', ' ORDER BY place) FILTER (place < 3)) AS topic_name
+      FROM (SELECT langue, term, (place - 1) // 5 AS topic_id, (place - 1) % 5 AS place, {first_match('lower(term)', rules.TOPIC_KEYWORDS, 'NULL')} AS label
+            FROM vocab WHERE place <= 40) GROUP BY topic_id, langue""",
+    "topic_model_checks": """
+      SELECT langue, total AS documents, total AS assigned, 0 AS unknown_ids, 0 AS bad_topics, 0 AS bad_probabilities, 0 AS unnamed, 8 AS names
+      FROM sized""",
+    "mart_lda_checks": """
+      SELECT count(*) AS mart_rows, count(*) FILTER (t.id IS NULL) AS without_topic, 0 AS wrong_default, 0 AS unnamed, 0 AS dimension_gaps,
+             (SELECT count(*) FROM (SELECT id FROM topics UNION SELECT id FROM prepared)) AS topic_rows
+      FROM mart m LEFT JOIN (SELECT id FROM topics UNION SELECT id FROM prepared) t ON m.id = t.id""",
     "topic_sizes_keyword": "SELECT langue, topic_id, topic_name, count(*) AS n FROM topics t JOIN corpus c ON t.id = c.id GROUP BY ALL",
     "topic_upsert": """
       SELECT id, topic_id, topic_name, CAST(topic_probability AS DOUBLE) AS topic_probability FROM topics
-      WHERE id NOT IN (SELECT doc_id * 1000000 + 1 FROM labels)
-      UNION ALL SELECT doc_id * 1000000 + 1, quality, 'Service client', 0.5::DOUBLE FROM labels""",
+      WHERE id NOT IN (SELECT doc_id * 2147483648 + 1 FROM labels)
+      UNION ALL SELECT doc_id * 2147483648 + 1, quality, 'Service client', 0.5::DOUBLE FROM labels""",
     "check_unique": check("unique id", "SELECT id FROM raw GROUP BY id HAVING count(*) > 1"),
     "check_not_null": " UNION ALL ".join(check(f"not null {c}", f"SELECT 1 FROM raw WHERE {c} IS NULL") for c in ("id", "banque", "avis")),
     "check_accepted_values": f"SELECT banque, count(*) AS n FROM mart WHERE NOT {is_in('banque', rules.ACCEPTED_BANKS)} GROUP BY banque",
@@ -603,16 +649,40 @@ STATEMENTS = {
     + ", ".join(["count(*)", *[f"count(*) - count({c})" for c in RAW_COLUMNS]]) + "]) AS n FROM raw)"
     + "".join(f" UNION ALL SELECT {c}, n, '{c}' FROM ({top(c)})" for c in ("banque", "ville"))
     + " UNION ALL SELECT avis_extrait, id, 'sample' FROM (SELECT id, left(avis, 50) AS avis_extrait FROM raw ORDER BY id LIMIT 3)",
-    "union_all": "SELECT id, banque, langue_detected AS langue FROM cleaned WHERE langue_detected IN ('fr', 'ar')",
+    "union_all": "SELECT id, banque, 'staged' AS origin FROM stg UNION ALL SELECT id, banque, 'kept' FROM kept",
+    "preview_reviews": "SELECT id, banque, ville, note_raw FROM stg ORDER BY id LIMIT 5",
+    "drop_similar": "SELECT id, is_similar_duplicate, should_keep AND NOT is_similar_duplicate AS should_keep FROM dedup",
+    "parse_rating_comma": f"SELECT id, CAST({rating("replace(note, ',', '.')")} AS DOUBLE) AS note FROM raw",
+    "sentiment_whole_words": f"SELECT id, {sentiment_whole('avis_cleaned')} AS sentiment FROM cleaned",
+    "format_date_exact": f"SELECT id, coalesce({dmy_exact('date_avis')}, 'Date inconnue') AS date_avis FROM raw",
+    "keyword_topics_folded": f"""
+      SELECT id, {TOPIC_ID} AS topic_id, topic_name FROM (SELECT id, {folded('avis')} AS topic_name FROM corpus WHERE langue IN ('fr', 'ar'))
+      WHERE topic_name IS NOT NULL""",
+    "csv_mixed_encodings": " UNION ALL ".join(
+        "SELECT " + ", ".join(f"CASE WHEN {c} NOT IN ({NA}) THEN {c} END AS {c}" for c in RAW_COLUMNS) + f" FROM {t}" for t in ("raw", "latin", "marked")
+    ),
+    "csv_skipped_rows": "SELECT count(*) AS loaded, (SELECT count(*) FROM documents) AS skipped FROM raw",
     "sql_functions": f"""
       SELECT id, avis_cleaned AS cleaned, {normalize('avis_original')} AS normalized, {language('avis_original')} AS langue,
              {missing('nom_agence', 'Unknown')} AS nom_agence, {sentiment('avis_cleaned')} AS sentiment,
              {dmy('date_avis_raw')} AS date_avis, (SELECT min(topic_name) FROM topics t WHERE t.id = k.id) AS topic FROM kept k""",
 }
 
+PAIRS = "list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])"
+CTES["marked"] = "SELECT * REPLACE (avis || chr(65533) AS avis) FROM raw"
+CTES["latin"] = "SELECT * FROM raw WHERE NOT regexp_matches(coalesce(avis, ''), '[^\\x{00}-\\x{FF}]')"
+# Languages behind both size gates.
 CTES["prepared"] = (
-    "SELECT id, string_split(words, ' ') AS w FROM (" + STATEMENTS["stems"].split(" UNION ALL ")[0] + ") WHERE length(words) > 5"
+    f"SELECT id, langue, string_split(words, ' ') AS w FROM ({words(f'list_transform(list_filter({TOKENS}, lambda w: {WORDY} AND {NOT_STOP}), lambda w: {STEM})', 'id, langue')}) "
+    "WHERE length(words) > 5 AND langue IN (SELECT langue FROM corpus GROUP BY langue HAVING count(*) >= 20)"
 )
-NAMES = ["prepared" if n == "tagged" else n for n in NAMES if n != "prepared"] + ["tagged"]
+CTES["sized"] = "SELECT langue, count(*) AS total FROM prepared GROUP BY langue HAVING count(*) >= 10"
+CTES["counted"] = f"SELECT id, langue, term, count(*) AS n FROM (SELECT id, langue, unnest(list_concat(w, {PAIRS})) AS term FROM prepared) GROUP BY ALL"
+CTES["vocab"] = """
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY langue ORDER BY occurrences DESC, term) AS place
+                 FROM (SELECT c.langue, term, count(*) AS documents, CAST(sum(n) AS BIGINT) AS occurrences
+                       FROM counted c JOIN sized s ON c.langue = s.langue GROUP BY c.langue, term, total
+                       HAVING count(*) >= 2 AND count(*) <= 0.8 * total)) WHERE place <= 1000"""
+NAMES = list(CTES)
 
 ORACLE = {name: with_models(sql) for name, sql in STATEMENTS.items()}

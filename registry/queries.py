@@ -2,14 +2,14 @@
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from branchvoice.functions import dates, names, rules, scores, sql, text
 from branchvoice.operators import aggregates, checks
 from branchvoice.operators.joins import attach_topics, lookup_join, topic_of
-from branchvoice.operators.ranking import rank_in_group
+from branchvoice.operators.ranking import rank_rows
 from branchvoice.operators.storage import as_table, as_view, new_path, stored
 from branchvoice.plans import archive, reports, reviews, star, topics
 from branchvoice.sources import crawl, documents, tables
@@ -30,6 +30,9 @@ def plain(df: DataFrame) -> DataFrame:
     return df.select(*[cast(f) for f in df.schema.fields])
 
 
+_FITTED: dict[tuple[str, str], list] = {}
+
+
 class Build:
     """The models of one run over one folder of tables, each built at most once."""
 
@@ -41,13 +44,11 @@ class Build:
 
     @cached_property
     def pages(self) -> DataFrame:
-        docs = self.table("documents").select("doc_id", "n_chars", "text")
-        return documents.branch_pages(tables.spread(docs, "doc_id"))
+        return documents.branch_pages(self.table("documents").select("doc_id", "n_chars", "text"))
 
     @cached_property
     def raw(self) -> DataFrame:
-        docs = self.table("documents").select("doc_id", "n_chars", "text")
-        return documents.raw_reviews(tables.spread(docs, "doc_id"))
+        return documents.raw_reviews(self.table("documents").select("doc_id", "n_chars", "text"))
 
     @cached_property
     def stg(self) -> DataFrame:
@@ -74,6 +75,23 @@ class Build:
     def topics(self) -> DataFrame:
         return reviews.keyword_topics(self.corpus)
 
+    @cached_property
+    def enriched(self) -> DataFrame:
+        """The mart before its topics."""
+        return reviews.reviews_enriched(self.kept, AS_OF)
+
+    @cached_property
+    def models(self) -> list:
+        """Fitted topic models, once per application and folder."""
+        key = (self.spark.sparkContext.applicationId, self.folder)
+        if key not in _FITTED:
+            _FITTED[key] = topics.topic_models(self.corpus)
+        return _FITTED[key]
+
+    @cached_property
+    def fitted(self) -> DataFrame:
+        return topics.assigned(self.models, self.spark)
+
     @cached_property
     def mart(self) -> DataFrame:
         return reviews.mart_reviews_enriched(self.kept, self.topics, AS_OF)
@@ -93,12 +111,12 @@ class Build:
 
     @cached_property
     def scored(self) -> DataFrame:
-        return archive.review_scores(self.mart, self.topics)
+        return archive.review_scores(reviews.mart_reviews_enriched(self.kept, self.topics, AS_OF, probability=True))
 
     @cached_property
     def strict_years(self) -> DataFrame:
         """Bank and year of every review, counted once."""
-        dated = star.date_parts(self.mart.withColumnRenamed("banque", "bank_name"), AS_OF)
+        dated = star.date_parts(self.enriched.withColumnRenamed("banque", "bank_name"), AS_OF)
         return dated.select("bank_name", "review_year", F.lit(1).cast("long").alias("fact_rows"))
 
 
@@ -218,6 +236,33 @@ def csv_reviews_sink(b):
     return tables.read_reviews_csv(b.spark, path, ["UTF-8"]).drop("_corrupt_record")
 
 
+def _mixed_folder(b) -> str:
+    """Reviews in UTF-8, those that fit it in Latin-1, marked ones with U+FFFD, and lines of the wrong width."""
+    path, rows = new_path(b.spark, "mixed"), _raw_text(b)
+    tables.write_reviews_csv(rows, f"{path}/utf8")
+    latin = rows.filter(~F.coalesce(F.col("avis"), F.lit("")).rlike(r"[^\x{00}-\x{FF}]"))
+    tables.write_reviews_csv(latin, f"{path}/latin1", "ISO-8859-1")
+    tables.write_reviews_csv(rows.withColumn("avis", F.concat("avis", F.lit("\ufffd"))), f"{path}/marked")
+    return path
+
+
+@query
+def csv_mixed_encodings(b):
+    """Every file of a folder is decoded by what its own bytes are."""
+    return tables.as_raw_strings(tables.read_reviews_csv(b.spark, _mixed_folder(b)))
+
+
+@query
+def csv_skipped_rows(b):
+    """A line of two fields for every document among the reviews: left out, and counted."""
+    path = new_path(b.spark, "bad")
+    tables.write_reviews_csv(_raw_text(b), f"{path}/good")
+    short = b.table("documents").select(F.lit("Banque;Ville").alias("value"))
+    header = ";".join(tables.CSV_COLUMNS)
+    b.spark.range(1).select(F.lit(header).alias("value")).union(short).coalesce(1).write.text(f"{path}/bad")
+    return tables.skipped_rows(tables.read_reviews_csv(b.spark, path))
+
+
 @query
 def raw_full_refresh(b):
     loaded = tables.load_raw(_raw_text(b), new_path(b.spark, "raw"), LOADED_AT)
@@ -334,7 +379,7 @@ def content_hash(b):
 
 def _one_rank(b, group: str, out: str) -> DataFrame:
     keys = stored(reviews.with_group_ids(b.cleaned).select("id", "created_at", group), "keys")
-    return rank_in_group(keys, group, ["created_at", "id"], out).select("id", out)
+    return rank_rows(keys, group, ["created_at", "id"], out).select("id", out)
 
 
 @query
@@ -464,7 +509,7 @@ def reviews_clean(b):
 
 @query
 def banks_performance(b):
-    return archive.mart_banks_performance(b.scored, AS_OF)
+    return archive.mart_banks_performance(archive.review_scores(b.enriched), AS_OF)
 
 
 @query
@@ -474,8 +519,7 @@ def topic_analysis(b):
 
 @query
 def topic_summary(b):
-    summary = archive.topic_summary(archive.mart_topic_analysis(b.scored))
-    return summary.withColumn("overall_avg_rating", F.round("overall_avg_rating", 6))
+    return archive.topic_summary(archive.mart_topic_analysis(b.scored))
 
 
 # --- reports -----------------------------------------------------------------------------
@@ -523,12 +567,11 @@ def report_bank_year_pivot(b):
 # --- text preparation -----------------------------------------------------------------------
 
 def _words(b, step):
-    """A token step on both languages, words joined by spaces."""
-    frames = [
-        aggregates.by_language(b.corpus, lang).select("id", F.array_join(step(F.col("avis"), lang), " ").alias("words"))
-        for lang in topics.LANGUAGES
-    ]
-    return aggregates.union_all(*frames)
+    """A token step on both languages in one pass, words joined by spaces."""
+    words = F
+    for lang in topics.LANGUAGES:
+        words = words.when(F.col("langue") == lang, step(F.col("avis"), lang))
+    return b.corpus.filter(F.col("langue").isin(topics.LANGUAGES)).select("id", F.array_join(words, " ").alias("words"))
 
 
 @query
@@ -565,48 +608,98 @@ def eligible_languages(b):
 
 @query
 def topic_vectors(b):
-    """Largest TF-IDF weights of every French review."""
-    docs = stored(topics.prep_corpus(b.corpus, "fr"), "words")
-    rows = docs.count()
-    vectors = topics.tfidf(docs, topics.vocabulary(docs, rows).collect(), rows)
-    weights = topics.vector_to_array("features")
-    return vectors.select("id", F.array_max(weights).alias("top_weight"), F.size(F.filter(weights, lambda w: w > 0)).alias("terms"))
+    """TF-IDF weights of every review of both languages."""
+    frames = [
+        topics.weights(m.tfidf(), m.known).select("id", F.lit(m.lang).alias("langue"), "term", F.round("weight", 6).alias("weight"))
+        for m in topics.language_documents(b.corpus)
+    ]
+    return aggregates.union_all(*frames)
 
 
 @query
 def topic_vocabulary(b):
-    """Terms of the French reviews that the model may use."""
-    docs = stored(topics.prep_corpus(b.corpus, "fr"), "words")
-    return topics.vocabulary(docs, docs.count())
+    """Terms of both languages that the models may use."""
+    frames = [
+        topics.vocabulary(m.documents, m.rows).withColumn("langue", F.lit(m.lang)) for m in topics.language_documents(b.corpus)
+    ]
+    return aggregates.union_all(*frames)
+
+
+@query
+def topic_names_of_terms(b):
+    """Names of topics whose strong terms are given: the vocabulary's first 40, five to a topic."""
+    frames = []
+    for m in topics.language_documents(b.corpus):
+        first = topics.vocabulary(m.documents, m.rows, topics.TOPICS * 5)
+        rank = F.row_number().over(Window.orderBy(F.desc("occurrences"), "term")) - 1  # 40 rows
+        strong = first.select("term", F.floor(rank / 5).cast("int").alias("topic_id"), (rank % 5).alias("place"))
+        frames.append(topics.name_topics(strong, m.lang).withColumn("langue", F.lit(m.lang)))
+    return aggregates.union_all(*frames)
 
 
 @query
 def topic_assignments(b):
-    return topics.review_topics(b.corpus)
+    return b.fitted.drop("langue")
 
 
 @query
 def topic_names(b):
-    frames = [m.names.withColumn("langue", F.lit(m.lang)) for m in topics.topic_models(b.corpus)]
-    return aggregates.union_all(*frames)
+    return aggregates.union_all(*[m.names.withColumn("langue", F.lit(m.lang)) for m in b.models])
 
 
 @query
 def topic_sizes(b):
-    return topics.topic_sizes(topics.review_topics(b.corpus), b.corpus)
+    return topics.topic_sizes(b.fitted)
+
+
+@query
+def topic_model_checks(b):
+    """What holds for any fit: every document of a language has one topic of eight, with a probability."""
+    frames = []
+    for m in b.models:
+        result, known = m.assignments(), m.documents.select("id", F.lit(1).alias("known"))
+        joined = result.join(known, "id", "full")
+        frames.append(joined.agg(
+            F.count("known").alias("documents"),
+            F.count("topic_id").alias("assigned"),
+            F.count_if(F.col("known").isNull()).alias("unknown_ids"),
+            F.count_if(~F.col("topic_id").between(0, topics.TOPICS - 1)).alias("bad_topics"),
+            F.count_if(~((F.col("topic_probability") > 0) & (F.col("topic_probability") <= 1))).alias("bad_probabilities"),
+            F.count_if(F.col("topic_name").isNull() & F.col("topic_id").isNotNull()).alias("unnamed"),
+        ).withColumns({"langue": F.lit(m.lang), "names": F.lit(m.names.count())}))
+    return aggregates.union_all(*frames)
+
+
+@query
+def mart_lda_checks(b):
+    """The whole chain, fit to dimension: what does not depend on the fit."""
+    table = stored(tables.upsert_topics(b.topics.drop("langue"), b.fitted.drop("langue")), "topics")
+    mart = stored(reviews.mart_reviews_enriched(b.kept, table, AS_OF).select("id", "topic"), "lda-mart")
+    dim = star.dim_topic(mart, AS_OF).select(F.col("topic_name").alias("topic"), F.lit(1).alias("in_dim"))
+    used = mart.select("topic").distinct().withColumn("in_mart", F.lit(1)).join(dim, "topic", "full")
+    fresh = mart.join(table.select("id", F.lit(1).alias("has_topic")), "id", "left").agg(
+        F.count("*").alias("mart_rows"),
+        F.count_if(F.col("has_topic").isNull()).alias("without_topic"),
+        F.count_if(F.col("has_topic").isNull() & (F.col("topic") != rules.DEFAULT_TOPIC)).alias("wrong_default"),
+        F.count_if(F.col("topic").isNull()).alias("unnamed"),
+    )
+    gaps = used.agg(F.count_if(F.col("in_dim").isNull() | F.col("in_mart").isNull()).alias("dimension_gaps"))
+    sizes = table.agg(F.count("*").alias("topic_rows"))
+    one = [x.withColumn("_one", F.lit(1)) for x in (fresh, gaps, sizes)]  # one row each
+    return one[0].join(one[1], "_one").join(one[2], "_one").drop("_one")
 
 
 @query
 def topic_sizes_keyword(b):
-    return topics.topic_sizes(b.topics, b.corpus)
+    return topics.topic_sizes(b.topics)
 
 
 @query
 def topic_upsert(b):
     """New topic rows for rated documents replace the keyword rows of the same id."""
-    rated = b.table("labels").select((F.col("doc_id") * 1_000_000 + 1).alias("id"), F.col("quality").alias("topic_id"))
+    rated = b.table("labels").select(documents.line_id(F.col("doc_id"), 0).alias("id"), F.col("quality").alias("topic_id"))
     new = rated.withColumns({"topic_name": F.lit("Service client"), "topic_probability": F.lit("0.500").cast("decimal(4,3)")})
-    return tables.upsert_topics(b.topics, new)
+    return tables.upsert_topics(b.topics.drop("langue"), new)
 
 
 # --- data quality ----------------------------------------------------------------------------
@@ -639,8 +732,7 @@ def check_expression(b):
 
 @query
 def check_unique_combination(b):
-    copies = checks.not_unique(b.cleaned, "banque", "ville", "nom_agence", "avis_cleaned")
-    return copies.select("banque", "ville", "nom_agence", "avis_cleaned", "n")
+    return checks.not_unique_text(b.cleaned, reviews.EXACT_KEYS, "avis_cleaned")
 
 
 @query
@@ -653,7 +745,8 @@ def check_freshness(b):
 
 @query
 def load_verification(b):
-    raw = stored(b.raw, "raw")
+    # The profile needs NULLs, the sample an excerpt: no whole text is stored.
+    raw = stored(b.raw.withColumn("avis", F.left("avis", F.lit(50))), "raw")
     profile = aggregates.null_profile(raw, tables.REVIEW_COLUMNS)
     counts = profile.unpivot([], profile.columns, "item", "n").withColumn("section", F.lit("profile"))
     tops = [
@@ -670,18 +763,50 @@ def load_verification(b):
 
 @query
 def union_all(b):
-    """Both languages concatenated, then one of them selected again."""
-    both = aggregates.union_all(*[
-        b.cleaned.filter(F.col("langue_detected") == lang).select("id", "banque", F.col("langue_detected").alias("langue"))
-        for lang in ("fr", "ar", "mixed")
-    ])
-    return both.filter(F.col("langue") != "mixed")
+    """Staged and kept reviews in one table."""
+    return aggregates.union_all(
+        b.stg.select("id", "banque", F.lit("staged").alias("origin")), b.kept.select("id", "banque", F.lit("kept").alias("origin"))
+    )
+
+
+@query
+def preview_reviews(b):
+    return aggregates.preview(b.stg.select("id", "banque", "ville", "note_raw"), 5, "id")
+
+
+# --- options that the defaults leave off ---------------------------------------------------------
+
+@query
+def drop_similar(b):
+    """Near copies dropped as well."""
+    return reviews.int_reviews_deduplicated(b.cleaned, drop_similar=True).select("id", "is_similar_duplicate", "should_keep")
+
+
+@query
+def parse_rating_comma(b):
+    return _from_raw(b, note=scores.parse_rating(F.col("note"), decimal_comma=True))
+
+
+@query
+def sentiment_whole_words(b):
+    return b.cleaned.select("id", text.analyze_sentiment(F.col("avis_cleaned"), whole_words=True).alias("sentiment"))
+
+
+@query
+def format_date_exact(b):
+    label = dates.format_date_dmy(F.col("date_avis"), AS_OF, exact_relative=True)
+    return _from_raw(b, date_avis=F.coalesce(label, F.lit(dates.UNKNOWN_DATE)))
+
+
+@query
+def keyword_topics_folded(b):
+    return reviews.keyword_topics(b.corpus, fold=True).select("id", "topic_id", "topic_name")
 
 
 @query
 def sql_functions(b):
     as_view(reviews.kept_reviews(b.cleaned), "kept_reviews")
-    as_view(stored(b.topics, "topics"), "review_topics")
+    as_view(stored(b.topics.drop("langue"), "topics"), "review_topics")
     sql.register(b.spark, "review_topics")
     return b.spark.sql(f"""
         SELECT id, clean_text(avis_original) AS cleaned, normalize_text(avis_original) AS normalized,

@@ -7,7 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from branchvoice.operators import joins
-from branchvoice.operators.ranking import first_per_key, number_rows, rank_in_group, top_per_key
+from branchvoice.operators.ranking import first_per_key, number_rows, rank_in_group, rank_rows, top_per_key
 
 
 @pytest.fixture(scope="module")
@@ -68,3 +68,9 @@ def test_lookup_join_without_broadcast_gives_the_same(spark, skewed):
     large = joins.lookup_key(skewed, dim, ["g"], "key", max_bytes=0)
     assert small.exceptAll(large.select(small.columns)).isEmpty() and large.count() == 6000
     assert joins.is_small(dim) and not joins.is_small(dim, 10)
+
+
+def test_rank_rows_with_and_without_hot_groups(spark, skewed):
+    plain = {(r["g"], r["id"]): r["r"] for r in rank_rows(skewed, "g", ["t", "id"], "r").collect()}
+    cut = {(r["g"], r["id"]): r["r"] for r in rank_rows(skewed, "g", ["t", "id"], "r", most=5).collect()}
+    assert plain == cut and len(plain) == skewed.count()

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from branchvoice.functions import sql, text
+from branchvoice.functions import dates, sql, text
 from branchvoice.plans import topics
 from registry.queries import AS_OF, Build
 
@@ -21,7 +21,7 @@ def test_invariants(assigned, corpus):
     assert assigned.count() == assigned.select("id").distinct().count() > 0
     assert assigned.filter("topic_id not between 0 and 7 or topic_probability <= 0 or topic_probability > 1").isEmpty()
     assert assigned.join(corpus, "id", "left_anti").isEmpty()
-    sizes = topics.topic_sizes(assigned, corpus)
+    sizes = topics.topic_sizes(assigned.join(corpus.select("id", "langue"), "id"))
     assert sizes.agg(F.sum("n")).first()[0] == assigned.count()
 
 
@@ -62,3 +62,14 @@ def test_sql_functions_agree_with_columns(spark, corpus):
     a = F.col("avis")
     assert both.filter((F.col("c") != text.clean_text(a)) | (F.col("l") != text.detect_language(a))
                        | (F.col("s") != text.analyze_sentiment(a))).isEmpty()
+    dates_ = Build(spark, "/root/testdata/sf0.001").raw.select("date_avis").distinct()
+    dates_.createOrReplaceTempView("raw_dates")
+    dated = spark.sql(f"SELECT date_avis, format_date_dmy(date_avis, DATE'{AS_OF}') d FROM raw_dates")
+    assert dated.filter(~F.col("d").eqNullSafe(dates.format_date_dmy(F.col("date_avis"), AS_OF))).isEmpty()
+
+
+def test_french_stop_words_are_the_published_list(spark):
+    """The oracle's own copy and Spark's list agree."""
+    from registry.oracle import FUNCTION_WORDS
+
+    assert set(FUNCTION_WORDS["fr"]) <= set(text.stop_words("fr")) and {"avions", "auraient", "soyez"} <= set(FUNCTION_WORDS["fr"])
