@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from branchvoice.llm import words
 from branchvoice.llm.stages import partitions_for, slices, stage
 
 MAGIC = b"PFR1"
@@ -28,10 +29,11 @@ BLOCK = 256
 COVERED = 0.9
 #: Text bytes per partition, about, and ids per file at most (a longer document has a file of its own).
 PARTITION_BYTES, FILE_IDS = 16 << 20, 8 << 20
-PIECE = 1 << 20
-REMEMBERED = 1_000_000
+PIECE = 2 << 20
+#: Chunks that a worker remembers; then it starts anew.
+REMEMBERED = 3_000_000
 NO_ID = -(1 << 63)
-#: Unicode white space. Tokens start at a run of other characters, with one space before it, or at white space.
+#: Unicode white space. A chunk is a run of other characters with one space before it, or white space.
 _W = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 CHUNK = re.compile(f" ?[^{_W}]+|[{_W}]+(?![^{_W}])|[{_W}]+")
 
@@ -124,37 +126,173 @@ def decode_file(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return ids, counts, unpack(memoryview(data)[28 + 16 * documents :], blocks, n)
 
 
+def _blank_bytes(data: np.ndarray) -> np.ndarray:
+    """Positions where a white-space character outside ASCII starts."""
+    one, two = np.append(data[1:], 0)[: len(data)], np.append(data[2:], [0, 0])[: len(data)]
+    found = (data == 0xC2) & ((one == 0x85) | (one == 0xA0)) | (data == 0xE1) & (one == 0x9A) & (two == 0x80)
+    found |= (data == 0xE2) & ((one == 0x80) & ((two >= 0x80) & (two <= 0x8A) | (two == 0xA8) | (two == 0xA9) | (two == 0xAF)) | (one == 0x81) & (two == 0x9F))
+    return np.flatnonzero(found | (data == 0xE3) & (one == 0x80) & (two == 0x80))
+
+
+def chunks(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end of the chunks that CHUNK finds in texts whose white space is ASCII.
+
+    A run of white space gives its last character to the following word if that is a space, else
+    keeps it apart; what is before it, and a run at the end of a text, is one chunk.
+    """
+    n = len(data)
+    blank = (data == 0x20) | (data >= 9) & (data <= 13)
+    edge = np.zeros(n + 1, bool)
+    edge[offsets] = True
+    before, after = np.ones(n, bool), np.ones(n, bool)  # of another kind, or of another text
+    before[1:] = (blank[1:] != blank[:-1]) | edge[1:n]
+    after[:-1] = before[1:]
+    # The last white space before a word of the same text.
+    last = blank & after & ~edge[1:]
+    space = last & (data == 0x20)
+    start = np.where(blank, before | last, before)
+    start[1:] &= ~(space[:-1] & ~blank[1:])  # the word after its space
+    begin = np.flatnonzero(start)
+    return begin, np.append(begin[1:], n)
+
+
 class Encoder:
-    """Ids by a byte-level tokenizers file, chunk by chunk; chunks that repeat are remembered."""
+    """Ids by a byte-level tokenizers file, chunk by chunk; chunks that repeat are remembered.
+
+    Tokens never span two chunks, so the ids of a text are those of its chunks. Chunks are found,
+    hashed and looked up for many texts at once; the library encodes those not seen before, and
+    whole texts that hold a special string or white space outside ASCII.
+    """
 
-    def __init__(self, path: str) -> None:
+    SLOTS = 1 << 23
+
+    def __init__(self, path: str, remembered: int = REMEMBERED) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known: dict[str, list[int]] = {}
-
-    def ids(self, texts: list[str], end: int) -> tuple[np.ndarray, list[int]]:
+        self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        vocabulary = self.tokenizer.get_vocab()
+        self.opens = np.zeros(max(vocabulary.values()) + 1, bool)  # tokens that start with a space
+        self.opens[[i for t, i in vocabulary.items() if t.startswith("\u0120")]] = True
+        self.remembered = remembered
+        self._forget()
+
+    def _forget(self) -> None:
+        self.key = np.zeros(self.SLOTS, np.uint64)
+        self.entry = np.full(self.SLOTS, -1, np.int32)
+        self.head = np.zeros(1024, np.uint64)
+        self.first = np.zeros(1024, np.int64)
+        self.size = np.zeros(1024, np.int32)
+        self.tokens = np.zeros(4096, np.uint32)
+        self.entries = self.used = 0
+
+    def _add(self, ids: list[list[int]], heads: np.ndarray) -> np.ndarray:
+        """Store id lists; their entry numbers."""
+        size = np.array([len(x) for x in ids], np.int64)
+        need, tokens = self.entries + len(ids), self.used + int(size.sum())
+        while len(self.size) < need:
+            self.head, self.first, self.size = (np.concatenate([x, np.zeros_like(x)]) for x in (self.head, self.first, self.size))
+        while len(self.tokens) < tokens:
+            self.tokens = np.concatenate([self.tokens, np.zeros_like(self.tokens)])
+        new = np.arange(self.entries, need)
+        self.head[new], self.size[new], self.first[new] = heads, size, self.used + np.cumsum(size) - size
+        self.tokens[self.used : tokens] = np.fromiter(chain.from_iterable(ids), np.uint32, int(size.sum()))
+        self.entries, self.used = need, tokens
+        return new
+
+    def _find(self, keys: np.ndarray) -> np.ndarray:
+        """Entries of keys, -1 where unknown."""
+        out = np.full(len(keys), -1, np.int32)
+        rest, slot = np.arange(len(keys)), (keys >> np.uint64(41)).astype(np.int64)
+        while len(rest):
+            entry = self.entry[slot]
+            same = (entry >= 0) & (self.key[slot] == keys[rest])
+            out[rest[same]] = entry[same]
+            on = (entry >= 0) & ~same
+            rest, slot = rest[on], (slot[on] + 1) % self.SLOTS
+        return out
+
+    def _place(self, keys: np.ndarray, entries: np.ndarray) -> None:
+        """Put different new keys into free slots."""
+        rest, slot = np.arange(len(keys)), (keys >> np.uint64(41)).astype(np.int64)
+        while len(rest):
+            free = self.entry[slot] < 0
+            self.entry[slot[free]], self.key[slot[free]] = entries[rest[free]], keys[rest[free]]
+            on = self.entry[slot] != entries[rest]  # taken before, or by another of these
+            rest, slot = rest[on], (slot[on] + 1) % self.SLOTS
+
+    def _encode(self, new: list[str]) -> list[list[int]]:
+        """Ids of chunks; those that start with a space are encoded in long runs and told apart by it."""
+        encode = lambda texts: [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        out: list[list[int] | None] = [None] * len(new)
+        run = [i for i, c in enumerate(new) if c[0] == " " and c != " "]
+        for k in range(0, len(run), 500):
+            own = run[k : k + 500]
+            ids = np.array(encode(["".join(new[i] for i in own)])[0])
+            cut = np.flatnonzero(self.opens[ids])
+            if len(cut) == len(own) and cut[0] == 0:
+                parts, ends = ids.tolist(), [*cut.tolist(), len(ids)]
+                for i, a, b in zip(own, ends, ends[1:]):
+                    out[i] = parts[a:b]
+        left = [i for i, x in enumerate(out) if x is None]
+        for i, ids in zip(left, encode([new[i] for i in left])):
+            out[i] = ids
+        return out
+
+    def ids(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids, `end` after each text, and how many each text has."""
-        whole = [any(s in t for s in self.special) for t in texts]
-        cut = [None if w else CHUNK.findall(t) for t, w in zip(texts, whole)]
-        chunks = {c for own in cut if own for c in own}
-        if len(self.known) + len(chunks) > REMEMBERED:
-            self.known = {}
-        new = list(chunks - self.known.keys())
-        for c, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self.known[c] = e.ids
-        get = self.known.__getitem__
-        parts, counts = [], []
-        for text, own in zip(texts, cut):
-            if own is None:
-                ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-            else:
-                ids = list(chain.from_iterable(map(get, own)))
-            parts += [ids, (end,)]
-            counts.append(len(ids) + 1)
-        return np.fromiter(chain.from_iterable(parts), np.uint32, sum(counts)), counts
+        data, offsets = words.text_bytes(texts)
+        begin, stop = chunks(data, offsets)
+        length = stop - begin
+        keys = words.mix(words.polynomial(data, begin, stop) + length.astype(np.uint64), 31)
+        padded = np.append(data, np.zeros(8, np.uint8))
+        head = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(padded, 8)[begin]).view("<u8").ravel()
+        head = head & np.where(length >= 8, np.uint64(0xFFFFFFFFFFFFFFFF), (np.uint64(1) << (np.minimum(length, 7).astype(np.uint64) * np.uint64(8))) - np.uint64(1))
+        owner = np.searchsorted(offsets, begin, side="right") - 1
+
+        raw = data.tobytes()
+        whole = set((np.searchsorted(offsets, _blank_bytes(data), side="right") - 1).tolist())
+        for special in self.special:
+            at = raw.find(special)
+            while at >= 0:
+                whole.add(int(np.searchsorted(offsets, at, side="right")) - 1)
+                at = raw.find(special, at + 1)
+
+        known = self._find(keys)
+        missing = np.flatnonzero(known < 0)
+        if len(missing):
+            unique, where, back = np.unique(keys[missing], return_index=True, return_inverse=True)
+            if self.entries + len(unique) > self.remembered:
+                self._forget()
+                missing = np.arange(len(keys))
+                unique, where, back = np.unique(keys, return_index=True, return_inverse=True)
+            at = missing[where]
+            new = [raw[a:b].decode("utf-8", "replace") for a, b in zip(begin[at].tolist(), stop[at].tolist())]
+            entries = self._add(self._encode(new), head[at])
+            self._place(unique, entries)
+            known[missing] = entries[back]
+        # Two chunks with one hash: leave their texts to the library.
+        whole |= set(owner[self.head[known] != head].tolist())
+
+        kept, used = self.entries, self.used
+        n = len(offsets) - 1
+        slow = sorted(whole)
+        lists = [self.tokenizer.encode(raw[offsets[i] : offsets[i + 1]].decode("utf-8", "replace"), add_special_tokens=False).ids for i in slow]
+        extra = self._add([*lists, [end]], np.zeros(len(slow) + 1, np.uint64))
+        fast = np.ones(n, bool)
+        fast[slow] = False
+        own = fast[owner]
+        order = np.concatenate([owner[own], np.array(slow, np.int64), np.arange(n)])
+        entry = np.concatenate([known[own], extra[:-1], np.full(n, extra[-1])])
+        # Stable: chunks stay in order, and the end comes after everything of its text.
+        place = np.argsort(order, kind="stable")
+        entry, order = entry[place], order[place]
+        size = self.size[entry].astype(np.int64)
+        total = int(size.sum())
+        out = self.tokens[np.repeat(self.first[entry] - np.cumsum(size) + size, size) + np.arange(total)]
+        self.entries, self.used = kept, used
+        return out, np.bincount(order, weights=size, minlength=n).astype(np.int64)
 
 
 _encoders: dict[str, Encoder] = {}
@@ -189,11 +327,11 @@ def _written(folder: str, path: str, end: int):
             ids, counts, tokens, held = [], [], [], 0
 
         for batch in slices("text", PIECE)(batches):
-            some, n = encoder.ids(batch.column("text").to_pylist(), end)
+            some, n = encoder.ids(batch.column("text"), end)
             if held + len(some) > FILE_IDS:
                 flush()
             ids += batch.column("doc_id").to_pylist()
-            counts += n
+            counts += n.tolist()
             tokens.append(some)
             held += len(some)
         flush()

@@ -51,6 +51,27 @@ def _geometric(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0], _powers[1]
 
 
+def polynomial(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A number for each byte range, equal for equal bytes."""
+    n = len(data)
+    power, inverse = _geometric(n + 1)
+    total = np.zeros(n + 1, np.uint64)
+    np.cumsum(_BYTE[data] * power[:n], out=total[1:])
+    return (total[end] - total[start]) * inverse[start]
+
+
+def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """UTF-8 bytes of all texts (null: none) and where each starts, with the end."""
+    texts = pc.fill_null(texts, "").cast(pa.large_string())
+    if isinstance(texts, pa.ChunkedArray):
+        texts = texts.combine_chunks()
+    _, offsets, data = texts.buffers()
+    offsets = np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    base = int(offsets[0]) if len(offsets) else 0
+    data = np.frombuffer(data, np.uint8)[base : int(offsets[-1])] if data is not None and len(texts) else np.zeros(0, np.uint8)
+    return data, offsets - base
+
+
 @dataclass
 class Words:
     """`start`, `end`: bytes in `data`; `first`: index of each text's first word, one more entry than texts."""
@@ -67,14 +88,7 @@ class Words:
 
 def split(texts: pa.Array, lower: bool = False, separators: bytes = SPACE) -> Words:
     """Words of each text (null: none); `lower` maps A-Z to a-z first."""
-    texts = pc.fill_null(texts, "").cast(pa.large_string())
-    if isinstance(texts, pa.ChunkedArray):
-        texts = texts.combine_chunks()
-    _, offsets, data = texts.buffers()
-    offsets = np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + len(texts) + 1]
-    base = int(offsets[0]) if len(offsets) else 0
-    data = np.frombuffer(data, np.uint8)[base : int(offsets[-1])] if data is not None and len(texts) else np.zeros(0, np.uint8)
-    offsets = offsets - base
+    data, offsets = text_bytes(texts)
     if lower:
         table = np.arange(256, dtype=np.uint8)
         table[65:91] += 32
@@ -91,11 +105,7 @@ def split(texts: pa.Array, lower: bool = False, separators: bytes = SPACE) -> Wo
     after[:-1] = gap[1:]
     after |= edge[1:]
     end = np.flatnonzero(~gap & after) + 1
-    power, inverse = _geometric(n + 1)
-    total = np.zeros(n + 1, np.uint64)
-    np.cumsum(_BYTE[data] * power[:n], out=total[1:])
-    value = (total[end] - total[start]) * inverse[start]
-    value += (end - start).astype(np.uint64)
+    value = polynomial(data, start, end) + (end - start).astype(np.uint64)
     return Words(data, start, end, np.searchsorted(start, offsets), mix(value))
 
 
