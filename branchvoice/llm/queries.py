@@ -94,4 +94,42 @@ QUERIES = {
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
 }
 
-ORACLE: dict[str, str] = {}
+WORDS = r"regexp_extract_all(coalesce({}, ''), '[^\x20\x09-\x0D]+')"
+#: Components of `edges` (both directions) over `nodes`: the smallest id that each can reach.
+REACHED = """
+  reached AS (SELECT id AS a, id AS b FROM nodes UNION SELECT r.a, e.b FROM reached r JOIN edges e ON r.b = e.a),
+  labelled AS (SELECT a AS id, min(b) AS component_id FROM reached GROUP BY a)"""
+
+#: What SQL can express; the others rest on samples, models, draws or tokenizers, and are tested against brute force.
+ORACLE: dict[str, str] = {
+    "op7_substring_dedup": f"""
+      WITH docs AS (SELECT doc_id, {WORDS.format("text")} AS w FROM documents),
+      places AS (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS p FROM docs WHERE len(w) >= 13),
+      windows AS (SELECT doc_id, p, array_to_string(w[p:p + 12], ' ') AS g FROM places),
+      first AS (SELECT g, min(doc_id) AS d FROM windows GROUP BY g),
+      gone AS (SELECT DISTINCT doc_id, unnest(range(p, p + 13)) AS p FROM windows JOIN first USING (g) WHERE d < doc_id),
+      words AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM docs),
+      kept AS (SELECT x.doc_id, string_agg(word, ' ' ORDER BY x.p) FILTER (g.p IS NULL) AS kept, count(g.p) AS n
+               FROM words x LEFT JOIN gone g ON x.doc_id = g.doc_id AND x.p = g.p GROUP BY x.doc_id)
+      SELECT docs.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+      FROM docs LEFT JOIN kept ON docs.doc_id = kept.doc_id""",
+    "op8_embedding_near_dedup": f"""
+      WITH RECURSIVE nodes AS (SELECT vec_id AS id FROM embeddings),
+      usable AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+                 WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+      edges AS (SELECT x.vec_id AS a, y.vec_id AS b FROM usable x JOIN usable y ON x.vec_id <> y.vec_id AND len(x.v) = len(y.v)
+                WHERE list_cosine_similarity(x.v, y.v) >= 0.9),
+      {REACHED}
+      SELECT id AS vec_id, (SELECT count(*) FROM edges WHERE a = id) AS n_links, component_id, id = component_id AS kept FROM labelled""",
+    "op10_minhash_near_dedup": f"""
+      WITH RECURSIVE nodes AS (SELECT doc_id AS id FROM documents),
+      docs AS (SELECT doc_id, {WORDS.format("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS w FROM documents),
+      sets AS (SELECT doc_id, CASE WHEN len(w) < 2 THEN w ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END AS s FROM docs),
+      shingles AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
+      edges AS (SELECT x.doc_id AS a, y.doc_id AS b FROM shingles x JOIN shingles y ON x.g = y.g AND x.doc_id <> y.doc_id
+                AND 5 * least(x.n, y.n) >= 4 * greatest(x.n, y.n)
+                GROUP BY ALL HAVING 100 * count(*) >= 80 * (any_value(x.n) + any_value(y.n) - count(*))),
+      {REACHED}
+      SELECT id AS doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id, id = component_id AS kept
+      FROM labelled JOIN sets ON id = doc_id""",
+}
