@@ -3,12 +3,10 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# \z, not $: on the JVM $ also matches before a final line break.
-ISO = r"^\d{4}-\d{2}-\d{2}\z"
-DMY_SLASH = r"^\d{1,2}/\d{1,2}/\d{4}\z"
-DMY_DASH = r"\d{1,2}-\d{1,2}-\d{4}"
+from branchvoice.functions import rules
+
 AGO = r"il y a (\d{1,4}|une?) (jour|semaine|mois|an)"
-UNKNOWN_DATE = "Date inconnue"
+UNKNOWN_DATE = rules.UNKNOWN_DATE
 
 
 def as_date(as_of: str) -> Column:
@@ -17,8 +15,8 @@ def as_date(as_of: str) -> Column:
 
 def parse_date_basic(c: Column) -> Column:
     """ISO or D/M/Y text as a date; NULL for other text and impossible dates."""
-    return F.when(c.rlike(ISO), F.try_to_date(c, "yyyy-MM-dd")).when(
-        c.rlike(DMY_SLASH), F.try_to_date(c, "d/M/yyyy")
+    return F.when(c.rlike(rules.ISO_DATE), F.try_to_date(c, "yyyy-MM-dd")).when(
+        c.rlike(rules.DMY_SLASH_DATE), F.try_to_date(c, "d/M/yyyy")
     )
 
 
@@ -29,7 +27,7 @@ def format_date_dmy(c: Column, as_of: str, exact_relative: bool = False) -> Colu
     `exact_relative` as many days, weeks, months or years as they say where they say it.
     """
     now, low = as_date(as_of), F.lower(c)
-    found = F.when(c.rlike(ISO), F.try_to_date(c, "yyyy-MM-dd")).when(c.rlike(DMY_SLASH), F.try_to_date(c, "d/M/yyyy"))
+    found = parse_date_basic(c)
     if exact_relative:
         number, unit = (F.regexp_extract(low, AGO, k) for k in (1, 2))
         n = F.when(number.startswith("un"), 1).otherwise(number.try_cast("int"))
@@ -39,18 +37,15 @@ def format_date_dmy(c: Column, as_of: str, exact_relative: bool = False) -> Colu
             .when(unit == "mois", F.add_months(now, -n))
             .when(unit == "an", F.add_months(now, n * -12))
         )
-    found = (
-        found.when(low.rlike("(?s)il y a.*jour"), F.date_sub(now, 1))
-        .when(low.rlike("(?s)il y a.*semaine"), F.date_sub(now, 7))
-        .when(low.rlike("(?s)il y a.*mois"), F.add_months(now, -1))
-        .otherwise(F.try_to_date(F.regexp_extract(c, DMY_DASH, 0), "d-M-yyyy"))
-    )
+    for pattern, unit, back in rules.RELATIVE_DATES:
+        found = found.when(low.rlike(pattern), F.date_sub(now, back) if unit == "days" else F.add_months(now, -back))
+    found = found.otherwise(F.try_to_date(F.regexp_extract(c, rules.DMY_DASH_DATE, 0), "d-M-yyyy"))
     return F.date_format(found, "dd/MM/yyyy")
 
 
 def review_date(dmy: Column) -> Column:
     """Date behind a DD/MM/YYYY label; NULL for the unknown-date label."""
-    return F.when(dmy.rlike(DMY_SLASH), F.try_to_date(dmy, "d/M/yyyy"))
+    return F.when(dmy.rlike(rules.DMY_SLASH_DATE), F.try_to_date(dmy, "d/M/yyyy"))
 
 
 def review_year(date: Column, as_of: str) -> Column:

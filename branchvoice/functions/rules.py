@@ -177,6 +177,29 @@ STEM_ENDINGS = {
 # A stem keeps at least this many letters.
 STEM_MIN_LETTERS = 3
 
+# --- fixed values: ratings, quality and bins -----------------------------------
+# \z, not $: on the JVM $ also matches before a final line break.
+RATING = r"^[0-5](\.[0-9])?\z"
+# Least length and whether the language must be known, with the score.
+TEXT_QUALITY = [(20, True, 1.0), (10, True, 0.8), (5, False, 0.6)]
+LOW_QUALITY = 0.3
+# Longest text of each bin.
+LENGTH_BINS = [(10, "tres_court"), (50, "court"), (150, "moyen"), (300, "long")]
+LONGEST_BIN = "tres_long"
+# Least rating of each bin.
+RATING_BINS = [(4, "Excellent"), (3, "Bon"), (2, "Moyen"), (1, "Mauvais")]
+UNRATED = "Non noté"
+
+# --- fixed values: dates ---------------------------------------------------------
+ISO_DATE = r"^\d{4}-\d{2}-\d{2}\z"
+DMY_SLASH_DATE = r"^\d{1,2}/\d{1,2}/\d{4}\z"
+DMY_DASH_DATE = r"\d{1,2}-\d{1,2}-\d{4}"
+UNKNOWN_DATE = "Date inconnue"
+# Relative dates: pattern in lower-cased text, and how far back, in days or months.
+RELATIVE_DATES = [
+    ("(?s)il y a.*jour", "days", 1), ("(?s)il y a.*semaine", "days", 7), ("(?s)il y a.*mois", "months", 1),
+]
+
 # --- fixed values: crawl lists -----------------------------------------------
 CRAWLED_BANKS = [
     "CIH Bank", "Attijariwafa Bank", "BMCE Bank", "Banque Populaire", "BMCI",

@@ -5,52 +5,38 @@ from pyspark.sql import functions as F
 
 from branchvoice.functions import rules
 
-RATING = r"^[0-5](\.[0-9])?\z"
-
 
 def parse_rating(c: Column, decimal_comma: bool = False) -> Column:
     """Text like '4' or '4.0' (with `decimal_comma` also '4,0') as decimal(2,1); everything else 0.0."""
     c = F.translate(c, ",", ".") if decimal_comma else c
-    return F.when(c.rlike(RATING), c).otherwise("0").cast("decimal(2,1)")
+    return F.when(c.rlike(rules.RATING), c).otherwise("0").cast("decimal(2,1)")
 
 
 def strip_rating(c: Column) -> Column:
     """Keep a valid rating text, else keep only its digits and dots; blank gives '0'."""
     return (
         F.when(c.isNull() | (F.trim(c) == ""), F.lit("0"))
-        .when(c.rlike(RATING), c)
+        .when(c.rlike(rules.RATING), c)
         .otherwise(F.regexp_replace(c, "[^0-9.]", ""))
     )
 
 
 def text_quality(size: Column, lang: Column) -> Column:
-    known = lang.isin("fr", "ar")
-    return (
-        F.when((size >= 20) & known, 1.0)
-        .when((size >= 10) & known, 0.8)
-        .when(size >= 5, 0.6)
-        .otherwise(0.3)
-    )
+    known, chain = lang.isin("fr", "ar"), F
+    for least, needs_language, score in rules.TEXT_QUALITY:
+        chain = chain.when((size >= least) & known if needs_language else size >= least, score)
+    return chain.otherwise(rules.LOW_QUALITY)
 
 
 def length_bin(size: Column) -> Column:
-    return (
-        F.when(size <= 10, "tres_court")
-        .when(size <= 50, "court")
-        .when(size <= 150, "moyen")
-        .when(size <= 300, "long")
-        .otherwise("tres_long")
-    )
+    chain = F
+    for most, label in rules.LENGTH_BINS:
+        chain = chain.when(size <= most, label)
+    return chain.otherwise(rules.LONGEST_BIN)
 
 
 def rating_bin(note: Column) -> Column:
-    return (
-        F.when(note >= 4, "Excellent")
-        .when(note >= 3, "Bon")
-        .when(note >= 2, "Moyen")
-        .when(note >= 1, "Mauvais")
-        .otherwise("Non noté")
-    )
+    return threshold_label(note, rules.RATING_BINS, rules.UNRATED)
 
 
 def threshold_label(value: Column, levels, lowest: str) -> Column:

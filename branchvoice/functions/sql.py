@@ -16,6 +16,10 @@ def _contains_any(words: list[str]) -> str:
 def function_bodies() -> dict[str, str]:
     """Name and parameters -> RETURN expression."""
     stars = " ".join(f"WHEN s RLIKE {_quote('(?s)' + p)} THEN {_quote(v)}" for p, v in rules.STAR_RULES)
+    ago = " ".join(
+        f"WHEN lower(s) RLIKE {_quote(p)} THEN " + (f"date_sub(as_of, {n})" if unit == "days" else f"add_months(as_of, -{n})")
+        for p, unit, n in rules.RELATIVE_DATES
+    )
     return {
         "clean_text(s STRING)": f"trim(regexp_replace(regexp_replace(lower(s), {_quote(text.URL)}, ''), "
         f"{_quote(text.DROPPED_CHARS)}, ' '))",
@@ -26,13 +30,10 @@ def function_bodies() -> dict[str, str]:
         "handle_missing_values(s STRING, d STRING)": "CASE WHEN s IS NULL OR trim(s) IN ('', 'nan', 'null') THEN d ELSE s END",
         "analyze_sentiment(s STRING)": f"CASE WHEN {_contains_any(rules.POSITIVE_WORDS)} THEN 'Positif' "
         f"WHEN {_contains_any(rules.NEGATIVE_WORDS)} THEN 'Negatif' {stars} ELSE 'Neutre' END",
-        "format_date_dmy(s STRING, as_of DATE)": "date_format(CASE "
-        r"WHEN s RLIKE '^\\d{4}-\\d{2}-\\d{2}\\z' THEN try_to_date(s, 'yyyy-MM-dd') "
-        r"WHEN s RLIKE '^\\d{1,2}/\\d{1,2}/\\d{4}\\z' THEN try_to_date(s, 'd/M/yyyy') "
-        "WHEN lower(s) RLIKE '(?s)il y a.*jour' THEN date_sub(as_of, 1) "
-        "WHEN lower(s) RLIKE '(?s)il y a.*semaine' THEN date_sub(as_of, 7) "
-        "WHEN lower(s) RLIKE '(?s)il y a.*mois' THEN add_months(as_of, -1) "
-        r"ELSE try_to_date(regexp_extract(s, '\\d{1,2}-\\d{1,2}-\\d{4}', 0), 'd-M-yyyy') END, 'dd/MM/yyyy')",
+        "format_date_dmy(s STRING, as_of DATE)": f"date_format(CASE "
+        f"WHEN s RLIKE {_quote(rules.ISO_DATE)} THEN try_to_date(s, 'yyyy-MM-dd') "
+        f"WHEN s RLIKE {_quote(rules.DMY_SLASH_DATE)} THEN try_to_date(s, 'd/M/yyyy') {ago} "
+        f"ELSE try_to_date(regexp_extract(s, {_quote(rules.DMY_DASH_DATE)}, 0), 'd-M-yyyy') END, 'dd/MM/yyyy')",
     }
 
 

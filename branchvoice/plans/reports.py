@@ -11,6 +11,7 @@ from branchvoice.operators.aggregates import with_total_row
 from branchvoice.operators.ranking import number_rows, top_per_key
 from branchvoice.operators.storage import stored
 
+NAMES_IN_A_CELL = 100_000
 TOTAL_LABEL = "TOTAL_TOUTES_BANQUES"
 
 
@@ -135,9 +136,21 @@ def report_topic_distribution(mart: DataFrame) -> DataFrame:
     )
 
 
-def _names(cube: DataFrame, key: str, col: str, out: str) -> DataFrame:
-    """Sorted distinct names per key; distinct first, so the list holds names, not reviews."""
-    return cube.select(key, col).distinct().groupBy(key).agg(
+def name_pairs(cube: DataFrame, key: str, col: str) -> DataFrame:
+    """Distinct names per key as rows, at any size."""
+    return cube.select(key, col).distinct()
+
+
+def _names(cube: DataFrame, key: str, col: str, out: str, most: int = NAMES_IN_A_CELL) -> DataFrame:
+    """Sorted distinct names per key in one cell of the report, measured before they are gathered.
+
+    Names that no rule knows pass through unchanged, so their number can grow with the data; a
+    report whose cells would hold more than `most` in all is refused, `name_pairs` has no limit.
+    """
+    pairs = stored(name_pairs(cube, key, col), "names")
+    if pairs.count() > most:
+        raise ValueError(f"more than {most} names of {col} for the cells of one report; use name_pairs")
+    return pairs.groupBy(key).agg(
         F.array_join(F.array_sort(F.collect_list(col)), ", ").alias(out)
     )
 
