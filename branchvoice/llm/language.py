@@ -17,10 +17,12 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from branchvoice.llm.automaton import SuffixAutomaton
-from branchvoice.llm.stages import slices, stage
+from branchvoice.llm.stages import broadcast_if_small, slices, stage
 
 #: Bounds of the sample: rows and symbols per language, symbols over all languages, characters of a row.
 ROWS, SYMBOLS, ALL_SYMBOLS, ROW_CHARS = 64, 40_000, 240_000, 4_000
+#: Times ROWS that are ranked per language, about.
+THINNED = 8
 #: Symbols: 0 for whatever is no letter, one for each common letter, the last for other letters.
 ALPHABET = 64
 #: Documents are parsed in pieces of so many symbols, all pieces of a batch side by side.
@@ -29,14 +31,21 @@ UNKNOWN = "und"
 
 
 def labelled_sample(docs: DataFrame, learn: Column) -> list:
-    """Rows (lang, text) to learn from: at most ROWS per language, in hash order; long ones give a window."""
+    """Rows (lang, text) to learn from: at most ROWS different texts per language, in hash order; long ones give a window.
+
+    Hashes are thinned to some hundreds per language before they are ranked, so that no task gets
+    more of a language than that, however large the corpus.
+    """
     rows = docs.where(learn & F.col("lang").isNotNull() & (F.length("text") > 0)).select("lang", "text")
+    hashes = stage(rows.select("lang", F.xxhash64("text").alias("h")).distinct(), "language-hashes")
+    counts = stage(hashes.groupBy("lang").agg(F.count("*").alias("n")), "language-counts")
+    draw = F.shiftrightunsigned(F.xxhash64("h", F.lit(1)), 11) / F.lit(float(1 << 53))
+    drawn = hashes.join(broadcast_if_small(counts, 64), "lang").where(draw * F.col("n") < THINNED * ROWS)
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
-    chosen = rows.select("lang", F.xxhash64("text").alias("h")).distinct().withColumn("rank", rank).where(F.col("rank") <= ROWS)
-    chosen = stage(chosen.select("lang", "h"), "language-sample")
+    chosen = stage(drawn.withColumn("rank", rank).where(F.col("rank") <= ROWS).select("lang", "h"), "language-sample")
     size = F.length("text")
     start = F.when(size > ROW_CHARS, F.pmod(F.xxhash64("text"), size - ROW_CHARS)).otherwise(0).cast("int") + 1
-    window = rows.withColumn("h", F.xxhash64("text")).join(F.broadcast(chosen), ["lang", "h"])
+    window = rows.withColumn("h", F.xxhash64("text")).join(broadcast_if_small(chosen, 64), ["lang", "h"])
     window = window.groupBy("lang", "h").agg(F.min(F.substring("text", start, F.lit(ROW_CHARS))).alias("text"))
     return window.orderBy("lang", "h").collect()
 
