@@ -25,21 +25,31 @@ from branchvoice.llm.stages import partitions_for, slices, stage
 
 MAGIC = b"PFR1"
 BLOCK = 256
+SEGMENT = BLOCK * 4096
 #: The width covers this share of a block's values.
 COVERED = 0.9
 #: Text bytes per partition, about, and ids per file at most (a longer document has a file of its own).
 PARTITION_BYTES, FILE_IDS = 16 << 20, 8 << 20
 PIECE = 2 << 20
 #: Chunks that a worker remembers; then it starts anew.
-REMEMBERED = 3_000_000
+REMEMBERED = 4_000_000
 NO_ID = -(1 << 63)
 #: Unicode white space. A chunk is a run of other characters with one space before it, or white space.
 _W = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 CHUNK = re.compile(f" ?[^{_W}]+|[{_W}]+(?![^{_W}])|[{_W}]+")
 
 
-def pack(values: np.ndarray) -> tuple[bytes, np.ndarray]:
-    """Blocks of unsigned 32-bit values: index and payload as bytes, and the payload's block starts."""
+def pack(values: np.ndarray) -> bytes:
+    """Blocks of unsigned 32-bit values: their index, then the payload. Worked off in segments of whole blocks."""
+    parts = [_packed(values[k : k + SEGMENT]) for k in range(0, max(1, len(values)), SEGMENT)]
+    least, width, exceptions, size, payload = zip(*parts)
+    start = np.concatenate([[0], np.cumsum(np.concatenate(size))])
+    index = [np.concatenate(x).astype(k).tobytes() for x, k in ((least, "<u4"), (width, "u1"), (exceptions, "<u2"))]
+    return b"".join([*index, start.astype("<u8").tobytes(), *payload])
+
+
+def _packed(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, bytes]:
+    """Minimum, width, exceptions and payload size of each block, and the payload."""
     blocks = -(-len(values) // BLOCK)
     padded = np.zeros(blocks * BLOCK, np.uint32)
     padded[: len(values)] = values
@@ -71,8 +81,7 @@ def pack(values: np.ndarray) -> tuple[bytes, np.ndarray]:
     out[base + rank] = at
     tail = base + exceptions[block] + 4 * rank
     out[tail[:, None] + np.arange(4)] = rest[block, at].astype("<u4").view(np.uint8).reshape(-1, 4)
-    index = least.astype("<u4").tobytes() + width.tobytes() + exceptions.astype("<u2").tobytes() + start.astype("<u8").tobytes()
-    return index + out.tobytes(), start
+    return least, width, exceptions, np.diff(start.astype(np.int64)), out.tobytes()
 
 
 def unpack(data: memoryview, blocks: int, n: int) -> np.ndarray:
@@ -110,7 +119,7 @@ def unpack(data: memoryview, blocks: int, n: int) -> np.ndarray:
 
 
 def encode_file(ids: list[int | None], counts: list[int], tokens: np.ndarray) -> bytes:
-    body, _ = pack(tokens)
+    body = pack(tokens)
     head = np.array([len(ids), len(tokens), -(-len(tokens) // BLOCK)], "<u8").tobytes()
     index = np.array([NO_ID if i is None else i for i in ids], "<i8").tobytes() + np.array(counts, "<u8").tobytes()
     return MAGIC + head + index + body
@@ -179,27 +188,26 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.key = np.zeros(self.SLOTS, np.uint64)
         self.entry = np.full(self.SLOTS, -1, np.int32)
-        self.head = np.zeros(1024, np.uint64)
-        self.first = np.zeros(1024, np.int64)
-        self.size = np.zeros(1024, np.int32)
-        self.tokens = np.zeros(4096, np.uint32)
+        self.key, self.head = np.zeros(1024, np.uint64), np.zeros(1024, np.uint64)
+        self.first, self.size = np.zeros(1024, np.uint32), np.zeros(1024, np.int32)
+        self.tokens = np.zeros(4096, np.uint16 if len(self.opens) <= 1 << 16 else np.uint32)
         self.entries = self.used = 0
 
-    def _add(self, ids: list[list[int]], heads: np.ndarray) -> np.ndarray:
-        """Store id lists; their entry numbers."""
-        size = np.array([len(x) for x in ids], np.int64)
-        need, tokens = self.entries + len(ids), self.used + int(size.sum())
+    def _store(self, ids: np.ndarray, size: np.ndarray, keys: np.ndarray, heads: np.ndarray) -> np.ndarray:
+        """Store id lists, given one after the other; their entry numbers."""
+        need, tokens = self.entries + len(size), self.used + len(ids)
+        grown = lambda x: np.concatenate([x, np.zeros_like(x)])
         while len(self.size) < need:
-            self.head, self.first, self.size = (np.concatenate([x, np.zeros_like(x)]) for x in (self.head, self.first, self.size))
+            self.key, self.head, self.first, self.size = map(grown, (self.key, self.head, self.first, self.size))
         while len(self.tokens) < tokens:
-            self.tokens = np.concatenate([self.tokens, np.zeros_like(self.tokens)])
-        new = np.arange(self.entries, need)
-        self.head[new], self.size[new], self.first[new] = heads, size, self.used + np.cumsum(size) - size
-        self.tokens[self.used : tokens] = np.fromiter(chain.from_iterable(ids), np.uint32, int(size.sum()))
+            self.tokens = grown(self.tokens)
+        new = slice(self.entries, need)
+        self.key[new], self.head[new], self.size[new] = keys, heads, size
+        self.first[new] = self.used + np.cumsum(size) - size
+        self.tokens[self.used : tokens] = ids
         self.entries, self.used = need, tokens
-        return new
+        return np.arange(need - len(size), need)
 
     def _find(self, keys: np.ndarray) -> np.ndarray:
         """Entries of keys, -1 where unknown."""
@@ -207,7 +215,7 @@ class Encoder:
         rest, slot = np.arange(len(keys)), (keys >> np.uint64(41)).astype(np.int64)
         while len(rest):
             entry = self.entry[slot]
-            same = (entry >= 0) & (self.key[slot] == keys[rest])
+            same = (entry >= 0) & (self.key[np.maximum(entry, 0)] == keys[rest])
             out[rest[same]] = entry[same]
             on = (entry >= 0) & ~same
             rest, slot = rest[on], (slot[on] + 1) % self.SLOTS
@@ -218,27 +226,42 @@ class Encoder:
         rest, slot = np.arange(len(keys)), (keys >> np.uint64(41)).astype(np.int64)
         while len(rest):
             free = self.entry[slot] < 0
-            self.entry[slot[free]], self.key[slot[free]] = entries[rest[free]], keys[rest[free]]
+            self.entry[slot[free]] = entries[rest[free]]
             on = self.entry[slot] != entries[rest]  # taken before, or by another of these
             rest, slot = rest[on], (slot[on] + 1) % self.SLOTS
 
-    def _encode(self, new: list[str]) -> list[list[int]]:
-        """Ids of chunks; those that start with a space are encoded in long runs and told apart by it."""
-        encode = lambda texts: [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        out: list[list[int] | None] = [None] * len(new)
-        run = [i for i, c in enumerate(new) if c[0] == " " and c != " "]
-        for k in range(0, len(run), 500):
-            own = run[k : k + 500]
-            ids = np.array(encode(["".join(new[i] for i in own)])[0])
-            cut = np.flatnonzero(self.opens[ids])
-            if len(cut) == len(own) and cut[0] == 0:
-                parts, ends = ids.tolist(), [*cut.tolist(), len(ids)]
-                for i, a, b in zip(own, ends, ends[1:]):
-                    out[i] = parts[a:b]
-        left = [i for i, x in enumerate(out) if x is None]
-        for i, ids in zip(left, encode([new[i] for i in left])):
-            out[i] = ids
-        return out
+    def _encode(self, texts: list[str]) -> list:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, data: np.ndarray, begin: np.ndarray, length: np.ndarray, keys: np.ndarray, heads: np.ndarray) -> np.ndarray:
+        """Encode new chunks; their entry numbers.
+
+        Words with a space before them are encoded in long runs, in which each opens with the only
+        token that starts with a space; the others one by one.
+        """
+        after = data[np.minimum(begin + 1, len(data) - 1)]
+        spaced = (data[begin] == 0x20) & (length > 1) & (after != 0x20) & ((after < 9) | (after > 13))
+        run, ids, size = np.flatnonzero(spaced), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        if len(run):
+            own = length[run]
+            place = np.cumsum(own) - own
+            joined = data[np.repeat(begin[run] - place, own) + np.arange(own.sum())].tobytes()
+            cuts = [*place[::500].tolist(), len(joined)]
+            ids = np.concatenate([np.array(x, np.int64) for x in self._encode([joined[x:y].decode() for x, y in zip(cuts, cuts[1:])])])
+            opening = np.flatnonzero(self.opens[ids])
+            if len(opening) == len(run) and opening[0] == 0:
+                size = np.diff(np.append(opening, len(ids)))
+            else:
+                run, ids = run[:0], ids[:0]
+        alone = np.setdiff1d(np.arange(len(begin)), run)
+        lists = self._encode([data[x : x + n].tobytes().decode("utf-8", "replace") for x, n in zip(begin[alone].tolist(), length[alone].tolist())])
+        more = np.fromiter(chain.from_iterable(lists), np.int64, sum(map(len, lists)))
+        order = np.concatenate([run, alone])
+        entries = np.empty(len(begin), np.int32)
+        entries[order] = self._store(
+            np.concatenate([ids, more]), np.concatenate([size, np.array([len(x) for x in lists], np.int64)]), keys[order], heads[order]
+        )
+        return entries
 
     def ids(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids, `end` after each text, and how many each text has."""
@@ -268,8 +291,7 @@ class Encoder:
                 missing = np.arange(len(keys))
                 unique, where, back = np.unique(keys, return_index=True, return_inverse=True)
             at = missing[where]
-            new = [raw[a:b].decode("utf-8", "replace") for a, b in zip(begin[at].tolist(), stop[at].tolist())]
-            entries = self._add(self._encode(new), head[at])
+            entries = self._learn(data, begin[at], length[at], unique, head[at])
             self._place(unique, entries)
             known[missing] = entries[back]
         # Two chunks with one hash: leave their texts to the library.
@@ -279,7 +301,10 @@ class Encoder:
         n = len(offsets) - 1
         slow = sorted(whole)
         lists = [self.tokenizer.encode(raw[offsets[i] : offsets[i + 1]].decode("utf-8", "replace"), add_special_tokens=False).ids for i in slow]
-        extra = self._add([*lists, [end]], np.zeros(len(slow) + 1, np.uint64))
+        lists.append([end])
+        none = np.zeros(len(lists), np.uint64)
+        sizes = np.array([len(x) for x in lists], np.int64)
+        extra = self._store(np.fromiter(chain.from_iterable(lists), np.int64, int(sizes.sum())), sizes, none, none)
         fast = np.ones(n, bool)
         fast[slow] = False
         own = fast[owner]
@@ -290,7 +315,8 @@ class Encoder:
         entry, order = entry[place], order[place]
         size = self.size[entry].astype(np.int64)
         total = int(size.sum())
-        out = self.tokens[np.repeat(self.first[entry] - np.cumsum(size) + size, size) + np.arange(total)]
+        first = self.first[entry].astype(np.int64)
+        out = self.tokens[np.repeat(first - np.cumsum(size) + size, size) + np.arange(total)].astype(np.uint32)
         self.entries, self.used = kept, used
         return out, np.bincount(order, weights=size, minlength=n).astype(np.int64)
 
