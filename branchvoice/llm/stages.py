@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from branchvoice.operators.storage import shared_folder
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-#: A side is broadcast only when its rows, counted first, stay below this many bytes.
+#: A side is broadcast only when its rows, counted first, stay below this many bytes; the hash table
+#: built from them takes two to three times as much.
 BROADCAST_BYTES = 16 << 20
 
 
