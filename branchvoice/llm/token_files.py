@@ -72,7 +72,8 @@ def _packed(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
         chosen = np.flatnonzero(width == w)
         for k in range(0, len(chosen), 1024):
             own = chosen[k : k + 1024]
-            flags = (rest[own][:, :, None] >> np.arange(w, dtype=np.uint32)).astype(np.uint8) & 1
+            narrow = rest[own].astype("<u2" if w <= 16 else "<u4")  # values beyond the width are exceptions
+            flags = np.unpackbits(narrow.view(np.uint8), axis=1, bitorder="little").reshape(len(own), BLOCK, -1)[:, :, :w]
             coded = np.packbits(flags.reshape(len(own), -1), axis=1, bitorder="little")
             out[start[own].astype(np.int64)[:, None] + np.arange(coded.shape[1])] = coded
     block, at = np.nonzero(patched)
@@ -106,9 +107,9 @@ def unpack(data: memoryview, blocks: int, n: int) -> np.ndarray:
             own = chosen[k : k + 1024]
             coded = payload[start[own][:, None] + np.arange(int(w) * BLOCK // 8)]
             flags = np.unpackbits(coded, axis=1, bitorder="little").reshape(len(own), BLOCK, w)
-            wide = np.zeros((len(own), BLOCK, 16 if w <= 16 else 32), np.uint8)
-            wide[:, :, :w] = flags
-            rest[own] = np.packbits(wide, axis=2, bitorder="little").view("<u2" if w <= 16 else "<u4")[:, :, 0]
+            # Sums of powers of two below 2^24 are exact in 32-bit floats.
+            scale = (1 << np.arange(w, dtype=np.int64)).astype(np.float32 if w <= 24 else np.float64)
+            rest[own] = (flags.astype(scale.dtype) @ scale).astype(np.uint32)
     block = np.repeat(np.arange(blocks), exceptions)
     rank = np.arange(len(block)) - (np.cumsum(exceptions) - exceptions)[block]
     base = start[:-1][block] + width.astype(np.int64)[block] * (BLOCK // 8)
