@@ -1,9 +1,12 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: rare word pairs as seeds, then Smith-Waterman alignment.
 
-Test items are small enough to send to every task in slices of a fixed size. Their n-grams are
-counted in all documents; n-grams that are common for their item are no seeds. A document passage
-around the seeds that it shares with an item is aligned with the item, word by word, so that
-edited and partly rewritten copies score as well as exact ones.
+Test items are small enough to send to every task in slices of a fixed size. An alignment of score s
+keeps at least s - 1 neighbouring word pairs of the item, as each break between runs of equal words
+costs one. So a document needs a known number of an item's pairs, and all but that number less one
+suffice to find it: the item's rarest, counted in all documents, are its seeds. Nothing is lost by
+leaving the others out, however common they are. A document passage around the n-grams that it
+shares with such an item is aligned with the item, word by word, so that edited and partly rewritten
+copies score as well as exact ones.
 """
 
 from __future__ import annotations
@@ -18,9 +21,10 @@ from pyspark.sql import functions as F
 from branchvoice.llm import words
 from branchvoice.llm.stages import slices, stage
 
-SEED_WORDS = 3
-#: A seed occurs in at most this many documents, or this many times the median of its item's n-grams.
-RARE, RARE_TIMES = 64, 8
+#: A passage is aligned where it shares so many words in a row with the item (all words of a shorter item).
+SHARED_WORDS = 3
+#: Candidate pairs of document and item are checked so many item words at a time.
+CHECKED = 1 << 20
 MATCH, MISMATCH, GAP = 1.0, -1.0, -1.0
 #: An item is found where the best alignment reaches this share of the item's own score.
 SHARE = 0.4
@@ -56,38 +60,28 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[float, int, int]:
     return best, *span
 
 
-class Items:
-    """Items of a slice and the places of their n-grams."""
+def _join(parts: list[np.ndarray], kind=np.int64) -> np.ndarray:
+    return np.concatenate(parts) if parts else np.zeros(0, kind)
 
-    def __init__(self, ids: list[int], texts: list[str]) -> None:
-        found = words.split(pa.array(texts, pa.string()), lower=True, separators=words.NOT_ALNUM)
-        self.ids = ids
-        self.words = [found.hash[found.of(i)] for i in range(len(ids))]
-        gram, item, offset, width = [], [], [], []
-        for i, w in enumerate(self.words):
-            n = min(SEED_WORDS, len(w))
-            if n:
-                g = words.grams(w, n)
-                gram.append(g)
-                item.append(np.full(len(g), i))
-                offset.append(np.arange(len(g)))
-                width.append(np.full(len(g), n))
-        join = lambda parts, kind: np.concatenate(parts) if parts else np.zeros(0, kind)
-        order = np.argsort(join(gram, np.uint64), kind="stable")
-        self.gram, self.item, self.offset = join(gram, np.uint64)[order], join(item, np.int64)[order], join(offset, np.int64)[order]
-        self.widths = sorted(set(join(width, np.int64).tolist()))
-        self.seeds(np.ones(len(self.gram), bool))
-
-    def seeds(self, keep: np.ndarray) -> None:
-        """Keep these places only."""
-        self.gram, self.item, self.offset = self.gram[keep], self.item[keep], self.offset[keep]
-        self.distinct, self.first, self.count = np.unique(self.gram, return_index=True, return_counts=True)
+
+def _each(first: np.ndarray, times: np.ndarray) -> np.ndarray:
+    """Numbers first, first + 1, ... of each range, one range after the other."""
+    return np.repeat(first - np.cumsum(times) + times, times) + np.arange(int(times.sum()))
+
+
+class Places:
+    """The items of each n-gram, by n-gram."""
+
+    def __init__(self, gram: np.ndarray, item: np.ndarray, widths: list[int]) -> None:
+        order = np.argsort(gram, kind="stable")
+        self.item, self.widths = item[order], widths
+        self.distinct, self.first, self.count = np.unique(gram[order], return_index=True, return_counts=True)
         self.near = np.zeros(1 << 20, bool)
         self.near[(self.distinct >> np.uint64(44)).astype(np.int64)] = True
 
-    def hits(self, found: words.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Text, word position in the batch and index of the n-gram, for each n-gram of an item."""
-        texts, places, grams = [], [], []
+    def hits(self, found: words.Words) -> tuple[np.ndarray, np.ndarray]:
+        """Text and index of the n-gram, for each n-gram of an item."""
+        texts, grams = [], []
         for n in self.widths:
             h = words.grams(found.hash, n)
             at = np.flatnonzero(self.near[(h >> np.uint64(44)).astype(np.int64)])
@@ -98,10 +92,86 @@ class Items:
             text = np.searchsorted(found.first, at, side="right") - 1
             inside = at + n <= found.first[text + 1]
             texts.append(text[inside])
-            places.append(at[inside])
             grams.append(index[inside])
-        join = lambda parts: np.concatenate(parts) if parts else np.zeros(0, np.int64)
-        return join(texts), join(places), join(grams)
+        return _join(texts), _join(grams)
+
+
+class Items:
+    """Items of a slice, their pairs of neighbouring words (or single words) and how many a document needs."""
+
+    def __init__(self, ids: list[int], texts: list[str], share: float) -> None:
+        found = words.split(pa.array(texts, pa.string()), lower=True, separators=words.NOT_ALNUM)
+        own = [found.hash[found.of(i)] for i in range(len(ids))]
+        some = [i for i, w in enumerate(own) if len(w)]
+        self.ids, self.words = [ids[i] for i in some], [own[i] for i in some]
+        self.share = share
+        self.pair = [words.grams(w, min(2, len(w))) for w in self.words]
+        self.length = np.array([len(w) for w in self.words], np.int64)
+        self.size = np.array([len(g) for g in self.pair], np.int64)
+        self.start = np.cumsum(self.size) - self.size
+        self.item = np.repeat(np.arange(len(self.words)), self.size)
+        gram, widths = _join(self.pair, np.uint64), sorted({min(2, len(w)) for w in self.words})
+        self.pairs = self.seeds = Places(gram, self.item, widths)
+        self.index = np.searchsorted(self.pairs.distinct, gram)
+        least = np.ceil(share * self.length - 1e-9).astype(np.int64)
+        self.need = np.maximum(least - 1, np.maximum(np.minimum(SHARED_WORDS, self.length) - 1, 1))
+
+    def keep_rarest(self, documents: np.ndarray) -> None:
+        """Seeds are each item's rarest pairs, by the documents that hold each n-gram: all but need - 1."""
+        order = np.lexsort((documents[self.index], self.item))
+        rank = np.arange(len(order)) - np.repeat(self.start, self.size)
+        keep = order[rank < (self.size - self.need + 1)[self.item]]
+        self.seeds = Places(self.pairs.distinct[self.index[keep]], self.item[keep], self.pairs.widths)
+
+    def candidates(self, found: words.Words) -> tuple[np.ndarray, np.ndarray]:
+        """Text and item of all texts with as many of an item's pairs as an alignment needs."""
+        text, gram = self.seeds.hits(found)
+        if not len(text):
+            return text, gram
+        grams = len(self.pairs.distinct)
+        text, gram = np.divmod(np.unique(text * grams + gram), grams)
+        times = self.seeds.count[gram]
+        pair = np.unique(np.repeat(text, times) * len(self.ids) + self.seeds.item[_each(self.seeds.first[gram], times)])
+        text, item = np.divmod(pair, len(self.ids))
+        held_text, held_gram = self.pairs.hits(found)
+        held = np.unique(held_text * grams + held_gram)
+        kept = []
+        ends = np.cumsum(self.size[item])
+        start = 0
+        while start < len(item):
+            stop = max(start + 1, int(np.searchsorted(ends, (ends[start - 1] if start else 0) + CHECKED, side="right")))
+            times = self.size[item[start:stop]]
+            key = np.repeat(text[start:stop] * grams, times) + self.index[_each(self.start[item[start:stop]], times)]
+            at = np.minimum(np.searchsorted(held, key), len(held) - 1)
+            held_each = np.add.reduceat((held[at] == key).astype(np.int64), np.cumsum(times) - times)
+            kept.append(start + np.flatnonzero(held_each >= self.need[item[start:stop]]))
+            start = stop
+        chosen = _join(kept)
+        return text[chosen], item[chosen]
+
+    def passages(self, item: int, text: np.ndarray, grams: dict[int, tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[int, int]]:
+        """Word ranges of a text that may hold an alignment: around the shared n-grams, with enough of the item's pairs."""
+        size = int(self.length[item])
+        n = min(SHARED_WORDS, size)
+        if n not in grams:
+            g = words.grams(text, n)
+            order = np.argsort(g, kind="stable")
+            grams[n] = g[order], order
+        known, place = grams[n]
+        own = words.grams(self.words[item], n)
+        first = np.searchsorted(known, own)
+        times = np.searchsorted(known, own, side="right") - first
+        begin = np.sort(place[_each(first, times)] - np.repeat(np.arange(len(own)), times))
+        if not len(begin):
+            return
+        # Hits whose implied begins lie within the item's length belong to one passage.
+        cut = np.flatnonzero(np.diff(begin) > size)
+        # So many words may be missing or added where the score still suffices.
+        edge = max(size // 2, int(size - self.share * size) + 1)
+        for a, b in zip(begin[np.append(0, cut + 1)].tolist(), begin[np.append(cut, len(begin) - 1)].tolist()):
+            a, b = max(0, a - edge), min(len(text), b + size + edge)
+            if np.isin(self.pair[item], words.grams(text[a:b], min(2, size))).sum() >= self.need[item]:
+                yield a, b
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, words.Words]]:
@@ -114,44 +184,31 @@ def _counted(items):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = items.value
-        total = np.zeros(len(known.distinct), np.int64)
+        grams = len(known.pairs.distinct)
+        total = np.zeros(grams, np.int64)
         for _, found in _cut(batches):
-            text, _, gram = known.hits(found)
-            pairs = np.unique(text * len(known.distinct) + gram)
-            np.add.at(total, pairs % max(1, len(known.distinct)), 1)
+            text, gram = known.pairs.hits(found)
+            total += np.bincount(np.unique(text * grams + gram) % max(1, grams), minlength=grams)
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["gram", "n"])
 
     return run
 
 
-def _aligned(items, share: float):
+def _aligned(items):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = items.value
         for batch, found in _cut(batches):
-            text, place, gram = known.hits(found)
-            times = known.count[gram]
-            text, place, first = (np.repeat(x, times) for x in (text, place, known.first[gram]))
-            posting = first + np.arange(len(first)) - np.repeat(np.cumsum(times) - times, times)
-            item, begin = known.item[posting], place - known.offset[posting]
-            order = np.lexsort((begin, item, text))
-            text, item, begin = text[order], item[order], begin[order]
-            lengths = np.array([len(w) for w in known.words], np.int64)
-            # Hits of an item whose implied begins lie within its length belong to one passage.
-            new = np.ones(len(text), bool)
-            new[1:] = (text[1:] != text[:-1]) | (item[1:] != item[:-1]) | (np.diff(begin) > lengths[item[1:]])
-            starts = np.flatnonzero(new)
-            ends = np.append(starts[1:], len(text)) - 1
             best: dict[tuple[int, int], tuple[float, int, int]] = {}
-            for s, e in zip(starts.tolist(), ends.tolist()):
-                t, i = int(text[s]), int(item[s])
-                low, high = int(found.first[t]), int(found.first[t + 1])
-                size = int(lengths[i])
-                a, b = max(low, int(begin[s]) - size // 2), min(high, int(begin[e]) + size + size // 2)
-                score, x, y = align(known.words[i], found.hash[a:b])
-                score /= MATCH * size
-                if score >= share and score > best.get((t, i), (0.0,))[0]:
-                    best[t, i] = (score, a + x - low, a + y - low)
+            last, own, grams = -1, found.hash[:0], {}
+            for t, i in zip(*(x.tolist() for x in known.candidates(found))):
+                if t != last:
+                    last, own, grams = t, found.hash[found.of(t)], {}
+                for a, b in known.passages(i, own, grams):
+                    score, x, y = align(known.words[i], own[a:b])
+                    score /= MATCH * len(known.words[i])
+                    if score >= known.share and score > best.get((t, i), (0.0,))[0]:
+                        best[t, i] = (score, a + x, a + y)
             ids = batch.column("doc_id").to_pylist()
             rows = [(ids[t], known.ids[i], *v) for (t, i), v in best.items()]
             yield pa.RecordBatch.from_pydict(
@@ -167,8 +224,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, sl
 
     Words are runs of letters and digits, lower-cased in A-Z; score is the best alignment's share of
     the item's own score, at least `share`; the words of the document it covers are
-    [start_word, end_word). One row per document row and item. Null or wordless texts and items are
-    never found; items of fewer than three words are sought as a whole; a null doc_id is reported as
+    [start_word, end_word). One row per document row and item. Every document that shares three words
+    in a row with an item is found if its score suffices, in however many documents they occur. Null
+    or wordless texts and items are never found; items of fewer than three words are sought as a whole; a null doc_id is reported as
     null. A benchmark beyond `slice_bytes` is searched for in so many slices, one pass each.
     """
     spark = docs.sparkSession
@@ -179,19 +237,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, sl
     found = None
     for part in range(parts):
         rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part).orderBy("item_id", "text").collect()
-        own = Items([r["item_id"] for r in rows], [r["text"] for r in rows])
+        own = Items([r["item_id"] for r in rows], [r["text"] for r in rows], share)
         sent = spark.sparkContext.broadcast(own)
         counts = texts.select("text").mapInArrow(_counted(sent), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-        in_documents = np.zeros(len(own.distinct), np.int64)
+        in_documents = np.zeros(len(own.pairs.distinct), np.int64)
         for r in counts.collect():
             in_documents[r["gram"]] = r["n"]
-        frequency = np.repeat(in_documents, own.count)
-        usual = np.array([np.median(frequency[own.item == i]) if (own.item == i).any() else 0 for i in range(len(rows))])
-        own = Items([r["item_id"] for r in rows], [r["text"] for r in rows])
-        own.seeds(frequency <= np.maximum(RARE, RARE_TIMES * usual[own.item]))
-        hits = texts.mapInArrow(
-            _aligned(spark.sparkContext.broadcast(own), share), "doc_id long, item_id long, score double, start_word long, end_word long"
-        )
+        own = Items([r["item_id"] for r in rows], [r["text"] for r in rows], share)
+        own.keep_rarest(in_documents)
+        hits = texts.mapInArrow(_aligned(spark.sparkContext.broadcast(own)), "doc_id long, item_id long, score double, start_word long, end_word long")
         found = hits if found is None else found.union(hits)
     return found
 

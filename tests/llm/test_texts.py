@@ -157,6 +157,36 @@ def test_no_items_or_no_documents(odd, empty, spark):
     assert decontamination.decontaminated(odd, bench.limit(0)).count() == odd.count()
 
 
+@pytest.mark.parametrize("copies", [64, 65, 1000])
+def test_widely_repeated_half_of_an_item(make, spark, copies):
+    hot, unseen = [f"hot{k}" for k in range(14)], [f"unseen{k}" for k in range(16)]
+    bench = spark.createDataFrame([(1, " ".join(hot + unseen))], "item_id long, text string")
+    rows = [(i, " ".join([f"a{i}", *hot, f"b{i}"]), "en", "s") for i in range(copies)] + [(-1, " ".join(hot[:11]), "en", "s")]
+    got = decontamination.contaminated(make(rows), bench).collect()
+    assert sorted((r.doc_id, r.score, r.start_word, r.end_word) for r in got) == [(i, 14 / 30, 1, 15) for i in range(copies)]
+
+
+def test_every_sufficient_alignment_is_found(make, spark):
+    draw = random.Random(13)
+    vocabulary = [f"v{k}" for k in range(12)]
+    items = [(k, " ".join(draw.choices(vocabulary, k=draw.randint(1, 24)))) for k in range(12)]
+    rows = [(i, " ".join(draw.choices(vocabulary, k=draw.randint(0, 40))), "en", "s") for i in range(150)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    number = {v: np.uint64(k) for k, v in enumerate(vocabulary)}
+    codes = lambda text: np.array([number[w] for w in text.split()], np.uint64)
+    want = {}
+    for i, text, _, _ in rows:
+        for k, item in items:
+            w = item.split()
+            n = min(3, len(w))
+            if any(f" {' '.join(w[j : j + n])} " in f" {text} " for j in range(len(w) - n + 1)):
+                score = decontamination.align(codes(item), codes(text))[0] / len(w)
+                if score >= decontamination.SHARE:
+                    want[i, k] = score
+    got = decontamination.contaminated(make(rows), bench).collect()
+    assert {(r.doc_id, r.item_id): r.score for r in got} == want and len(got) == len(want) > 100
+
+
 def test_alignment_scores():
     a = np.arange(10, dtype=np.uint64)
     assert decontamination.align(a, np.concatenate([[99], a, [98]]).astype(np.uint64)) == (10.0, 1, 11)
