@@ -7,6 +7,8 @@ fewest phrases, each weighed by the bits that point into its sample, wins.
 
 from __future__ import annotations
 
+import unicodedata
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,8 +25,10 @@ from branchvoice.llm.stages import broadcast_if_small, slices, stage
 ROWS, SYMBOLS, ALL_SYMBOLS, ROW_CHARS = 64, 40_000, 240_000, 4_000
 #: Times ROWS that are ranked per language, about.
 THINNED = 8
-#: Symbols: 0 for whatever is no letter, one for each common letter, the last for other letters.
-ALPHABET = 64
+#: Symbols: 0 for whatever is no letter or mark, one for each letter or mark of the sample, the commonest
+#: first, then one for letters and one for marks outside it. Steps by symbols below DENSE lie in a table,
+#: the others in a sorted list.
+DENSE = 64
 #: Documents are parsed in pieces of so many symbols, all pieces of a batch side by side.
 PIECE = 1024
 UNKNOWN = "und"
@@ -50,21 +54,29 @@ def labelled_sample(docs: DataFrame, learn: Column) -> list:
     return window.orderBy("lang", "h").collect()
 
 
+def _marks() -> list[int]:
+    """Code points of combining marks: vowel signs, tone marks, accents."""
+    return [c for c in range(0x300, 0x110000) if unicodedata.category(chr(c))[0] == "M"]
+
+
 class Parser:
-    """Automata of all languages as one transition table."""
+    """Automata of all languages as one transition table and a list of the steps by rare symbols."""
 
     def __init__(self, sample: list) -> None:
         texts: dict[str, list[str]] = {}
         for row in sample:
-            texts.setdefault(row["lang"], []).append(row["text"].lower())
+            texts.setdefault(row["lang"], []).append(row["text"])
         self.languages = sorted(texts)
         counts: dict[str, int] = {}
         for own in texts.values():
-            for c in "".join(own):
-                if c.isalpha():
-                    counts[c] = counts.get(c, 0) + 1
-        self.letters = sorted(sorted(counts, key=lambda c: (-counts[c], c))[: ALPHABET - 2])
+            for c, n in Counter("".join(own)).items():
+                c = c.lower() if len(c.lower()) == 1 else c
+                if c.isalpha() or unicodedata.category(c)[0] == "M":
+                    counts[c] = counts.get(c, 0) + n
+        self.letters = sorted(counts, key=lambda c: (-counts[c], c))
+        self.alphabet = len(self.letters) + 3
         tables, self.roots, self.bits, base = [], [], [], 0
+        keys, goals = [], []
         most = min(SYMBOLS, ALL_SYMBOLS // max(1, len(self.languages)))
         for language in self.languages:
             automaton, size = SuffixAutomaton(), 0
@@ -74,11 +86,16 @@ class Parser:
                 size = min(most, size + len(symbols))
                 if size == most:
                     break
-            table = np.full((len(automaton.next), ALPHABET), -1, np.int32)
+            table = np.full((len(automaton.next), DENSE), -1, np.int32)
             for state, edges in enumerate(automaton.next):
                 for symbol, to in edges.items():
-                    if isinstance(symbol, int):
+                    if not isinstance(symbol, int):
+                        continue
+                    if symbol < DENSE:
                         table[state, symbol] = to
+                    else:
+                        keys.append((base + state) * self.alphabet + symbol)
+                        goals.append(base + to)
             restart = np.where(table[0] < 0, 0, table[0])
             # A step that starts a new phrase is stored as the complement of the state it leads to.
             tables.append(np.where(table < 0, ~(restart + base), table + base).astype(np.int32))
@@ -86,14 +103,20 @@ class Parser:
             self.bits.append(np.log2(max(2, size)))
             base += len(table)
         self.table = np.concatenate(tables).ravel() if tables else np.zeros(0, np.int32)
+        order = np.argsort(np.array(keys, np.int64))
+        # A key and goal above all others end the list.
+        self.keys = np.append(np.array(keys, np.int64)[order], np.iinfo(np.int64).max)
+        self.goals = np.append(np.array(goals, np.int32)[order], 0).astype(np.int32)
 
     def _codes(self) -> np.ndarray:
         if not hasattr(self, "_symbol_of"):
-            of = np.fromiter((ALPHABET - 1 if chr(c).isalpha() else 0 for c in range(0x110000)), np.uint8, 0x110000)
+            of = np.fromiter((self.alphabet - 2 if chr(c).isalpha() else 0 for c in range(0x110000)), np.int32, 0x110000)
+            of[_marks()] = self.alphabet - 1
             for i, letter in enumerate(self.letters):
                 of[ord(letter)] = i + 1
-                if len(letter.upper()) == 1:
-                    of[ord(letter.upper())] = i + 1
+            for c in range(0x20000):
+                if len(low := chr(c).lower()) == 1 and ord(low) != c:
+                    of[c] = of[ord(low)]
             self._symbol_of = of
         return self._symbol_of
 
@@ -110,11 +133,26 @@ class Parser:
         keep[starts[:-1][starts[:-1] < len(symbols)]] = True
         return symbols[keep], np.concatenate([[0], np.cumsum(keep)])[starts]
 
+    def _is_letter(self) -> np.ndarray:
+        """Which symbols are letters: neither 0 nor marks."""
+        return np.array([False, *(c.isalpha() for c in self.letters), True, False])
+
+    def _rare(self, state: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+        """Steps by symbols outside the table; as there, the complement where a new phrase starts."""
+        key = state.astype(np.int64) * self.alphabet + symbol[:, None]
+        at = np.searchsorted(self.keys, key)
+        inside = self.keys[at] == key
+        roots = np.array(self.roots, np.int32)
+        key = roots.astype(np.int64) * self.alphabet + symbol[:, None]
+        again = np.searchsorted(self.keys, key)
+        restart = np.where(self.keys[again] == key, self.goals[again], roots)
+        return np.where(inside, self.goals[at], ~restart)
+
     def phrases(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Phrases by text and language, and letters by text."""
         symbols, starts = self.symbols(texts)
         n, kinds = len(texts), len(self.languages)
-        letters = np.diff(np.concatenate([[0], np.cumsum(symbols > 0)])[starts])
+        letters = np.diff(np.concatenate([[0], np.cumsum(self._is_letter()[symbols])])[starts])
         sizes = np.diff(starts)
         pieces = -(-sizes // PIECE)
         owner = np.repeat(np.arange(n), pieces)
@@ -128,7 +166,11 @@ class Parser:
         alive = np.searchsorted(-length, -np.arange(PIECE), side="left")
         for step in range(int(length.max(initial=0))):
             k = alive[step]
-            to = self.table[state[:k] * ALPHABET + symbols[begin[:k] + step].astype(np.int32)[:, None]]
+            symbol = symbols[begin[:k] + step]
+            to = self.table[state[:k] * DENSE + np.minimum(symbol, DENSE - 1)[:, None]]
+            rare = np.flatnonzero(symbol >= DENSE)
+            if len(rare):
+                to[rare] = self._rare(state[rare], symbol[rare])
             sign = to >> 31
             found[:k] -= sign
             state[:k] = to ^ sign

@@ -115,6 +115,44 @@ def test_phrases_are_the_greedy_parse():
             assert counted[0, k] == phrases, (text, lang)
 
 
+def test_languages_beyond_the_common_letters(make):
+    # Latin and Cyrillic fill the common letters; the others differ in letters outside them, or in marks alone.
+    letters = {"en": "abcdefghijklmnopqrstuvwxyz", "ru": "".join(map(chr, range(0x430, 0x450))), "el": "".join(map(chr, range(0x3B1, 0x3CA)))}
+    shared = "".join(map(chr, range(0x4E00, 0x4E40)))
+    letters |= {"zh-a": shared + "".join(map(chr, range(0x5000, 0x5020))), "zh-b": shared + "".join(map(chr, range(0x6000, 0x6020)))}
+    syllables = {k: list(v) for k, v in letters.items()}
+    syllables |= {"hi-a": [c + m for c in "कखगघ" for m in "ािी"], "hi-b": [c + m for c in "कखगघ" for m in "ुूृ"]}
+    rows = []
+    for at, (lang, parts) in enumerate(syllables.items()):
+        draw = random.Random(at)
+        vocabulary = ["".join(draw.choices(parts, k=draw.randint(2, 6))) for _ in range(60)]
+        for k in range(40):
+            words = draw.choices(vocabulary, k=60 if lang in ("en", "ru", "el") else 8)
+            rows.append((1000 * at + k, " ".join(words), lang, "s"))
+    got = {r.doc_id: r.lang_pred for r in language.identified(make(rows)).collect()}
+    assert got == {i: lang for i, _, lang, _ in rows}
+
+
+def test_steps_by_rare_symbols_and_case():
+    wide = "".join(map(chr, range(0x4E00, 0x4E80)))
+    sample = {"a": f"{wide} banana {wide[::-1]} ıſς İ", "b": f"cabana {wide[5:90]}"}
+    parser = language.Parser([{"lang": k, "text": t} for k, t in sample.items()])
+    for text in (wide, wide[3:50] + wide[7:60:2], f"ban {wide[80:100]} ana", "a\u9999b", "ıſς"):
+        counted, letters = parser.phrases([text])
+        assert letters[0] == sum(c.isalpha() for c in text)
+        for k, lang in enumerate(parser.languages):
+            phrases, now = 0, ""
+            for c in text:
+                if now + c in sample[lang]:
+                    now += c
+                else:
+                    phrases, now = phrases + 1, c if c in sample[lang] else ""
+            assert counted[0, k] == phrases, (text, lang)
+    of = parser.symbols(["iIsSσΣ ıſς \u0301"])[0].tolist()
+    assert of[0] == of[1] and of[2] == of[3] and of[4] == of[5] and len({*of[:6:2], *of[7:10]}) >= 4
+    assert parser.phrases(["\u0301 \u0301"])[1][0] == 0
+
+
 def test_rejected_documents_go(odd, empty):
     kept = language.in_known_language(odd)
     assert kept.columns == odd.columns
