@@ -32,6 +32,9 @@ DENSE = 64
 #: Documents are parsed in pieces of so many symbols, all pieces of a batch side by side.
 PIECE = 1024
 UNKNOWN = "und"
+#: A text is explained by a language with so many phrases, and beyond them so many times the phrases a letter
+#: of the labelled row that takes most of them, or so many phrases a letter if that is less.
+FREE, TIMES, LEAST_RATE = 16, 1.5, 0.36
 
 
 def labelled_sample(docs: DataFrame, learn: Column) -> list:
@@ -63,6 +66,8 @@ class Parser:
     """Automata of all languages as one transition table and a list of the steps by rare symbols."""
 
     def __init__(self, sample: list) -> None:
+        #: Phrases a letter that explain a text, by language; None: every text with a letter is explained.
+        self.bounds: dict[str, float] | None = None
         texts: dict[str, list[str]] = {}
         for row in sample:
             texts.setdefault(row["lang"], []).append(row["text"])
@@ -179,6 +184,25 @@ class Parser:
         return total, letters
 
 
+def bounds(sample: list) -> dict[str, float]:
+    """Phrases a letter, beyond FREE, that explain a text, by language.
+
+    Each half of a language's labelled rows is parsed against the other half, which is less than the
+    whole sample knows, and the worst row counts. No bound where a language has no two rows with letters.
+    """
+    halves = sample[::2], sample[1::2]
+    worst: dict[str, float] = {}
+    for own, other in (halves, halves[::-1]):
+        parser = Parser(own)
+        column = {k: i for i, k in enumerate(parser.languages)}
+        phrases, letters = parser.phrases([row["text"] for row in other])
+        for i, row in enumerate(other):
+            if row["lang"] in column and letters[i]:
+                rate = float(phrases[i, column[row["lang"]]]) / float(letters[i])
+                worst[row["lang"]] = max(worst.get(row["lang"], LEAST_RATE), TIMES * rate)
+    return worst
+
+
 def _identified(parser):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = parser.value
@@ -191,8 +215,13 @@ def _identified(parser):
                 cost = (phrases + 1) * np.array(known.bits)
                 rank = np.sort(cost, axis=1)
                 lead = 1 - rank[:, 0] / rank[:, 1] if kinds > 1 else np.ones(len(texts))
-                names = [known.languages[k] if some else UNKNOWN for k, some in zip(cost.argmin(1), letters)]
-                scores = np.where(letters > 0, lead, 0.0)
+                chosen = cost.argmin(1)
+                some = letters > 0
+                if known.bounds is not None:
+                    bound = np.array([known.bounds.get(k, np.inf) for k in known.languages])
+                    some &= phrases[np.arange(len(texts)), chosen] <= FREE + bound[chosen] * letters
+                names = [known.languages[k] if s else UNKNOWN for k, s in zip(chosen, some)]
+                scores = np.where(some, lead, 0.0)
             rest = [batch.column(i) for i in range(batch.num_columns)]
             yield pa.RecordBatch.from_arrays([*rest, pa.array(names, pa.string()), pa.array(scores)], names=[*batch.schema.names, "lang_pred", "score"])
 
@@ -204,10 +233,14 @@ def held_out() -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def _predicted(docs: DataFrame, rows: DataFrame, learn: Column | None) -> DataFrame:
-    """`rows` (with a column text) and their lang_pred and score, learned from `docs`."""
+def _predicted(docs: DataFrame, rows: DataFrame, learn: Column | None, explained: bool = False) -> DataFrame:
+    """`rows` (with a column text) and their lang_pred and score, learned from `docs`; `und` if not `explained`, when asked for."""
     learn = ~held_out() if learn is None else learn
-    parser = docs.sparkSession.sparkContext.broadcast(Parser(labelled_sample(docs, learn)))
+    sample = labelled_sample(docs, learn)
+    own = Parser(sample)
+    if explained:
+        own.bounds = bounds(sample)
+    parser = docs.sparkSession.sparkContext.broadcast(own)
     added = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
     return rows.mapInArrow(_identified(parser), T.StructType([*rows.schema.fields, *added]))
 
@@ -225,8 +258,12 @@ def identified(docs: DataFrame, learn: Column | None = None) -> DataFrame:
 
 
 def in_known_language(docs: DataFrame, learn: Column | None = None) -> DataFrame:
-    """The documents with a language, columns unchanged: those predicted `und` go."""
+    """The documents with a language, columns unchanged: those predicted `und` go, and those no language explains.
+
+    The best language explains a text of few phrases, or of no more phrases a letter than its own
+    labelled rows allow (see `bounds`).
+    """
     # Renamed by place, so that columns of these names in the input stay what they are.
     inside = docs.toDF(*[c if c == "text" else f"c{i}" for i, c in enumerate(docs.columns)])
-    rows = _predicted(docs, inside, learn)
+    rows = _predicted(docs, inside, learn, explained=True)
     return rows.where(F.col("lang_pred") != UNKNOWN).drop("lang_pred", "score").toDF(*docs.columns)

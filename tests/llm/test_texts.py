@@ -153,6 +153,16 @@ def test_steps_by_rare_symbols_and_case():
     assert parser.phrases(["\u0301 \u0301"])[1][0] == 0
 
 
+def test_unlearned_languages_go(make):
+    rows = [(i, prose(i, 150, "fr" if i % 2 else "en"), "fr" if i % 2 else "en", "s") for i in range(60)]
+    draw = random.Random(1)
+    gibberish = " ".join("".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=6)) for _ in range(100))
+    rows += [(100, gibberish, None, "s"), (101, "все люди рождаются свободными и равными " * 5, None, "s"), (102, "короткий", None, "s"), (103, prose(900, 20_000), None, "s")]
+    kept = [r.doc_id for r in language.in_known_language(make(rows)).collect()]
+    assert sorted(kept) == [*range(60), 102, 103]
+    assert {r.doc_id: r.lang_pred for r in language.identified(make(rows)).collect()}[100] != "und"
+
+
 def test_rejected_documents_go(odd, empty):
     kept = language.in_known_language(odd)
     assert kept.columns == odd.columns
