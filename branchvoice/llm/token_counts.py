@@ -9,6 +9,7 @@ from __future__ import annotations
 import hashlib
 import os
 import re
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -64,14 +65,22 @@ class Counter:
         return [sum(map(get, pieces)) for pieces in cut]
 
 
-_counters: dict[tuple[str, bool], Counter] = {}
+_counters: dict[tuple[str, str, bool], Counter] = {}
+
+
+def counter_of(run: str, path: str, by_word: bool) -> Counter:
+    """The worker's counter in this run; pieces of earlier runs are dropped, so that each run encodes what it needs."""
+    if (run, path, by_word) not in _counters:
+        _counters.clear()
+        _counters[run, path, by_word] = Counter(path, by_word)
+    return _counters[run, path, by_word]
 
 
 def _encoded(path: str, by_word: bool):
+    this_run = uuid.uuid4().hex
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if (path, by_word) not in _counters:
-            _counters[path, by_word] = Counter(path, by_word)
-        count = _counters[path, by_word].counts
+        count = counter_of(this_run, path, by_word).counts
         for batch in slices("text", PIECE)(batches):
             n = count([t or "" for t in batch.column("text").to_pylist()])
             yield pa.RecordBatch.from_arrays([batch.column("digest"), pa.array(n, pa.int64())], names=["digest", "n_tokens"])

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import re
+import uuid
 import zlib
 from collections.abc import Iterator
 from itertools import chain
@@ -322,7 +323,15 @@ class Encoder:
         return out, np.bincount(order, weights=size, minlength=n).astype(np.int64)
 
 
-_encoders: dict[str, Encoder] = {}
+_encoders: dict[tuple[str, str], Encoder] = {}
+
+
+def encoder_of(run: str, path: str) -> Encoder:
+    """The worker's encoder in this run; chunks of earlier runs are dropped, so that each run encodes what it needs."""
+    if (run, path) not in _encoders:
+        _encoders.clear()
+        _encoders[run, path] = Encoder(path)
+    return _encoders[run, path]
 
 
 def _save(folder: str, name: str, data: bytes) -> None:
@@ -339,10 +348,10 @@ def _save(folder: str, name: str, data: bytes) -> None:
 
 
 def _written(folder: str, path: str, end: int):
+    this_run = uuid.uuid4().hex
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if path not in _encoders:
-            _encoders[path] = Encoder(path)
-        encoder, part = _encoders[path], TaskContext.get().partitionId()
+        encoder, part = encoder_of(this_run, path), TaskContext.get().partitionId()
         ids, counts, tokens, held, files = [], [], [], 0, []
 
         def flush() -> None:

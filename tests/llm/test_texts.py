@@ -334,6 +334,13 @@ def test_token_files_round_trip(make, spark, token_texts, tmp_path):
     assert manifest.agg(F.sum("ids")).first()[0] == at
 
 
+def test_runs_share_no_encoded_chunks():
+    words, bytewise = queries.tokenizer("word_bpe_49k.json"), queries.tokenizer("byte_bpe_50k.json")
+    for of, kept in ((lambda run: token_files.encoder_of(run, bytewise), token_files._encoders), (lambda run: token_counts.counter_of(run, words, True), token_counts._counters)):
+        first = of("first")
+        assert of("first") is first and of("second") is not first and len(kept) == 1
+
+
 def test_token_files_of_nothing(empty, spark, tmp_path):
     folder = f"file://{tmp_path}/tokens"
     manifest = token_files.write_tokens(empty, queries.tokenizer("byte_bpe_50k.json"), folder)
