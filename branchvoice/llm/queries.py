@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from branchvoice.llm import decontamination, language, minhash, mixing, secret_scan, sharding, substrings, token_counts, token_files, vectors
+from branchvoice.llm import (
+    decontamination, language, lexical, minhash, mixing, packing, secret_scan, sharding, substrings, token_counts, token_files, vector_codes, vectors,
+)
 from branchvoice.llm.stages import new_folder, ship
 
 
@@ -81,6 +83,19 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(documents(spark, sf_dir), shingle=2, percent=80)
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), top=20)
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.coded_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet")).drop("codebooks")
+
+
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.packed(documents(spark, sf_dir), tokenizer("byte_bpe_50k.json"), end=1)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_secret_scan": op2_secret_scan,
@@ -92,6 +107,9 @@ QUERIES = {
     "op8_embedding_near_dedup": op8_embedding_near_dedup,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
+    "op11_lexical_search": op11_lexical_search,
+    "op12_vector_codes": op12_vector_codes,
+    "op13_packing": op13_packing,
 }
 
 WORDS = r"regexp_extract_all(coalesce({}, ''), '[^\x20\x09-\x0D]+')"
@@ -100,6 +118,31 @@ REACHED = """
   reached AS (SELECT id AS a, id AS b FROM nodes UNION SELECT r.a, e.b FROM reached r JOIN edges e ON r.b = e.a),
   labelled AS (SELECT a AS id, min(b) AS component_id FROM reached GROUP BY a)"""
 
+TERMS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+
+def lloyd_sql(parts: int = 8, entries: int = 16, rounds: int = 6, scale: int = 4096) -> str:
+    """Each round as two common tables: the nearest entry of every part, and the codebooks that follow from it."""
+    near = """
+      near{k} AS MATERIALIZED (SELECT row, p, any_value(x) AS x,
+        min({entries} * CAST(list_sum(list_transform(x, lambda a, i: (a - c[i]) * (a - c[i]))) AS BIGINT) + e) AS best FROM cut JOIN book{k} USING (p) GROUP BY row, p)"""
+    book = """
+      mean{k} AS (SELECT p, e, list((s - ((s % n) + n) % n) // n ORDER BY i) AS c FROM (
+        SELECT p, e, i, CAST(sum(a) AS BIGINT) AS s, count(*) AS n
+        FROM (SELECT p, best % {entries} AS e, unnest(x) AS a, generate_subscripts(x, 1) AS i FROM near{k}) GROUP BY p, e, i) GROUP BY p, e),
+      book{next} AS MATERIALIZED (SELECT b.p, b.e, coalesce(m.c, b.c) AS c FROM book{k} b LEFT JOIN mean{k} m ON b.p = m.p AND b.e = m.e)"""
+    steps = [t.format(k=k, next=k + 1, entries=entries) for k in range(rounds) for t in (near, book)] + [near.format(k=rounds, entries=entries)]
+    return f"""
+      WITH kept AS MATERIALIZED (SELECT row_number() OVER (ORDER BY vec_id) - 1 AS row, vec_id, label, list_transform(CAST(embedding AS DOUBLE[]), lambda x: CAST(floor({scale} * x) AS BIGINT)) AS v
+        FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+      cut AS MATERIALIZED (SELECT row, p, v[p * len(v) // {parts} + 1:(p + 1) * len(v) // {parts}] AS x FROM kept, range({parts}) AS parts(p)),
+      book0 AS MATERIALIZED (SELECT p, row AS e, x AS c FROM cut WHERE row < {entries}),{",".join(steps)},
+      coded AS (SELECT row, string_agg(printf('%02x', best % {entries}), '' ORDER BY p) AS code, CAST(sum(best // {entries}) AS BIGINT) AS error FROM near{rounds} GROUP BY row)
+      SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+        (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) FROM book{rounds}) AS codebooks_sha256
+      FROM kept JOIN coded USING (row)"""
+
+
 #: What SQL can express; the others rest on samples, models, draws or tokenizers, and are tested against brute force.
 ORACLE: dict[str, str] = {
     "op7_substring_dedup": f"""
@@ -132,4 +175,15 @@ ORACLE: dict[str, str] = {
       {REACHED}
       SELECT id AS doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id, id = component_id AS kept
       FROM labelled JOIN sets ON id = doc_id""",
+    "op11_lexical_search": f"""
+      WITH docs AS (SELECT doc_id, {TERMS} AS w FROM documents WHERE text IS NOT NULL),
+      total AS (SELECT count(*) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS n_words FROM docs WHERE len(w) > 0),
+      counts AS (SELECT doc_id, n, word, count(*) AS tf FROM (SELECT doc_id, len(w) AS n, unnest(w) AS word FROM docs) GROUP BY doc_id, n, word),
+      weights AS (SELECT word, CAST(floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS weight FROM counts, total GROUP BY word),
+      asked AS (SELECT item_id, word, count(*) AS times FROM (SELECT item_id, unnest({TERMS}) AS word FROM benchmark WHERE text IS NOT NULL) GROUP BY item_id, word),
+      scored AS (SELECT item_id, doc_id, CAST(sum(times * weight * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * n_docs) // n_words)))) AS BIGINT) AS score
+                 FROM asked JOIN weights USING (word) JOIN counts USING (word), total GROUP BY item_id, doc_id),
+      ranked AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM scored WHERE score > 0)
+      SELECT * FROM ranked WHERE rank <= 20""",
+    "op12_vector_codes": lloyd_sql(),
 }
