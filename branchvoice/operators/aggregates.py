@@ -2,7 +2,7 @@
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -51,7 +51,11 @@ def union_all(*frames: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
-def with_total_row(df: DataFrame, key: str, label: str) -> DataFrame:
-    """Appends one row with the sum of every other column."""
-    sums = [F.sum(c).alias(c) for c in df.columns if c != key]
-    return df.unionByName(df.agg(*sums).withColumn(key, F.lit(label)))
+def with_total_row(df: DataFrame, key: str, label: str, *sums: Column) -> DataFrame:
+    """Sums per key and one row over all rows, by one aggregation with grouping sets.
+
+    `sums` are aggregates with aliases. A missing key is a key; without rows there is no total.
+    """
+    is_total = F.grouping(key)
+    grouped = df.rollup(key).agg(is_total.alias("_total"), *sums)
+    return grouped.withColumn(key, F.when(F.col("_total") == 1, F.lit(label)).otherwise(F.col(key))).drop("_total")

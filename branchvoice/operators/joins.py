@@ -3,30 +3,33 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from branchvoice.operators.storage import bytes_of
+
 MAX_BROADCAST_BYTES = 64 << 20
 
 
 def is_small(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
-    """Measures the columns of a stored table: text bytes plus a fixed cost per cell."""
-    cells = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 16 for c in df.columns]
-    return (df.agg(F.sum(sum(cells[1:], cells[0]))).first()[0] or 0) <= max_bytes
+    """Whether a table may be broadcast; costs no job for a stage that was measured when written."""
+    return bytes_of(df) <= max_bytes
 
 
 def lookup_join(facts: DataFrame, dim: DataFrame, on: list[str], how: str = "left",
-                max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
-    """Join facts to a stored dimension on equal columns.
+                max_bytes: int = MAX_BROADCAST_BYTES, columns: list[str] | None = None) -> DataFrame:
+    """Join facts to a stored dimension (or some of its columns) on equal columns.
 
     A dimension that measures small is broadcast. A larger one is joined by a shuffle, and
     adaptive execution splits the partition of a key that holds many facts into as many
-    tasks as its size asks for; cold keys cost nothing extra. Measuring runs one job.
+    tasks as its size asks for; cold keys cost nothing extra.
     """
-    return facts.join(F.broadcast(dim) if is_small(dim, max_bytes) else dim.hint("merge"), on, how)
+    small = is_small(dim, max_bytes)
+    dim = dim.select(*columns) if columns else dim
+    return facts.join(F.broadcast(dim) if small else dim.hint("merge"), on, how)
 
 
 def lookup_key(facts: DataFrame, dim: DataFrame, on: list[str], key: str,
                max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """Surrogate key of the matching dimension row, -1 without one."""
-    joined = lookup_join(facts, dim.select(*on, key), on, "left", max_bytes)
+    joined = lookup_join(facts, dim, on, "left", max_bytes, [*on, key])
     return joined.withColumn(key, F.coalesce(F.col(key), F.lit(-1)).cast("long"))
 
 

@@ -38,6 +38,27 @@ def _offsets(sizes: DataFrame, group: list[str]) -> DataFrame:
     return sizes.select("_part", *group, F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
 
 
+def is_narrow(df: DataFrame) -> bool:
+    """Whether no row moves between partitions: then every run cuts the input in the same way."""
+    return "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def number_as_read(df: DataFrame, out: str) -> DataFrame:
+    """Dense 1-based number over the whole table, as it lies, for the caller to write.
+
+    Rows are counted per partition first, a pass that stores a number for each, and numbered while they
+    are written: no row is written twice. Where rows move between partitions their cut may differ
+    from run to run, so such a table is written before it is numbered.
+    """
+    if not is_narrow(df):
+        return number_rows(df, out)
+    sizes = stored(df.groupBy(F.spark_partition_id().alias("_part")).agg(F.count("*").alias("_rows")), "split-rows")
+    row = F.monotonically_increasing_id()
+    placed = df.select(*df.columns, F.spark_partition_id().alias("_part"), row.bitwiseAND((1 << _ROW_BITS) - 1).alias("_row"))
+    numbered = placed.join(F.broadcast(_offsets(sizes, [])), "_part")
+    return numbered.withColumn(out, F.col("_before") + F.col("_row") + 1).drop("_part", "_row", "_before")
+
+
 def number_rows(df: DataFrame, out: str, order: list | None = None, parts: int | None = None) -> DataFrame:
     """Dense 1-based number over the whole table, in the given order or as it lies."""
     if order:

@@ -7,8 +7,10 @@ prune columns, and the optimizer sees real sizes.
 
 import re
 import uuid
+from weakref import WeakKeyDictionary
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -46,6 +48,30 @@ def stored(df: DataFrame, label: str = "stage") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Text bytes, and a fixed cost per cell, of stages measured while they were written.
+_MEASURED: WeakKeyDictionary[DataFrame, int] = WeakKeyDictionary()
+CELL_BYTES = 16
+
+
+def _row_bytes(df: DataFrame):
+    cells = [F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)).cast("long") + CELL_BYTES for c in df.columns]
+    return sum(cells[1:], cells[0])
+
+
+def measured(df: DataFrame, label: str = "dimension") -> DataFrame:
+    """A stage whose size is taken by the job that writes it, for joins that have to know it."""
+    seen = Observation()
+    out = stored(df.observe(seen, F.sum(_row_bytes(df)).alias("bytes")), label)
+    _MEASURED[out] = seen.get["bytes"] or 0
+    return out
+
+
+def bytes_of(df: DataFrame) -> int:
+    """Size of a measured stage, without a job; anything else is measured by one."""
+    known = _MEASURED.get(df)
+    return known if known is not None else df.agg(F.sum(_row_bytes(df))).first()[0] or 0
+
+
 def as_view(df: DataFrame, name: str) -> DataFrame:
     df.createOrReplaceTempView(name)
     return df

@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 from branchvoice.functions import dates, names, scores, text
 from branchvoice.operators.joins import lookup_join
 from branchvoice.operators.ranking import number_rows
-from branchvoice.operators.storage import stored
-from branchvoice.plans.reviews import EXACT_KEYS, filter_valid, int_reviews_deduplicated, with_quality
+from branchvoice.operators.storage import measured, stored
+from branchvoice.plans.reviews import EXACT_KEYS, filter_valid, int_reviews_deduplicated, kept_reviews, with_quality
 
 
 def stg_raw_reviews_archived(raw: DataFrame, min_len: int = 5, max_len: int = 2000) -> DataFrame:
@@ -60,14 +60,22 @@ def int_reviews_normalized(raw: DataFrame) -> DataFrame:
     )
 
 
-def with_city_stats(df: DataFrame) -> DataFrame:
+def kept_normalized(raw: DataFrame) -> DataFrame:
+    """Bank, city and rating of the kept reviews, found without any ranking."""
+    kept = kept_reviews(staging_variant(raw), "avis_normalized")
+    bank, city = names.normalize_bank(F.col("banque")), names.normalize_city(F.col("ville"))
+    return kept.select(bank.alias("banque"), city.alias("ville"), F.col("note_numeric").alias("note"))
+
+
+def with_city_stats(df: DataFrame, rows: DataFrame | None = None) -> DataFrame:
     """Number, mean rating and positive ratings of the row's bank and city.
 
     The statistics are aggregated first (combined before the shuffle) and looked up, so
-    no window gathers all rows of a large bank in one task.
+    no window gathers all rows of a large bank in one task. `rows` are the same reviews
+    where they come cheaper than by `df`.
     """
-    stats = stored(
-        df.groupBy("banque", "ville").agg(
+    stats = measured(
+        (df if rows is None else rows).groupBy("banque", "ville").agg(
             F.count("*").alias("total_reviews_in_city"),
             scores.mean(F.sum("note"), F.count("note")).alias("avg_rating_in_city"),
             F.count_if(F.col("note") >= 4).alias("positive_reviews_in_city"),
@@ -76,7 +84,7 @@ def with_city_stats(df: DataFrame) -> DataFrame:
     return lookup_join(df, stats, ["banque", "ville"])
 
 
-def mart_reviews_clean(normalized: DataFrame, as_of: str) -> DataFrame:
+def mart_reviews_clean(normalized: DataFrame, as_of: str, kept: DataFrame | None = None) -> DataFrame:
     clean = normalized.select(
         "id", "content_hash", F.col("banque_normalized").alias("banque"), F.col("ville_normalized").alias("ville"),
         "nom_agence", "localisation", "avis_original", "avis_cleaned", "avis_normalized",
@@ -88,8 +96,7 @@ def mart_reviews_clean(normalized: DataFrame, as_of: str) -> DataFrame:
         (F.col("note_numeric") > 0).alias("has_rating"),
         F.to_timestamp(F.lit(as_of)).alias("processed_at"),
     )
-    # The statistics read four narrow columns of what is stored already.
-    return with_city_stats(clean)
+    return with_city_stats(clean, kept)
 
 
 def review_scores(mart: DataFrame) -> DataFrame:
@@ -165,7 +172,7 @@ def mart_topic_analysis(scored: DataFrame) -> DataFrame:
         )
     )
     benchmark = topic_summary(analysis).select("topic_category", F.col("overall_positive_rate").alias("topic_benchmark"))
-    return lookup_join(analysis, stored(benchmark), ["topic_category"])
+    return lookup_join(analysis, measured(benchmark), ["topic_category"])
 
 
 def topic_summary(analysis: DataFrame) -> DataFrame:

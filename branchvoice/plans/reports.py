@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 
 from branchvoice.functions import names, rules, scores
 from branchvoice.operators.aggregates import with_total_row
-from branchvoice.operators.ranking import number_rows, top_per_key
+from branchvoice.operators.ranking import number_rows, rank_rows, top_per_key
 from branchvoice.operators.storage import stored
 
-NAMES_IN_A_CELL = 100_000
+NAMES_IN_A_CELL = 10_000
 TOTAL_LABEL = "TOTAL_TOUTES_BANQUES"
 
 
@@ -45,15 +45,33 @@ def _note_mean(tenths: Column, n: Column) -> Column:
     return scores.ratio(tenths, n * 10, 2)
 
 
-def topic_cube(mart: DataFrame) -> DataFrame:
+CUBE_KEYS = ["topic_name", "topic_category", "banque", "ville"]
+#: Registers of a distinct-count sketch (2 to this power): estimates are off by 1.04 / sqrt(registers), 1.6 %, on average.
+SKETCH_BITS = 12
+#: Three times that: the band that an estimate is expected to keep.
+SKETCH_BAND = 0.05
+
+
+def topic_cube(mart: DataFrame, distinct: tuple[str, ...] = ()) -> DataFrame:
     """Measures per topic, bank and city: the only pass the topic reports make over the
-    reviews. Written, because every report reads it several times."""
-    keys = ["topic_name", "topic_category", "banque", "ville"]
-    return stored(_with_category(mart).groupBy(*keys).agg(*_measures()), "cube")
+    reviews. Written, because every report reads it several times.
+
+    `distinct` columns get a mergeable sketch per cell, from which `distinct_counts` estimates the
+    number of their values in any coarser group.
+    """
+    sketches = [F.hll_sketch_agg(c, SKETCH_BITS).alias(f"{c}_sketch") for c in distinct]
+    return stored(_with_category(mart).groupBy(*CUBE_KEYS).agg(*_measures(), *sketches), "cube")
+
+
+def distinct_counts(cube: DataFrame, *keys: str) -> DataFrame:
+    """Estimated number of distinct values of every sketched column per group: sketches are merged, no review is read."""
+    sketched = [c.removesuffix("_sketch") for c in cube.columns if c.endswith("_sketch")]
+    merged = [F.hll_sketch_estimate(F.hll_union_agg(f"{c}_sketch")).alias(f"{c}_distinct") for c in sketched]
+    return cube.groupBy(*keys).agg(*merged)
 
 
 def _roll_up(cube: DataFrame, *keys: str) -> DataFrame:
-    measures = [c for c in cube.columns if c not in ("topic_name", "topic_category", "banque", "ville")]
+    measures = [c for c in cube.columns if c not in CUBE_KEYS and not c.endswith("_sketch")]
     return cube.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in measures])
 
 
@@ -136,27 +154,32 @@ def report_topic_distribution(mart: DataFrame) -> DataFrame:
     )
 
 
-def name_pairs(cube: DataFrame, key: str, col: str) -> DataFrame:
-    """Distinct names per key as rows, at any size."""
-    return cube.select(key, col).distinct()
+def name_lists(cube: DataFrame, key: str, col: str, out: str, most: int = NAMES_IN_A_CELL) -> DataFrame:
+    """Sorted distinct names per key, joined by commas, in lists of at most `most`: key, place (0, 1 ...), out.
 
+    Names that no rule knows pass through unchanged, so their number can grow with the data. They are
+    numbered in their key, a large key over ranges, and no list holds more than its share.
+    """
+    pairs = stored(cube.select(key, col).distinct(), "names")
+    places = rank_rows(pairs, key, [col], "_place").withColumn("place", F.floor((F.col("_place") - 1) / most))
+    joined = F.expr(f"listagg(`{col}`, ', ') WITHIN GROUP (ORDER BY `{col}`)")
+    return places.groupBy(key, "place").agg(joined.alias(out))
 
-def _names(cube: DataFrame, key: str, col: str, out: str, most: int = NAMES_IN_A_CELL) -> DataFrame:
-    """Sorted distinct names per key in one cell of the report, measured before they are gathered.
 
-    Names that no rule knows pass through unchanged, so their number can grow with the data; a
-    report whose cells would hold more than `most` in all is refused, `name_pairs` has no limit.
-    """
-    pairs = stored(name_pairs(cube, key, col), "names")
-    if pairs.count() > most:
-        raise ValueError(f"more than {most} names of {col} for the cells of one report; use name_pairs")
-    return pairs.groupBy(key).agg(
-        F.array_join(F.array_sort(F.collect_list(col)), ", ").alias(out)
+def with_names(report: DataFrame, lists: DataFrame, key: str, out: str) -> DataFrame:
+    """The first list of each key in its row; further lists in rows of their own, with NULL measures."""
+    first = report.join(lists.filter("place = 0").drop("place"), key)
+    more = lists.filter("place > 0").select(
+        *[F.col(c) if c in (key, out) else F.lit(None).cast(first.schema[c].dataType).alias(c) for c in first.columns]
     )
+    return first.unionByName(more)
+
 
+def report_topic_detail(mart: DataFrame, n: int = 2, most: int = NAMES_IN_A_CELL) -> DataFrame:
+    """Per topic: totals, positive rate, banks, and the first n positive and negative texts.
 
-def report_topic_detail(mart: DataFrame, n: int = 2) -> DataFrame:
-    """Per topic: totals, positive rate, banks, and the first n positive and negative texts."""
+    More than `most` banks go on in rows that hold topic and banks only.
+    """
     cube = topic_cube(mart)
     totals = _roll_up(cube, "topic_name", "topic_category").select(
         "topic_name",
@@ -180,12 +203,16 @@ def report_topic_detail(mart: DataFrame, n: int = 2) -> DataFrame:
     examples = firsts.groupBy("topic_name").agg(
         texts("Positif").alias("exemples_avis_positifs"), texts("Negatif").alias("exemples_avis_negatifs")
     )
-    banks = _names(cube, "topic_name", "banque", "banques_mentionnant")
-    return totals.join(banks, "topic_name").join(examples, "topic_name", "left")
+    told = totals.join(examples, "topic_name", "left")
+    banks = name_lists(cube, "topic_name", "banque", "banques_mentionnant", most)
+    return with_names(told, banks, "topic_name", "banques_mentionnant")
 
 
-def report_category_insights(mart: DataFrame) -> DataFrame:
-    """Per category: totals, best and worst bank by mean rating, topics."""
+def report_category_insights(mart: DataFrame, most: int = NAMES_IN_A_CELL) -> DataFrame:
+    """Per category: totals, best and worst bank by mean rating, topics.
+
+    More than `most` topics go on in rows that hold category and topics only.
+    """
     cube = topic_cube(mart)
     n, tenths = F.col("n"), F.col("tenths")
     totals = _roll_up(cube, "topic_category").select(
@@ -201,8 +228,8 @@ def report_category_insights(mart: DataFrame) -> DataFrame:
         F.min_by("banque", F.struct("m", "banque")).alias("pire_banque"),
         F.min("m").alias("note_pire_banque"),
     )
-    topics = _names(cube, "topic_category", "topic_name", "topics_inclus")
-    joined = totals.join(extremes, "topic_category").join(topics, "topic_category")
+    topics = name_lists(cube, "topic_category", "topic_name", "topics_inclus", most)
+    joined = with_names(totals.join(extremes, "topic_category"), topics, "topic_category", "topics_inclus")
     return joined.withColumnRenamed("topic_category", "categorie")
 
 
@@ -268,12 +295,10 @@ def report_bank_summary(bank_year: DataFrame) -> DataFrame:
 def report_bank_year_pivot(bank_year: DataFrame, first: int = 2019, last: int = 2025) -> DataFrame:
     """Bank x year table with row total and mean and a closing row over all banks."""
     years = [str(y) for y in range(first, last + 1)]
-    wide = (
-        bank_year.groupBy(F.col("banque").alias("index"))
-        .pivot("year", list(range(first, last + 1)))
-        .agg(F.sum("nombre_avis"))
-    )
+    counts = F.col("nombre_avis")
+    sums = [F.sum(F.when(F.col("year") == int(y), counts)).alias(y) for y in years]
+    named = bank_year.select(F.col("banque").alias("index"), "year", "nombre_avis")
     total = reduce(add, [F.col(f"`{y}`") for y in years])
-    closed = with_total_row(wide, "index", TOTAL_LABEL).withColumn("TOTAL", total)
+    closed = with_total_row(named, "index", TOTAL_LABEL, *sums).withColumn("TOTAL", total)
     means = closed.withColumn("MOYENNE", scores.ratio(F.col("TOTAL"), F.lit(len(years)), 1))
     return means.select("index", *[F.col(f"`{y}`").cast("double").alias(y) for y in [*years, "TOTAL"]], "MOYENNE")

@@ -10,7 +10,7 @@ from branchvoice.functions import dates, names, rules
 from branchvoice.operators.aggregates import distinct_of
 from branchvoice.operators.joins import lookup_join, lookup_key
 from branchvoice.operators.ranking import number_rows
-from branchvoice.operators.storage import stored
+from branchvoice.operators.storage import measured
 
 
 def _stamped(df: DataFrame, as_of: str) -> DataFrame:
@@ -104,13 +104,16 @@ class Star:
 
 
 def star_schema(mart: DataFrame, as_of: str) -> Star:
-    """Dimensions of a written mart, which is read once per dimension and for the fact."""
+    """Dimensions of a written mart, which is read once per dimension and for the fact.
+
+    Each dimension is written once, with its size, so that joins neither measure nor build it again.
+    """
     builders = {"bank": dim_bank, "branch": dim_branch, "location": _full_location, "topic": dim_topic}
     # Independent small jobs: submitted together, so they share the cluster.
     with ThreadPoolExecutor(len(builders)) as pool:
-        running = {name: pool.submit(build, mart, as_of) for name, build in builders.items()}
+        running = {name: pool.submit(lambda b=build, n=name: measured(b(mart, as_of), f"dim-{n}")) for name, build in builders.items()}
         dims = {name: job.result() for name, job in running.items()}
-    return Star(mart=mart, sentiment=dim_sentiment(mart.sparkSession, as_of), as_of=as_of, **dims)
+    return Star(mart=mart, sentiment=measured(dim_sentiment(mart.sparkSession, as_of), "dim-sentiment"), as_of=as_of, **dims)
 
 
 def _full_location(mart: DataFrame, as_of: str) -> DataFrame:
@@ -184,8 +187,8 @@ def fact_fanout(star: Star) -> DataFrame:
     city. The number of rows follows from counts per join key; the pairs themselves are
     never produced. Counting reports over that fact are sums of fact_rows.
     """
-    branches = stored(star.branch.groupBy("branch_name", "bank_name").agg(F.count("*").alias("branch_matches")))
-    places = stored(star.location.groupBy("city").agg(F.count("*").alias("location_matches")))
+    branches = measured(star.branch.groupBy("branch_name", "bank_name").agg(F.count("*").alias("branch_matches")))
+    places = measured(star.location.groupBy("city").agg(F.count("*").alias("location_matches")))
     counted = lookup_join(_reviews(star.mart), branches, ["branch_name", "bank_name"])
     counted = lookup_join(counted, places, ["city"])
     matches = {c: F.coalesce(c, F.lit(0)) for c in ("branch_matches", "location_matches")}

@@ -1,15 +1,16 @@
 """Reading and storing review tables."""
 
-from urllib.parse import unquote
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from branchvoice.functions import rules
-from branchvoice.operators.aggregates import union_all
-from branchvoice.operators.ranking import number_rows, top_per_key
-from branchvoice.operators.storage import as_table
+from branchvoice.operators.ranking import number_as_read, top_per_key
+from branchvoice.operators.storage import as_table, stored
+from branchvoice.sources.csv_scan import CORRUPT as _CORRUPT
+from branchvoice.sources.csv_scan import scan_records
 
 CSV_COLUMNS = {
     "Banque": "banque",
@@ -21,7 +22,6 @@ CSV_COLUMNS = {
     "Date Avis": "date_avis",
 }
 REVIEW_COLUMNS = list(CSV_COLUMNS.values())
-_CORRUPT = "_corrupt_record"
 
 
 def source(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -49,29 +49,22 @@ def _csv(spark: SparkSession, paths: str | list[str], encoding: str) -> DataFram
     ).schema(schema).csv(paths)
 
 
-def files_by_encoding(spark: SparkSession, path: str) -> tuple[list[str], list[str]]:
-    """Files whose bytes are UTF-8, and the others. Every file is judged by its own bytes.
-
-    Lines are taken as raw bytes; a line end is never inside a character, so a file is UTF-8
-    exactly when all its lines are. Two lists of file names reach the driver, as in any scan.
-    """
-    lines = spark.read.option("recursiveFileLookup", True).text(path).select(F.input_file_name().alias("file"), F.is_valid_utf8("value").alias("ok"))
-    files = lines.groupBy("file").agg(F.bool_and("ok").alias("ok")).orderBy("file").collect()
-    name = lambda r: unquote(r["file"])
-    return [name(r) for r in files if r["ok"]], [name(r) for r in files if not r["ok"]]
+#: Encodings in which quotes, separators and line ends are single ASCII bytes.
+_SINGLE_BYTES = re.compile(r"(utf-?8|us-ascii|iso-8859-\d+|latin-?1|windows-125\d|cp125\d)\Z", re.IGNORECASE)
 
 
 def read_reviews_csv(spark: SparkSession, path: str, encodings=("UTF-8", "ISO-8859-1")) -> DataFrame:
     """';'-separated reviews, header and byte-order mark handled by the scan.
 
     With two encodings, files that are not UTF-8 are read in the second one, the others in the
-    first. A single encoding saves the look at the bytes.
+    first; every file is judged by its own bytes. One file is read by as many tasks as it has
+    splits, whatever its quoted line breaks. Encodings of wider units are read one task per file.
     """
-    if len(encodings) == 1:
-        return _csv(spark, path, encodings[0])
-    first, second = files_by_encoding(spark, path)
-    frames = [_csv(spark, files, e) for files, e in zip((first, second), encodings) if files]
-    return union_all(*frames) if frames else _csv(spark, path, encodings[0])
+    if all(_SINGLE_BYTES.match(e) for e in encodings):
+        return scan_records(spark, path, tuple(encodings))
+    if len(encodings) > 1:
+        raise ValueError(f"only encodings of single bytes can be told apart: {encodings}")
+    return _csv(spark, path, encodings[0])
 
 
 def as_raw_strings(df: DataFrame) -> DataFrame:
@@ -92,14 +85,16 @@ def skipped_rows(df: DataFrame) -> DataFrame:
 
 
 def load_raw(df: DataFrame, path: str, loaded_at: str) -> DataFrame:
-    """Full refresh of the raw table: new ids 1..n, one load time."""
-    numbered = number_rows(df, "id").withColumn("created_at", F.to_timestamp(F.lit(loaded_at)))
+    """Full refresh of the raw table: new ids 1..n, one load time. The texts are written once."""
+    numbered = number_as_read(df, "id").withColumn("created_at", F.to_timestamp(F.lit(loaded_at)))
     return as_table(numbered.select("id", *REVIEW_COLUMNS, "created_at"), path)
 
 
-def write_reviews_csv(df: DataFrame, path: str, encoding: str = "UTF-8") -> None:
-    """';'-separated text with header; one part file per partition."""
+def write_reviews_csv(df: DataFrame, path: str, encoding: str = "UTF-8", mark: bool = False) -> None:
+    """';'-separated text with header; one part file per partition, each with a byte-order mark if asked for."""
     named = df.select(*[F.col(new).alias(old) for old, new in CSV_COLUMNS.items()])
+    if mark:
+        named = named.withColumnRenamed(named.columns[0], "\ufeff" + named.columns[0])
     named.write.mode("overwrite").options(
         sep=";", header=True, quote='"', escape='"', emptyValue="",
         ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, encoding=encoding,
@@ -111,22 +106,77 @@ def write_report(df: DataFrame, path: str) -> None:
     df.coalesce(1).write.mode("overwrite").options(header=True, escape='"').csv(path)
 
 
-def write_fact(df: DataFrame, path: str) -> None:
-    """Fact for look-up by year, bank and location.
+#: Columns a fact is looked up by, and bytes of a row group: the unit that a look-up opens or skips.
+FACT_KEYS = ["review_year", "bank_key", "location_key"]
+ROW_GROUP_BYTES = 16 << 20
+
 
-    Rebalancing keeps a bank's year together, joins small pieces and splits a large one
-    over several tasks; sorted files let readers prune folders and skip row groups.
+def write_fact(df: DataFrame, path: str, row_group: int = ROW_GROUP_BYTES) -> None:
+    """Fact for look-up by year, bank, location and review.
+
+    Rebalancing keeps a bank's year together, joins small pieces and splits a large one over
+    several tasks. Files are sorted by bank and location, so the bounds of a row group tell readers
+    of a bank, or of a bank's location, which ones to open. Locations alone and review ids are
+    spread over all row groups; dictionaries and Bloom filters tell those without them.
     """
     balanced = df.hint("rebalance", F.col("review_year"), F.col("bank_key"))
+    options = {"parquet.block.size": row_group, "parquet.bloom.filter.enabled#review_id": True, "parquet.bloom.filter.enabled#location_key": True}
     (
-        balanced.sortWithinPartitions("review_year", "bank_key", "location_key")
-        .write.mode("overwrite")
+        balanced.sortWithinPartitions(*FACT_KEYS)
+        .write.mode("overwrite").options(**options)
         .partitionBy("review_year")
         .parquet(path)
     )
 
 
+def find_facts(spark: SparkSession, path: str, **keys) -> DataFrame:
+    """Rows of a written fact with these key values; filters that the scan decides by folder and row group."""
+    fact = spark.read.parquet(path)
+    require_columns(fact, keys)
+    for column, value in keys.items():
+        fact = fact.filter(F.col(column) == F.lit(value))
+    return fact
+
+
 def upsert_topics(old: DataFrame, new: DataFrame) -> DataFrame:
     """One row per id, the newer one where both have it."""
     both = old.withColumn("_age", F.lit(1)).unionByName(new.withColumn("_age", F.lit(0)))
     return top_per_key(both, ["id"], ["_age"], 1).drop("_age")
+
+
+#: Folders of a topic table; a row's folder follows from its id.
+TOPIC_BUCKETS = 64
+
+
+def _in_bucket(df: DataFrame, buckets: int) -> DataFrame:
+    return df.withColumn("bucket", F.pmod(F.xxhash64("id"), F.lit(buckets)).cast("int"))
+
+
+def write_topics(topics: DataFrame, path: str, buckets: int = TOPIC_BUCKETS) -> None:
+    """Topic table in `buckets` folders by id, to be upserted in parts."""
+    _write_buckets(_in_bucket(topics, buckets), path, "static")
+
+
+def _write_buckets(rows: DataFrame, path: str, mode: str) -> None:
+    spread = rows.hint("rebalance", F.col("bucket"))
+    spread.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy("bucket").parquet(path)
+
+
+def read_topics(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path).drop("bucket")
+
+
+def upsert_topic_table(spark: SparkSession, path: str, new: DataFrame, buckets: int = TOPIC_BUCKETS) -> int:
+    """Upsert rows into a written topic table; returns the number of buckets that were rewritten.
+
+    Only folders that an id of `new` falls into are read, merged and replaced; the files of all others
+    stay as they are. What is merged is written before it replaces anything. `buckets` must be
+    that of the table.
+    """
+    placed = stored(_in_bucket(new, buckets), "topic-changes")
+    touched = [r["bucket"] for r in placed.select("bucket").distinct().collect()]  # at most `buckets`
+    if not touched:
+        return 0
+    old = spark.read.parquet(path).filter(F.col("bucket").isin(touched)).select(*placed.columns)
+    _write_buckets(stored(upsert_topics(old, placed), "topic-merge"), path, "dynamic")
+    return len(touched)

@@ -473,6 +473,15 @@ STATEMENTS = {
       SELECT count(*) AS total_rows, count(*) AS ids, 1 AS first_id, count(*) AS last_id,
              CAST(sum(length(avis)) AS BIGINT) AS characters, TIMESTAMP '2025-06-29 12:00:00' AS created_at FROM raw""",
     "partitioned_fact": "SELECT review_id, bank_key, location_key, review_date, review_year, rating FROM fact WHERE review_year = 2024",
+    "fact_lookup": """
+      SELECT asked, review_id, bank_key, location_key, review_date, review_year, rating
+      FROM fact, (VALUES ('place'), ('bank and place')) AS kinds(asked)
+      WHERE location_key IN (SELECT DISTINCT location_key FROM fact WHERE review_year = 2025 AND bank_key = 9 AND location_key > 0 ORDER BY location_key LIMIT 3)
+        AND (asked = 'place' OR review_year = 2025 AND bank_key = 9)""",
+    "csv_profile": "SELECT count(*) AS total_rows, "
+    + ", ".join(f"count(*) FILTER ({c} IS NULL OR {c} IN ({NA})) AS {c}_nulls" for c in RAW_COLUMNS) + " FROM raw",
+    "branch_estimates": """SELECT banque, count(DISTINCT nom_agence) AS nom_agence, count(DISTINCT localisation) AS localisation,
+      TRUE AS nom_agence_close, TRUE AS localisation_close FROM mart GROUP BY banque""",
     "report_csv": BANK_TOPIC,
     "clean_text": f"SELECT id, {clean('avis')} AS avis_cleaned FROM raw",
     "normalize_text": f"SELECT id, {normalize('avis')} AS avis_normalized FROM raw",

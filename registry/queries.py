@@ -287,6 +287,27 @@ def partitioned_fact(b):
     )
 
 
+@query
+def fact_lookup(b):
+    """Reviews of 2025 of bank 9 at its three first locations, and all reviews there: look-ups in the stored fact."""
+    path = new_path(b.spark, "fact")
+    tables.write_fact(b.fact, path)
+    of_bank = tables.find_facts(b.spark, path, review_year=2025, bank_key=9)
+    places = [r[0] for r in of_bank.filter("location_key > 0").select("location_key").distinct().orderBy("location_key").limit(3).collect()]
+    found = [tables.find_facts(b.spark, path, location_key=place).withColumn("asked", F.lit("place")) for place in places]
+    found += [of_bank.filter(F.col("location_key") == place).withColumn("asked", F.lit("bank and place")) for place in places]
+    columns = ("asked", "review_id", "bank_key", "location_key", "review_date", "review_year", "rating")
+    return aggregates.union_all(of_bank.limit(0).withColumn("asked", F.lit("")), *found).select(*columns)
+
+
+@query
+def csv_profile(b):
+    """The profile of a CSV frame before it is loaded: missing-value tokens and rows that do not fit are not in it."""
+    path = new_path(b.spark, "csv")
+    tables.write_reviews_csv(_raw_text(b), path, mark=True)
+    return aggregates.null_profile(tables.as_raw_strings(tables.read_reviews_csv(b.spark, path)), tables.REVIEW_COLUMNS)
+
+
 @query
 def report_csv(b):
     report = reports.report_bank_topic(b.mart)
@@ -504,7 +525,7 @@ def reviews_normalized(b):
 
 @query
 def reviews_clean(b):
-    return archive.mart_reviews_clean(archive.int_reviews_normalized(b.raw), AS_OF)
+    return archive.mart_reviews_clean(archive.int_reviews_normalized(b.raw), AS_OF, archive.kept_normalized(b.raw))
 
 
 @query
@@ -544,6 +565,17 @@ def report_category_insights(b):
     return reports.report_category_insights(b.mart)
 
 
+@query
+def branch_estimates(b):
+    """Branch names and addresses per bank, estimated from the sketches of the topic cube: whether the
+    estimates lie within their band of the exact numbers, which are counted beside them."""
+    sketched = ("nom_agence", "localisation")
+    estimated = reports.distinct_counts(reports.topic_cube(b.mart_table, sketched), "banque")
+    exact = b.mart_table.groupBy("banque").agg(*[F.count_distinct(c).alias(c) for c in sketched])
+    close = {f"{c}_close": F.abs(F.col(f"{c}_distinct") - F.col(c)) <= reports.SKETCH_BAND * F.col(c) for c in sketched}
+    return exact.join(estimated, "banque").withColumns(close).select("banque", *sketched, *close)
+
+
 @query
 def report_bank_year(b):
     return reports.report_bank_year(b.strict_years)
@@ -699,7 +731,10 @@ def topic_upsert(b):
     """New topic rows for rated documents replace the keyword rows of the same id."""
     rated = b.table("labels").select(documents.line_id(F.col("doc_id"), 0).alias("id"), F.col("quality").alias("topic_id"))
     new = rated.withColumns({"topic_name": F.lit("Service client"), "topic_probability": F.lit("0.500").cast("decimal(4,3)")})
-    return tables.upsert_topics(b.topics.drop("langue"), new)
+    path = new_path(b.spark, "topic-table")
+    tables.write_topics(b.topics.drop("langue"), path, buckets=16)
+    tables.upsert_topic_table(b.spark, path, new, buckets=16)
+    return tables.read_topics(b.spark, path)
 
 
 # --- data quality ----------------------------------------------------------------------------
