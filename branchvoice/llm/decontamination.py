@@ -4,9 +4,10 @@ Test items are small enough to send to every task in slices of a fixed size. An
 keeps at least s - 1 neighbouring word pairs of the item, as each break between runs of equal words
 costs one. So a document needs a known number of an item's pairs, and all but that number less one
 suffice to find it: the item's rarest, counted in all documents, are its seeds. Nothing is lost by
-leaving the others out, however common they are. A document passage around the n-grams that it
-shares with such an item is aligned with the item, word by word, so that edited and partly rewritten
-copies score as well as exact ones.
+leaving the others out, however common they are. Pairs of one alignment lie on diagonals no further
+apart than the gaps that its score allows; passages with so many pairs on so few diagonals are
+aligned with the item, word by word, so that edited and partly rewritten copies score as well as
+exact ones.
 """
 
 from __future__ import annotations
@@ -21,8 +22,6 @@ from pyspark.sql import functions as F
 from branchvoice.llm import words
 from branchvoice.llm.stages import slices, stage
 
-#: A passage is aligned where it shares so many words in a row with the item (all words of a shorter item).
-SHARED_WORDS = 3
 #: Candidate pairs of document and item are checked so many item words at a time.
 CHECKED = 1 << 20
 MATCH, MISMATCH, GAP = 1.0, -1.0, -1.0
@@ -113,8 +112,8 @@ class Items:
         gram, widths = _join(self.pair, np.uint64), sorted({min(2, len(w)) for w in self.words})
         self.pairs = self.seeds = Places(gram, self.item, widths)
         self.index = np.searchsorted(self.pairs.distinct, gram)
-        least = np.ceil(share * self.length - 1e-9).astype(np.int64)
-        self.need = np.maximum(least - 1, np.maximum(np.minimum(SHARED_WORDS, self.length) - 1, 1))
+        self.least = np.ceil(share * self.length - 1e-9).astype(np.int64)
+        self.need = np.maximum(self.least - 1, 1)
 
     def keep_rarest(self, documents: np.ndarray) -> None:
         """Seeds are each item's rarest pairs, by the documents that hold each n-gram: all but need - 1."""
@@ -150,28 +149,27 @@ class Items:
         return text[chosen], item[chosen]
 
     def passages(self, item: int, text: np.ndarray, grams: dict[int, tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[int, int]]:
-        """Word ranges of a text that may hold an alignment: around the shared n-grams, with enough of the item's pairs."""
+        """Word ranges of a text that hold every sufficient alignment: as many pairs as it needs, their diagonals no further apart than its gaps."""
         size = int(self.length[item])
-        n = min(SHARED_WORDS, size)
+        n = min(2, size)
         if n not in grams:
             g = words.grams(text, n)
             order = np.argsort(g, kind="stable")
             grams[n] = g[order], order
         known, place = grams[n]
-        own = words.grams(self.words[item], n)
+        own = self.pair[item]
         first = np.searchsorted(known, own)
         times = np.searchsorted(known, own, side="right") - first
+        # Where the item would begin if the pair's words were its only ones to match.
         begin = np.sort(place[_each(first, times)] - np.repeat(np.arange(len(own)), times))
-        if not len(begin):
+        last = np.searchsorted(begin, begin + (size - int(self.least[item])), side="right")
+        enough = np.flatnonzero(last - np.arange(len(begin)) >= self.need[item])
+        if not len(enough):
             return
-        # Hits whose implied begins lie within the item's length belong to one passage.
-        cut = np.flatnonzero(np.diff(begin) > size)
-        # So many words may be missing or added where the score still suffices.
-        edge = max(size // 2, int(size - self.share * size) + 1)
-        for a, b in zip(begin[np.append(0, cut + 1)].tolist(), begin[np.append(cut, len(begin) - 1)].tolist()):
-            a, b = max(0, a - edge), min(len(text), b + size + edge)
-            if np.isin(self.pair[item], words.grams(text[a:b], min(2, size))).sum() >= self.need[item]:
-                yield a, b
+        low, high = begin[enough], np.maximum.accumulate(begin[last[enough] - 1] + size)
+        cut = np.flatnonzero(low[1:] > high[:-1])
+        for a, b in zip(low[np.append(0, cut + 1)].tolist(), high[np.append(cut, len(high) - 1)].tolist()):
+            yield max(0, a), min(len(text), b)
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, words.Words]]:
@@ -224,10 +222,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, sl
 
     Words are runs of letters and digits, lower-cased in A-Z; score is the best alignment's share of
     the item's own score, at least `share`; the words of the document it covers are
-    [start_word, end_word). One row per document row and item. Every document that shares three words
-    in a row with an item is found if its score suffices, in however many documents they occur. Null
-    or wordless texts and items are never found; items of fewer than three words are sought as a whole; a null doc_id is reported as
-    null. A benchmark beyond `slice_bytes` is searched for in so many slices, one pass each.
+    [start_word, end_word). One row per document row and item. Every document whose score suffices is
+    found, however its words are spread and in however many documents they occur; items of fewer than
+    three words are sought as a whole. Null or wordless texts and items are never found; a null doc_id
+    is reported as null; repeated rows are reported one by one. Other columns of either table are not
+    read. A benchmark beyond `slice_bytes` is searched for in so many slices, one pass each.
     """
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")

@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from branchvoice.llm.automaton import SuffixAutomaton
-from branchvoice.llm.stages import broadcast_if_small, slices, stage
+from branchvoice.llm.stages import broadcast_if_small, ship, slices, stage
 
 #: Bounds of the sample: rows and symbols per language, symbols over all languages, characters of a row.
 ROWS, SYMBOLS, ALL_SYMBOLS, ROW_CHARS = 64, 40_000, 240_000, 4_000
@@ -240,6 +240,7 @@ def _predicted(docs: DataFrame, rows: DataFrame, learn: Column | None, explained
     own = Parser(sample)
     if explained:
         own.bounds = bounds(sample)
+    ship(docs.sparkSession)
     parser = docs.sparkSession.sparkContext.broadcast(own)
     added = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
     return rows.mapInArrow(_identified(parser), T.StructType([*rows.schema.fields, *added]))

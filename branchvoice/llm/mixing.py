@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from branchvoice.llm.stages import broadcast_if_small, stage
+from branchvoice.llm.stages import broadcast_if_small, ship, stage
 
 WEIGHTS = (5, 2, 1)
 #: No source is taken more often than this.
@@ -125,6 +125,7 @@ def _settled():
 
 def decided(docs: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = MOST, seed: int = 0, leaf: int = LEAF) -> DataFrame:
     """Copies of each distinct row: key, id, size, source_size, target, copies."""
+    ship(docs.sparkSession)
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
     units = docs.select(*_key(), "source", size.alias("size"))
     units = stage(units.groupBy("key", "id", "source", "size").agg(F.count("*").alias("n")), "mix-units")

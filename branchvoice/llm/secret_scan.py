@@ -1,22 +1,23 @@
 """Secrets in texts: fixed patterns, and strings that look random to two character models.
 
-First-order Markov models of random strings and of ordinary identifiers are counted over a bounded
-sample of documents: characters of pattern matches are labelled random, all others ordinary but
-for long strings of letters and digits, which are not labelled. Such a string outside the matches is a secret when its
-log-likelihood ratio is high enough.
+First-order Markov models are counted of random strings, over the pattern matches of all documents,
+and of ordinary text, over a bounded sample of documents, in which long strings that might be
+secrets are not labelled. Every string of 16 characters or more outside the matches, whatever it
+is made of, is a secret when its log-likelihood ratio is high enough.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from string import ascii_lowercase, ascii_uppercase, digits
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from branchvoice.llm.stages import slices, stage
+from branchvoice.llm.stages import ship, slices
 
 KINDS = ("assign", "access", "hex", "random")
 ASSIGN = re.compile(r"""(?ai:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -26,13 +27,18 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 ASSIGN_LENGTH, ACCESS_LENGTH = 6, 20
 WORDS = ("password", "passwd", "secret", "token", "api")
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+RUN = re.compile(r"[A-Za-z0-9]{16,}")
 
-#: Documents that the models are counted over, about; chosen by content hash.
+#: Documents that the model of ordinary text is counted over, about; chosen by content hash.
 SAMPLE = 20_000
 CHARACTERS = "".join(map(chr, [*range(48, 58), *range(65, 91), *range(97, 123)])) + "+/_.=-"
 STATES = len(CHARACTERS) + 1
 #: Weight, in counts, of what a state falls back on, and the count of a character never seen.
 PRIOR_RANDOM, PRIOR_ORDINARY, LEAST_SEEN = 1400.0, 5.0, 0.05
+#: Ordinary capitals follow each other as small letters do: so much of their counts is added.
+CAPITALS = 0.1
+#: Ordinary numbers, in counts of each pair of digits.
+NUMBERS = 5.0
 #: Nats that speak for random: in all, and per character.
 LEAST_TOTAL, LEAST_EACH = 12.0, 0.6
 PIECE = 4 << 20
@@ -54,9 +60,9 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return sorted(spans, key=lambda s: (s[1], KINDS.index(s[0])))
 
 
-def mixed(value: str) -> bool:
-    """Letters and digits both."""
-    return bool(re.search("[0-9]", value) and re.search("[A-Za-z]", value))
+def unlabelled(value: str) -> bool:
+    """Whether a long string may be a secret: it has letters, and digits too or 16 of both in a row. Digits alone are a number."""
+    return bool(re.search("[A-Za-z]", value) and (RUN.search(value) or re.search("[0-9]", value)))
 
 
 def _steps(text: str) -> np.ndarray:
@@ -65,33 +71,62 @@ def _steps(text: str) -> np.ndarray:
     return states[:-1] * STATES + states[1:]
 
 
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts = np.zeros((2, STATES * STATES), np.int64)
+def _tally(counts: np.ndarray) -> pa.RecordBatch:
+    some = np.flatnonzero(counts)
+    return pa.RecordBatch.from_arrays([pa.array(some), pa.array(counts[some])], names=["step", "n"])
+
+
+def _random(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Character pairs of the secret part of all pattern matches."""
+    counts = np.zeros(STATES * STATES, np.int64)
     for batch in slices("text", PIECE)(batches):
         for text in batch.column("text").to_pylist():
-            rest, last = [], 0
             for _, start, end in base_spans(text):
                 value = re.split(r"""[:=]\x20*["']?""", text[start:end], maxsplit=1)[-1]
-                counts[0] += np.bincount(_steps(f" {value} "), minlength=STATES * STATES)
+                counts += np.bincount(_steps(f" {value} "), minlength=STATES * STATES)
+    yield _tally(counts)
+
+
+def _ordinary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Character pairs of what is left of the texts without matches and unlabelled strings."""
+    counts = np.zeros(STATES * STATES, np.int64)
+    label = lambda m: " " if unlabelled(m[0]) else m[0]
+    for batch in slices("text", PIECE)(batches):
+        for text in batch.column("text").to_pylist():
+            rest, last = [], 0
+            for _, start, end in base_spans(text):
                 rest.append(text[last:start])
                 last = max(last, end)
             rest.append(text[last:])
-            # Strings of the make-up that the models are to judge are not labelled.
-            known = CANDIDATE.sub(lambda m: " " if mixed(m[0]) else m[0], " ".join(rest))
-            counts[1] += np.bincount(_steps(f" {known} "), minlength=STATES * STATES)
-    label, step = np.nonzero(counts)
-    yield pa.RecordBatch.from_arrays([pa.array(label), pa.array(step), pa.array(counts[label, step])], names=["label", "step", "n"])
+            counts += np.bincount(_steps(f" {CANDIDATE.sub(label, ' '.join(rest))} "), minlength=STATES * STATES)
+    yield _tally(counts)
+
+
+def may_match(text: Column) -> Column:
+    """False only where no pattern can match."""
+    low = F.lower(text)
+    found = F.contains(text, F.lit("AKIA")) | text.rlike(HEX.pattern)
+    for word in WORDS:
+        found = found | F.contains(low, F.lit(word))
+    return found
 
 
 def ratios(docs: DataFrame, sample: int = SAMPLE) -> np.ndarray:
     """Log-likelihood ratio, random against ordinary, of each pair of characters."""
     total = docs.count()
     share = min(1.0, sample / total) if total else 1.0
-    chosen = docs.where("text IS NOT NULL").where(F.shiftrightunsigned(F.xxhash64("text"), 11) / F.lit(float(1 << 53)) < share)
-    counted = chosen.select("text").mapInArrow(_counted, "label long, step long, n long").groupBy("label", "step").agg(F.sum("n").alias("n"))
+    texts = docs.where("text IS NOT NULL").select("text")
+    chosen = texts.where(F.shiftrightunsigned(F.xxhash64("text"), 11) / F.lit(float(1 << 53)) < share)
+    labelled = [texts.where(may_match(F.col("text"))).mapInArrow(_random, "step long, n long"), chosen.mapInArrow(_ordinary, "step long, n long")]
+    rows = labelled[0].withColumn("label", F.lit(0)).union(labelled[1].withColumn("label", F.lit(1)))
+    counted = rows.groupBy("label", "step").agg(F.sum("n").alias("n"))
     counts = np.zeros((2, STATES, STATES))
     for r in counted.collect():
         counts[r["label"], r["step"] // STATES, r["step"] % STATES] = r["n"]
+    small, capital = ([CHARACTERS.index(c) + 1 for c in letters] for letters in (ascii_lowercase, ascii_uppercase))
+    counts[1][np.ix_(capital, capital)] += CAPITALS * counts[1][np.ix_(small, small)]
+    digit = [CHARACTERS.index(c) + 1 for c in digits]
+    counts[1][np.ix_(digit, digit)] += NUMBERS
     # Random strings fall back on all characters alike, identifiers on how often a character is seen at all.
     alone = counts[1].sum(axis=0) + LEAST_SEEN
     alone /= alone.sum()
@@ -101,12 +136,10 @@ def ratios(docs: DataFrame, sample: int = SAMPLE) -> np.ndarray:
 
 
 def random_spans(text: str, ratio: np.ndarray, taken: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
-    """Long strings with letters and digits, outside the spans taken, that the random model explains better."""
+    """Long strings outside the spans taken that the random model explains better."""
     out = []
     for m in CANDIDATE.finditer(text):
         value = m[0]
-        if not mixed(value):
-            continue
         if any(start < m.end() and m.start() < end for _, start, end in taken):
             continue
         steps = _steps(value)
@@ -137,9 +170,13 @@ def secrets(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """Per document: doc_id and spans (kind, start, end), by start and kind, in code points.
 
     Kinds assign, access and hex are pattern matches; random spans are added by the models and
-    never overlap those. Null and empty texts have no spans. Repeated rows are scanned one by one;
-    an empty table gives no rows; other columns are not read.
+    never overlap those. All strings of 16 or more characters of base64, URLs and names are judged: digits
+    alone never look random, as ordinary numbers do not either. Whole texts are scanned, of any length;
+    null and empty texts have no spans. Repeated rows are scanned one by one; a null doc_id stays null; an
+    empty table gives no rows; other columns are not read. `sample` bounds the documents (by content
+    hash) behind the model of ordinary text.
     """
+    ship(docs.sparkSession)
     ratio = docs.sparkSession.sparkContext.broadcast(ratios(docs.select("text"), sample))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return rows.mapInArrow(_scanned(ratio), "doc_id long, spans array<struct<kind: string, start: long, end: long>>")

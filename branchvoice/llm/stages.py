@@ -3,9 +3,6 @@
 from __future__ import annotations
 
 import math
-import os
-import shutil
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -13,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from branchvoice.operators.storage import shared_folder
+from branchvoice.operators.workers import ship as ship
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: A side is broadcast only when its rows, counted first, stay below this many bytes; the hash table
@@ -32,6 +30,7 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     the writing job are dropped as soon as it ends, so that the disk holds one stage at a time.
     """
     spark = df.sparkSession
+    ship(spark)
     path = new_folder(spark, label)
     before = spark.conf.get(CLEANUP)
     spark.conf.set(CLEANUP, "true")
@@ -73,18 +72,3 @@ def slices(column: str, limit: int) -> Callable:
                 start = stop
 
     return cut
-
-
-_shipped: set[str] = set()
-
-
-def ship(spark: SparkSession) -> None:
-    """Send this package to the workers unless the folder it lies in is on their path already."""
-    application = spark.sparkContext.applicationId
-    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-    known = [os.path.abspath(p) for p in (os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)) if p]
-    if application in _shipped or root in known:
-        return
-    archive = shutil.make_archive(os.path.join(tempfile.mkdtemp(), "branchvoice"), "zip", root, "branchvoice")
-    spark.sparkContext.addPyFile(archive)
-    _shipped.add(application)

@@ -18,7 +18,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from branchvoice.llm.stages import CLEANUP, broadcast_if_small, slices, stage
+from branchvoice.llm.stages import broadcast_if_small, CLEANUP, ship, slices, stage
 
 SCHEMA = "version string, digest binary, n_tokens long"
 PIECE = 1 << 20
@@ -122,6 +122,7 @@ def token_counts(
     read; an empty table gives no rows and appends nothing.
     """
     spark = docs.sparkSession
+    ship(spark)
     version = version_of(tokenizer)
     text = F.coalesce("text", F.lit(""))
     normal = normalise(text) if normalise else text

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from branchvoice.llm import words
-from branchvoice.llm.stages import partitions_for, slices, stage
+from branchvoice.llm.stages import partitions_for, ship, slices, stage
 
 MAGIC = b"PFR1"
 BLOCK = 256
@@ -386,6 +386,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, folder: str, end: int = 0) ->
     workers share. Files follow each other by name. Null text is empty; a null doc_id comes first;
     repeated doc_ids are ordered by text. An empty table writes no file. Other columns are not read.
     """
+    ship(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     order = ["doc_id", F.xxhash64("text"), "text"]
@@ -407,6 +408,7 @@ def _decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def read_tokens(spark: SparkSession, folder: str, manifest: DataFrame) -> DataFrame:
     """Per document in the files: doc_id, start (ids before it in all files), n_tokens, ids_crc32."""
+    ship(spark)
     before = F.sum("ids").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1))  # a row per file
     starts = stage(manifest.select("file", F.coalesce(before, F.lit(0)).alias("before")), "token-starts")
     if starts.isEmpty():

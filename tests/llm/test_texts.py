@@ -226,8 +226,7 @@ def test_every_sufficient_alignment_is_found(make, spark):
     for i, text, _, _ in rows:
         for k, item in items:
             w = item.split()
-            n = min(3, len(w))
-            if any(f" {' '.join(w[j : j + n])} " in f" {text} " for j in range(len(w) - n + 1)):
+            if len(w) > 2 or f" {item} " in f" {text} ":
                 score = decontamination.align(codes(item), codes(text))[0] / len(w)
                 if score >= decontamination.SHARE:
                     want[i, k] = score
@@ -235,6 +234,17 @@ def test_every_sufficient_alignment_is_found(make, spark):
     assert {(r.doc_id, r.item_id): r.score for r in got} == want and len(got) == len(want) > 100
 
 
+def test_copies_with_a_foreign_word_after_every_second(make, spark):
+    """No three words in a row are the item's, and the alignment is 0.53 of it."""
+    item = [f"w{k}" for k in range(30)]
+    edited = [x for k in range(0, 30, 2) for x in (*item[k : k + 2], f"foreign{k}")]
+    clash = spark.createDataFrame([(1, " ".join(item), 5, "x", 0.5)], "item_id long, text string, doc_id int, start_word string, score double")
+    rows = [(i, prose(i, 30) + " " + " ".join(edited) + " " + prose(i + 50, 30), "en", "s") for i in range(20)]
+    got = decontamination.contaminated(make(rows), clash).collect()
+    assert sorted(r.doc_id for r in got) == list(range(20)) and all(abs(r.score - 16 / 30) < 1e-9 for r in got)
+    assert decontamination.decontaminated(make(rows), clash).count() == 0
+
+
 def test_alignment_scores():
     a = np.arange(10, dtype=np.uint64)
     assert decontamination.align(a, np.concatenate([[99], a, [98]]).astype(np.uint64)) == (10.0, 1, 11)
@@ -276,6 +286,35 @@ def test_models_add_random_strings_only(make, empty):
     assert secret_scan.secrets(empty).collect() == []
 
 
+def test_random_strings_of_any_make_up(make):
+    """Letters alone look random too; a secret that many documents repeat is not learned as ordinary; plain words are not found."""
+    draw = random.Random(9)
+    strings = ["".join(draw.choices(letters, k=k)) for letters, k in [("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", 40)] * 20 + [("abcdefghijklmnopqrstuvwxyz", 32), ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", 24)] * 3]
+    plain = ["the" * 9, "ingtionerouthaning", "-" * 40, "=" * 30, "/the/tion/ing/er/ou", "THEINGTIONEROUTHAN"]
+    rows = [(i, f"{prose(i, 300)} {prose(i, 20).upper()} {' '.join(plain)} ---- ==== /ing/the", "en", "s") for i in range(60)]
+    rows += [(100 + i, f"{prose(i, 10)} {v} {prose(i, 10)}", "en", "s") for i, v in enumerate(strings)] + [(200 + i, f"copy {strings[0]}", "en", "s") for i in range(150)]
+    got = {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans] for r in secret_scan.secrets(make(rows)).collect()}
+    for i, v in enumerate(strings):
+        at = rows[60 + i][1].index(v)
+        assert got[100 + i] == [("random", at, at + len(v))], v
+    assert all(got[200 + i] == [("random", 5, 45)] for i in range(150)) and all(got[i] == [] for i in range(60))
+
+
+def test_secrets_of_odd_documents(odd, odd_texts):
+    rows = secret_scan.secrets(odd).collect()
+    base = lambda r: tuple(f"{s.kind}:{s.start}:{s.end}" for s in r.spans if s.kind != "random")
+    same([(r.doc_id, base(r)) for r in rows], [(i, tuple(spans_brute(t or ""))) for i, t, _, _ in odd_texts])
+
+
+def test_the_filter_before_the_random_model_lets_every_match_through(make):
+    draw = random.Random(16)
+    parts = ["PassWD", "toKen", "api_key", "apikey", "API-KEY", '"', " ", "=", ":", "abcdef", "AKIA", "Z9" * 8, "0f" * 12, "0f" * 11, "é"]
+    texts = ["".join(draw.choices(parts, k=draw.randint(1, 8))) for _ in range(300)]
+    df = make([(i, t, "en", "s") for i, t in enumerate(texts)])
+    passed = {r.doc_id for r in df.where(secret_scan.may_match(F.col("text"))).collect()}
+    assert passed >= {i for i, t in enumerate(texts) if secret_scan.base_spans(t)} and len(passed) < 300
+
+
 # Tokens
 
 @pytest.fixture(scope="module")
@@ -303,7 +342,11 @@ def test_token_counts_and_cache(make, spark, token_texts, tmp_path):
     assert stored.select("digest").distinct().count() == stored.count()
     # Known contents are looked up: a count changed in the store comes back, and nothing is appended.
     n = stored.count()
-    assert len(count(make(rows)).collect()) == len(rows) and spark.read.parquet(cache).count() == n
+    changed = f"{tmp_path}/changed"
+    stored.withColumn("n_tokens", F.col("n_tokens") + 1000).write.parquet(changed)
+    back = token_counts.token_counts(make(rows), path, changed, normalise=token_counts.one_space, by_word=True).collect()
+    assert len(back) == len(rows) and all(r.n_tokens == want[4 if r.doc_id is None else r.doc_id - 500 if r.doc_id >= 500 else r.doc_id] + 1000 for r in back)
+    assert spark.read.parquet(changed).count() == n
     new = make([(1, "brand new content", "en", "s"), (2, "a  b", "en", "s")])
     assert {r.doc_id: r.n_tokens for r in count(new).collect()} == {1: 3, 2: want[4]} and spark.read.parquet(cache).count() == n + 1
     # Without the word cache and normal form the counts are the same.
