@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from branchvoice.llm import graph, minhash, vectors, words
 
@@ -140,6 +141,47 @@ def test_vectors_against_brute_force(spark):
     assert sorted((str(r.vec_id), r.n_links) for r in vectors.near_vectors(ghosts).collect()) == [("3", 0), ("None", 0), ("None", 0)]
 
 
+def test_vectors_of_extreme_size_and_repeated_ids(spark):
+    huge = [(1, [1e200, 1e199]), (2, [1e200, 0.0]), (3, [1e-200, 0.0]), (4, [1.0, 0.0]), (5, [0.0, 5e-324]), (6, [0.0, 1e300])]
+    df = spark.createDataFrame([(i, v, 1) for i, v in huge], "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in vectors.near_vectors(df).collect()}
+    assert got == {1: (3, 1), 2: (3, 1), 3: (3, 1), 4: (3, 1), 5: (1, 5), 6: (1, 5)}
+    # Rows that share an id are vectors of their own.
+    twice = spark.createDataFrame([(1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [1.0, 0.1]), (3, [0.1, 1.0]), (3, [0.1, 1.0])], "vec_id long, embedding array<double>")
+    rows = sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in vectors.near_vectors(twice).collect())
+    assert rows == [(1, 1, 1, True), (1, 2, 1, True), (2, 1, 1, False), (3, 2, 1, False), (3, 2, 1, False)]
+
+
+def test_wide_vectors_and_pairs_in_the_band(spark):
+    """Beyond 1,024 components sums go over to doubles; pairs close to the threshold are decided exactly."""
+    draw, rows = np.random.default_rng(8), []
+    base = draw.normal(size=1100)
+    base /= np.linalg.norm(base)
+    for k in range(60):
+        off = draw.normal(size=1100)
+        off -= off @ base * base
+        off /= np.linalg.norm(off)
+        cosine = np.sqrt(0.9) + (k - 30) * 1e-4
+        rows.append((k, (cosine * base + np.sqrt(1 - cosine**2) * off).tolist()))
+    rows.append((60, base.tolist()))
+    links, component = vector_brute(rows, 0.9)
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    for tile in (8192, 16):
+        got = vectors.near_vectors(df, tile=tile).collect()
+        assert {r.vec_id: r.n_links for r in got} == links and {r.vec_id: r.component_id for r in got} == component
+
+
+def test_only_codes_travel_to_the_tiles(spark, monkeypatch):
+    seen = []
+    stage = vectors.stage
+    monkeypatch.setattr(vectors, "stage", lambda df, label: seen.append((label, df)) or stage(df, label))
+    df = spark.range(50).select(F.col("id").alias("vec_id"), F.array(*[F.rand(k) for k in range(8)]).alias("embedding"))
+    vectors.near_vectors(df).collect()
+    plan = dict(seen)["vector-links"]._jdf.queryExecution().executedPlan().toString()
+    exchanges = [line for line in plan.splitlines() if "FlatMapCoGroups" in line or "Project" in line]
+    assert exchanges and all("vector" not in line for line in exchanges)
+
+
 def test_quantisation_bound_is_rigorous():
     draw = np.random.default_rng(9)
     u = draw.normal(size=(300, 32))
