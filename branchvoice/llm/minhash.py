@@ -12,12 +12,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from branchvoice.llm import words
 from branchvoice.llm.graph import components
-from branchvoice.llm.stages import slices, stage
+from branchvoice.llm.stages import broadcast_if_small, slices, stage
 
 #: 28 bands of 4: a pair at similarity 0.8 shares no band with probability 4e-7.
 BANDS, ROWS = 28, 4
@@ -25,6 +25,8 @@ PIECE = 2 << 20
 FLAT = 1 << 15
 #: Documents of one side that are compared in one task.
 CELL = 512
+#: A place of a document in a cell, in memory.
+PLACE_BYTES = 40
 
 
 def _order(x: np.ndarray, spare: np.ndarray) -> None:
@@ -90,34 +92,6 @@ def _signed(n: int, bands: int, rows: int):
     return run
 
 
-def _confirmed(n: int, percent: int):
-    """Pairs whose full sets are similar enough."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices("text_b", PIECE)(piece for b in batches for piece in slices("text_a", PIECE)([b])):
-            left, right = (words.split(batch.column(c), lower=True) for c in ("text_a", "text_b"))
-            keep, last, cached = [], None, None
-            a_ids = batch.column("a").to_pylist()
-            for i in range(batch.num_rows):
-                if a_ids[i] != last:
-                    last, cached = a_ids[i], shingle_set(left.hash[left.of(i)], n)
-                other = shingle_set(right.hash[right.of(i)], n)
-                common = len(np.intersect1d(cached, other, assume_unique=True))
-                keep.append(100 * common >= percent * (len(cached) + len(other) - common) > 0)
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    return run
-
-
-def _verify(docs: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFrame:
-    """Rows (a, b) of `pairs` that pass; only texts of documents named in a pair travel."""
-    text = docs.where("doc_id IS NOT NULL").select("doc_id", "text")
-    joined = pairs.join(text.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a").join(
-        text.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b"
-    )
-    return joined.select("a", "b", "text_a", "text_b").mapInArrow(_confirmed(n, percent), "a long, b long").distinct()
-
-
 def _links(n: int, percent: int):
     """Links between the strangers and the members of one cell, as few as keep what is connected so."""
 
@@ -162,6 +136,40 @@ def _links(n: int, percent: int):
     return run
 
 
+def _in_cells(docs: DataFrame, left: DataFrame, right: DataFrame, n: int, percent: int) -> DataFrame:
+    """Links between the two sides of every cell (family, i, j), whose rows name documents by `node`.
+
+    Texts are looked up by the places that name them: where those are few enough to be broadcast, texts
+    go straight from the scan to their cells, and no other text moves. Otherwise all are shuffled once by
+    doc_id before that.
+    """
+    key = ["family", "i", "j"]
+    sides = [x.select(*key, "node", F.lit(side).alias("side")) for side, x in enumerate((left, right))]
+    places = stage(sides[0].union(sides[1]).distinct(), "places")
+    texts = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("node"), "text")
+    placed = texts.join(broadcast_if_small(places, PLACE_BYTES), "node")
+    # Aliases tell the two sides apart, which read the same tables.
+    left, right = (placed.where(F.col("side") == k).select(*[F.col(c).alias(c) for c in (*key, "node", "text")]) for k in (0, 1))
+    return left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(_links(n, percent), "a long, b long")
+
+
+def _last(c: str) -> Column:
+    return F.sequence(F.lit(0).cast("long"), F.col(c) - 1)
+
+
+def _cell(c: str) -> Column:
+    return F.pmod(F.xxhash64("node"), F.col(c))
+
+
+def _verify(docs: DataFrame, stars: DataFrame, n: int, percent: int) -> DataFrame:
+    """Rows (a, b) of links among the pairs of a head `a` and a member `b`: a head goes to as many cells as its members fill."""
+    counts = stage(stars.groupBy(F.col("a").alias("family")).agg(F.ceil(F.count("*") / CELL).alias("js")), "heads")
+    heads = counts.select("family", F.lit(0).cast("long").alias("i"), F.explode(_last("js")).alias("j"), F.col("family").alias("node"))
+    members = stars.select(F.col("a").alias("family"), F.col("b").alias("node")).join(counts, "family")
+    members = members.select("family", F.lit(0).cast("long").alias("i"), _cell("js").alias("j"), "node")
+    return _in_cells(docs, heads, members, n, percent)
+
+
 def _compared(docs: DataFrame, strangers: DataFrame, label: DataFrame, n: int, percent: int) -> DataFrame:
     """Links (a, b) between the strangers of a family and all its members and strangers.
 
@@ -173,17 +181,9 @@ def _compared(docs: DataFrame, strangers: DataFrame, label: DataFrame, n: int, p
     members = members.union(strangers.select("family", F.col("family").alias("node"))).distinct()
     counts = members.groupBy("family").agg(F.count("*").alias("m")).join(strangers.groupBy("family").agg(F.count("*").alias("s")), "family")
     counts = stage(counts.select("family", F.ceil(F.col("m") / CELL).alias("ms"), F.ceil(F.col("s") / CELL).alias("ss")), "families")
-    text = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("node"), "text")
-    last = lambda c: F.sequence(F.lit(0).cast("long"), F.col(c) - 1)
-    cell = lambda c: F.pmod(F.xxhash64("node"), F.col(c))
-    left = members.join(counts, "family").select("family", "node", cell("ms").alias("i"), F.explode(last("ss")).alias("j"))
-    right = strangers.join(counts, "family").select("family", "node", cell("ss").alias("j"), F.explode(last("ms")).alias("i"))
-    # Aliases tell the two sides apart, which read the same tables.
-    left, right = (
-        x.join(text, "node").select(*[F.col(c).alias(c) for c in ("family", "i", "j", "node", "text")]) for x in (left, right)
-    )
-    key = ["family", "i", "j"]
-    return left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(_links(n, percent), "a long, b long")
+    left = members.join(counts, "family").select("family", "node", _cell("ms").alias("i"), F.explode(_last("ss")).alias("j"))
+    right = strangers.join(counts, "family").select("family", "node", _cell("ss").alias("j"), F.explode(_last("ms")).alias("i"))
+    return _in_cells(docs, left, right, n, percent)
 
 
 def near_duplicates(

@@ -74,6 +74,21 @@ def test_hot_group_of_edited_copies(make):
     assert {r.doc_id: r.component_id for r in rows} == want and len(set(want.values())) > 20
 
 
+def test_only_texts_of_named_documents_move(make, monkeypatch):
+    """Texts go from the scan to their cells; with many places the join shuffles, and the result is the same."""
+    seen = []
+    stage = minhash.stage
+    monkeypatch.setattr(minhash, "stage", lambda df, label: seen.append((label, df)) or stage(df, label))
+    texts = [(i, prose(i // 3, 50) + (" x" if i % 3 == 2 else ""), "en", "a") for i in range(120)]
+    want = near_brute([t[:2] for t in texts], 2)[1]
+    for small in (True, False):
+        monkeypatch.setattr(minhash, "broadcast_if_small", lambda df, size, s=small: F.broadcast(df) if s else df.hint("merge"))
+        rows = minhash.near_duplicates(make(texts), shingle=2).collect()
+        assert {r.doc_id: r.component_id for r in rows} == want
+        plan = [df for label, df in seen if label == "links"][-1]._jdf.queryExecution().executedPlan().toString()
+        assert ("SortMergeJoin" in plan) != small and plan.count("BroadcastHashJoin") == (2 if small else 0)
+
+
 def test_odd_documents(odd, empty):
     rows = minhash.near_duplicates(odd).collect()
     assert len(rows) == odd.count()
