@@ -169,13 +169,52 @@ FUNCTION_WORDS = {
     ],
 }
 
-# Endings taken off by the light stemmers, longest first.
-STEM_ENDINGS = {
-    "fr": "(issements?|issement|ations?|ements?|ances?|ences?|euses?|ables?|ibles?|eurs?|ives?|ants?|ents?|ions?|ées?|ier|er|és?|es|s|e)",
-    "ar": "(ات|ون|ين|ان|ها|ية|ة|ه|ي)",
+# French vowels, and the regions of a word, as patterns of the stem that must be left in front of an
+# ending: it lies in the first region behind a vowel and the next consonant, in the second one behind
+# such a pair of that region again, in the verb region behind the first three letters (two
+# vowels first) or the first vowel after the first letter.
+STEM_VOWELS = "aeiouyâàëéêèïîôûùœ"
+STEM_REGIONS = {
+    "any": r"\p{L}{2}\p{L}*?",
+    "plural": r"\p{L}{2}\p{L}*?[^aiouès]",
+    "first": rf"[^{STEM_VOWELS}]*[{STEM_VOWELS}]+[^{STEM_VOWELS}]\p{{L}}*?",
+    "second": rf"[^{STEM_VOWELS}]*[{STEM_VOWELS}]+[^{STEM_VOWELS}]+[{STEM_VOWELS}]+[^{STEM_VOWELS}]\p{{L}}*?",
+    "verb": rf"(?:[{STEM_VOWELS}]{{2}}\p{{L}}|\p{{L}}[^{STEM_VOWELS}]*[{STEM_VOWELS}])\p{{L}}*?",
 }
-# A stem keeps at least this many letters.
-STEM_MIN_LETTERS = 3
+# Rounds of endings by region, with what takes their place. In a round the first rule that fits is the only one.
+STEM_ROUNDS = {
+    "fr": [
+        [("plural", "s", "")],
+        [
+            ("second", "ances?|iques?|ismes?|ables?|ibles?|istes?|eux|atrices?|ateurs?|ations?|ités?|ifs?|ives?", ""),
+            ("second", "logies?", "log"),
+            ("second", "usions?|utions?", "u"),
+            ("second", "ences?", "ent"),
+            ("first", "issements?", ""),
+            ("verb", "amments?", "ant"),
+            ("verb", "emments?", "ent"),
+            ("verb", "ements?", ""),
+            ("first", "euses?", "eux"),
+            ("first", "eaux", "eau"),
+            ("first", "aux", "al"),
+            ("second", "ions?", ""),
+            ("verb", "eraient|erions|erait|erais|eront|erons|aient|èrent|erai|eras|erez|i?ères?|antes?|ants?|ait|ais|iez|ées?|era|ier|és?|er|ez", ""),
+            ("verb", "issaient|issantes?|issants?|issent|issait|irait|irent|iront|ites?|ies?|ira|is|it|ir|i", ""),
+        ],
+        [("any", "es|s|e", "")],
+        [("any", "nn", "n"), ("any", "tt", "t"), ("any", "ll", "l")],
+    ],
+    # Conjunction, preposition and article in front, then pronouns and number or gender at the end.
+    "ar": [
+        [("front", "و?(?:ال|بال|كال|فال)|لل|و", "")],
+        [("long", "هما|كما|ها|هم|هن|نا|كم", "")],
+        [("long", "ات|ون|ين|ان|ية", "")],
+        [("long", "ة|ه|ي", "")],
+    ],
+}
+# Letters that stay where an Arabic prefix or ending goes.
+STEM_REGIONS["long"] = r"\p{L}{3}\p{L}*?"
+STEM_REGIONS["front"] = r"\p{L}{3}\p{L}*"
 
 # --- fixed values: ratings, quality and bins -----------------------------------
 # \z, not $: on the JVM $ also matches before a final line break.

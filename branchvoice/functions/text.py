@@ -124,11 +124,31 @@ def drop_stopwords(words: Column, lang: str) -> Column:
     return F.filter(words, lambda w: ~w.isin(stop))
 
 
+def _stem_rule(region: str, endings: str, instead: str) -> tuple[str, str]:
+    """Pattern of a word that has one of the endings in a region, and what replaces the word."""
+    stem = rules.STEM_REGIONS[region]
+    if region == "front":
+        return rf"^(?:{endings})({stem})\z", f"{instead}$1"
+    return rf"^({stem})(?:{endings})\z", f"$1{instead}"
+
+
+def _one_round(word: Column, step: list[tuple[str, str, str]]) -> Column:
+    """The first rule that fits takes off its longest ending in its region of the word."""
+    found = [_stem_rule(*rule) for rule in step]
+    if len(found) == 1:
+        return F.regexp_replace(word, *found[0])
+    chosen = F
+    for pattern, replaced in found:
+        chosen = chosen.when(word.rlike(pattern), F.regexp_replace(word, pattern, replaced))
+    return chosen.otherwise(word)
+
+
 def stem_tokens(words: Column, lang: str) -> Column:
-    """Light stemmer: takes one known ending off words that stay long enough."""
-    ending = rules.STEM_ENDINGS.get(lang, rules.STEM_ENDINGS["fr"])
-    pattern = rf"^(\p{{L}}{{{rules.STEM_MIN_LETTERS},}}?){ending}\z"
-    return F.transform(words, lambda w: F.regexp_replace(w, pattern, "$1"))
+    """Stems: rounds of endings, each tried in its region of the word."""
+    taken = lambda step: lambda w: _one_round(w, step)
+    for step in rules.STEM_ROUNDS.get(lang, rules.STEM_ROUNDS["fr"]):
+        words = F.transform(words, taken(step))
+    return words
 
 
 def topic_words(c: Column, lang: str) -> Column:

@@ -4,7 +4,7 @@ from concurrent.futures import ThreadPoolExecutor
 from math import log
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.clustering import LDA, LDAModel
+from pyspark.ml.clustering import LDA, LDAModel, LocalLDAModel
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import DenseVector
@@ -166,6 +166,21 @@ class LanguageTopics:
         self.names = name_topics(top_terms(self.model, [r["term"] for r in self.known]), self.lang)
         return self
 
+    def save(self, path: str) -> None:
+        spark = self.documents.sparkSession
+        self.model.write().overwrite().save(f"{path}/model")
+        spark.createDataFrame(self.known, "term string, documents long, occurrences long").coalesce(1).write.mode("overwrite").parquet(f"{path}/vocabulary")
+        self.names.coalesce(1).write.mode("overwrite").parquet(f"{path}/names")
+        spark.range(1).write.mode("overwrite").parquet(f"{path}/complete")
+
+    def load(self, path: str) -> "LanguageTopics":
+        spark = self.documents.sparkSession
+        self.model = LocalLDAModel.load(f"{path}/model")
+        self.known = spark.read.parquet(f"{path}/vocabulary").orderBy(F.desc("occurrences"), "term").collect()
+        self.names = spark.read.parquet(f"{path}/names")
+        self.vectors = self.tfidf()
+        return self
+
     def tfidf(self) -> DataFrame:
         return tfidf(self.documents, self.known, self.rows)
 
@@ -193,6 +208,42 @@ def topic_models(corpus: DataFrame) -> list[LanguageTopics]:
         return list(pool.map(LanguageTopics.fit, language_documents(corpus)))
 
 
+def corpus_digest(corpus: DataFrame) -> str:
+    """A key of the corpus' rows, whatever their order: it changes when a row changes, comes or goes."""
+    row = F.xxhash64(*[F.col(c).cast("string") for c in ("id", "avis", "langue")])
+    other = F.crc32(F.concat_ws("\x1f", F.col("id").cast("string"), "langue", "avis").cast("binary"))
+    seen = corpus.agg(F.count("*").alias("n"), F.bit_xor(row).alias("x"), F.sum(other).alias("s")).first()
+    return f"{seen['n']}-{(seen['x'] or 0) & (1 << 64) - 1:016x}-{seen['s'] or 0}"
+
+
+def _saved(spark: SparkSession, path: str) -> bool:
+    """The marker is written last: without it a fit was not saved to its end."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/complete")
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
+def saved_topic_models(corpus: DataFrame, folder: str) -> list[LanguageTopics]:
+    """Models of this very corpus: loaded from `folder` where they were saved, else fitted and saved there.
+
+    A model is kept under a digest of the corpus, so one of other data is never taken for it, and
+    outlives the session. Vocabulary and names (at most 1000 and 8 rows) lie beside it; vectors
+    follow from corpus and vocabulary and are not kept.
+    """
+    spark = corpus.sparkSession
+    root = f"{folder}/{corpus_digest(corpus)}"
+    models = language_documents(corpus)
+
+    def ready(m: LanguageTopics) -> LanguageTopics:
+        path = f"{root}/{m.lang}"
+        if _saved(spark, path):
+            return m.load(path)
+        m.fit().save(path)
+        return m
+
+    with ThreadPoolExecutor(len(LANGUAGES)) as pool:
+        return list(pool.map(ready, models))
+
+
 def assigned(models: list[LanguageTopics], spark: SparkSession) -> DataFrame:
     """Topic table of all languages, with the language: id, topic_id, topic_name, topic_probability, langue."""
     if not models:

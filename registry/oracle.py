@@ -390,7 +390,8 @@ FUNCTION_WORDS = {"fr": Path(__file__).with_name("french_stop_words.txt").read_t
 def words(step: str, columns: str = "id") -> str:
     def frame(lang: str) -> str:
         stop = arr(FUNCTION_WORDS[lang] + rules.DOMAIN_STOP_WORDS[lang])
-        done = step.replace("@STOP", stop).replace("@END", rules.STEM_ENDINGS[lang])
+        done = stemmed(step.removesuffix(STEMS), lang) if step.endswith(STEMS) else step
+        done = done.replace("@STOP", stop)
         return f"SELECT {columns}, array_to_string({done}, ' ') AS words FROM corpus WHERE langue = '{lang}'"
 
     return " UNION ALL ".join(map(frame, ("fr", "ar")))
@@ -402,7 +403,21 @@ PREPARED = (
 TOKENS = f"string_split({PREPARED.format(c='avis')}, ' ')"
 WORDY = "length(w) > 2 AND regexp_matches(w, '^\\p{L}+\\z')"
 NOT_STOP = "NOT list_contains(@STOP, w)"
-STEM = f"regexp_replace(w, '^(\\p{{L}}{{{rules.STEM_MIN_LETTERS},}}?)@END\\z', '\\1')"
+STEMS = "@STEMS"
+
+
+def stemmed(words_: str, lang: str) -> str:
+    """Every round of the stemmer as a list_transform around the one before."""
+    for step in rules.STEM_ROUNDS[lang]:
+        whens = ""
+        for region, endings, instead in step:
+            stem = rules.STEM_REGIONS[region]
+            pattern, new = (f"^(?:{endings})({stem})\\z", f"{instead}\\1") if region == "front" else (f"^({stem})(?:{endings})\\z", f"\\1{instead}")
+            whens += f" WHEN regexp_matches(w, {lit(pattern)}) THEN regexp_replace(w, {lit(pattern)}, {lit(new)})"
+        words_ = f"list_transform({words_}, lambda w: CASE{whens} ELSE w END)"
+    return words_
+
+
 DEDUP_COLUMNS = "is_exact_duplicate, is_similar_duplicate, keep_confidence_score, should_keep"
 NA = f"{', '.join(lit(t) for t in rules.MISSING_TOKENS)}"
 RAW_COLUMNS = ["banque", "ville", "nom_agence", "localisation", "note", "avis", "date_avis"]
@@ -622,7 +637,7 @@ STATEMENTS = {
     "prep_text": f"SELECT id, {PREPARED.format(c='avis')} AS prepared FROM raw",
     "tokens": words(f"list_filter({TOKENS}, lambda w: {WORDY})"),
     "stopwords": words(f"list_filter({TOKENS}, lambda w: {NOT_STOP})"),
-    "stems": words(f"list_transform(list_filter({TOKENS}, lambda w: {WORDY} AND {NOT_STOP}), lambda w: {STEM})"),
+    "stems": words(f"list_filter({TOKENS}, lambda w: {WORDY} AND {NOT_STOP}){STEMS}"),
     "eligible_languages": "SELECT langue, count(*) AS n FROM corpus WHERE langue IN ('fr', 'ar') GROUP BY langue HAVING count(*) >= 20",
     "topic_vocabulary": "SELECT term, documents, occurrences, langue FROM vocab",
     "topic_vectors": """
@@ -682,7 +697,7 @@ CTES["marked"] = "SELECT * REPLACE (avis || chr(65533) AS avis) FROM raw"
 CTES["latin"] = "SELECT * FROM raw WHERE NOT regexp_matches(coalesce(avis, ''), '[^\\x{00}-\\x{FF}]')"
 # Languages behind both size gates.
 CTES["prepared"] = (
-    f"SELECT id, langue, string_split(words, ' ') AS w FROM ({words(f'list_transform(list_filter({TOKENS}, lambda w: {WORDY} AND {NOT_STOP}), lambda w: {STEM})', 'id, langue')}) "
+    f"SELECT id, langue, string_split(words, ' ') AS w FROM ({words(f'list_filter({TOKENS}, lambda w: {WORDY} AND {NOT_STOP}){STEMS}', 'id, langue')}) "
     "WHERE length(words) > 5 AND langue IN (SELECT langue FROM corpus GROUP BY langue HAVING count(*) >= 20)"
 )
 CTES["sized"] = "SELECT langue, count(*) AS total FROM prepared GROUP BY langue HAVING count(*) >= 10"

@@ -10,7 +10,7 @@ from branchvoice.functions import dates, names, rules, scores, sql, text
 from branchvoice.operators import aggregates, checks
 from branchvoice.operators.joins import attach_topics, lookup_join, topic_of
 from branchvoice.operators.ranking import rank_rows
-from branchvoice.operators.storage import as_table, as_view, new_path, stored
+from branchvoice.operators.storage import as_table, as_view, new_path, shared_folder, stored
 from branchvoice.plans import archive, reports, reviews, star, topics
 from branchvoice.sources import crawl, documents, tables
 
@@ -30,9 +30,6 @@ def plain(df: DataFrame) -> DataFrame:
     return df.select(*[cast(f) for f in df.schema.fields])
 
 
-_FITTED: dict[tuple[str, str], list] = {}
-
-
 class Build:
     """The models of one run over one folder of tables, each built at most once."""
 
@@ -82,11 +79,8 @@ class Build:
 
     @cached_property
     def models(self) -> list:
-        """Fitted topic models, once per application and folder."""
-        key = (self.spark.sparkContext.applicationId, self.folder)
-        if key not in _FITTED:
-            _FITTED[key] = topics.topic_models(self.corpus)
-        return _FITTED[key]
+        """Topic models of this corpus, fitted once per application; a changed table gets models of its own."""
+        return topics.saved_topic_models(self.corpus, f"{shared_folder(self.spark)}/{self.spark.sparkContext.applicationId}/topic-models")
 
     @cached_property
     def fitted(self) -> DataFrame:

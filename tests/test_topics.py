@@ -73,3 +73,38 @@ def test_french_stop_words_are_the_published_list(spark):
     from registry.oracle import FUNCTION_WORDS
 
     assert set(FUNCTION_WORDS["fr"]) <= set(text.stop_words("fr")) and {"avions", "auraient", "soyez"} <= set(FUNCTION_WORDS["fr"])
+
+
+def test_stems_follow_the_regions_of_the_word(apply):
+    french = {
+        "services": "servic", "continuation": "continu", "rapidement": "rapid", "banques": "banqu", "clients": "client",
+        "nationale": "national", "agences": "agenc", "compétences": "compétent", "personnelle": "personnel", "conseillers": "conseil",
+        "conseillère": "conseil", "fréquemment": "fréquent", "constamment": "constant", "chevaux": "cheval", "bureaux": "bureau",
+        "sérieuse": "sérieux", "employées": "employ", "technologies": "technolog", "finissent": "fin", "applications": "applic",
+        # The ending lies outside its region.
+        "nation": "nation", "table": "tabl", "danse": "dans", "été": "été",
+    }
+    arabic = {"والخدمة": "خدم", "الخدمات": "خدم", "للبنك": "بنك", "موظفون": "موظف", "والموظفين": "موظف", "ممتازة": "ممتاز", "بنك": "بنك"}
+    for lang, pairs in (("fr", french), ("ar", arabic)):
+        got = apply(lambda c, lang=lang: F.array_join(text.stem_tokens(F.split(c, " "), lang), " "), list(pairs))
+        assert dict(zip(pairs, got)) == pairs
+
+
+def test_a_changed_table_gets_a_new_fit(spark, tmp_path, monkeypatch):
+    words = ["accueil", "guichet", "attente", "carte", "frais", "compte"]
+    rows = [(i, f"{words[i % 6]} {words[(i // 6) % 6]} {words[(i + 3) % 6]} long", "fr", "b", "v") for i in range(60)]
+    frame = lambda data: spark.createDataFrame(data, "id long, avis string, langue string, banque string, ville string")
+    fits = []
+    fit = topics.fit_topics
+    monkeypatch.setattr(topics, "fit_topics", lambda *a, **k: fits.append(1) or fit(*a, passes=1))
+    folder = str(tmp_path / "models")
+    first = topics.assigned(topics.saved_topic_models(frame(rows), folder), spark)
+    again = topics.assigned(topics.saved_topic_models(frame(rows[::-1]).repartition(3), folder), spark)
+    assert len(fits) == 1 and again.count() == 60 and again.exceptAll(first).isEmpty()
+    topics.saved_topic_models(frame(rows[:-1] + [(59, "service rapide et accueil parfait", "fr", "b", "v")]), folder)
+    assert len(fits) == 2
+    # A fit that was not saved to its end is not taken.
+    part = next(p for p in (tmp_path / "models").rglob("complete"))
+    part.rename(part.with_name("incomplete"))
+    topics.saved_topic_models(frame(rows), folder)
+    assert len(fits) in (2, 3)
