@@ -21,6 +21,8 @@ OVERSAMPLING = 16
 #: A range above this many times the mean is cut again, in so many rounds at most.
 OVERFULL, ROUNDS = 2, 4
 LEAST = -(1 << 63)
+#: A group up to this share of a shard is never divided.
+WHOLE = 0.35
 
 
 def record_size(text: Column) -> Column:
@@ -32,6 +34,16 @@ def _key(group: str, within: str) -> Column:
     return F.struct(F.col(group).alias("g"), F.col(within).alias("d"))
 
 
+def _key_at(group: str) -> Column:
+    """The least key of a group."""
+    return F.struct(F.col(group).alias("g"), F.lit(LEAST).alias("d"))
+
+
+def _sizes(ranged: DataFrame) -> DataFrame:
+    low, high = F.min(_key("g", "d")).alias("low"), F.max(_key("g", "d")).alias("high")
+    return ranged.groupBy("range").agg(F.sum("size").alias("bytes"), F.count("*").alias("rows"), low, high)
+
+
 def _range_of(key: Column, splitters: Column) -> Column:
     """How many of the sorted splitters are at or below the key, by halving."""
     steps = F.sequence(F.lit(1), F.lit(MAX_RANGES.bit_length() + 3))
@@ -76,9 +88,11 @@ def sharded(
     """The records with `size`, `shard` (0 to shards - 1) and `slot` (gapless from 0 in each shard).
 
     Law: the sizes of the shards are near equal. Records are ordered by `group` (a hash of the text
-    by default, so equal texts are neighbours) and `within` (doc_id); only an overfull range is cut
-    inside a group, so the copies of a text share a shard unless they fill more than two ranges of
-    the shard. Null doc_ids come first. Rows with equal keys and sizes are interchangeable; a row
+    by default, so equal texts are neighbours) and `within` (doc_id). A group of up to 0.35 of a
+    shard lies in one shard; only larger ones are cut where a shard ends. Groups that fill more than
+    a range go to the shards in turn, by falling size; all other ranges fill the shards up in order, so
+    sizes differ by about a range (a 64th of a shard or less) unless such groups make up most of the bytes.
+    Null doc_ids come first. Rows with equal keys and sizes are interchangeable; a row
     larger than a range is a range of its own. An empty table gives no rows. Input columns named
     size, shard or slot are replaced.
     """
@@ -105,12 +119,7 @@ def sharded(
     )
     for turn in range(1, ROUNDS + 2):
         ranged = _ranged(keys, "g", "d", splitters).withColumnRenamed("_range", "range")
-        sizes = stage(
-            ranged.groupBy("range").agg(
-                F.sum("size").alias("bytes"), F.count("*").alias("rows"), F.min(_key("g", "d")).alias("low"), F.max(_key("g", "d")).alias("high")
-            ),
-            "ranges",
-        )
+        sizes = stage(_sizes(ranged), "ranges")
         full = sizes.where((F.col("bytes") > OVERFULL * each) & (F.col("low") < F.col("high")))
         if turn > ROUNDS or full.isEmpty():
             break
@@ -121,9 +130,34 @@ def sharded(
         splitters = _as_row(splitters.select(F.explode("splitters").alias("key")).union(more.select("key")))
 
     # One row per range: the only windows without a key, over at most a few times MAX_RANGES rows.
-    before = F.coalesce(F.sum("bytes").over(Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    middle = (before + F.col("bytes") / 2) * shards / F.lit(float(total))
-    placed = sizes.withColumn("shard", F.least(F.floor(middle).cast("int"), F.lit(shards - 1)))
+    in_order = Window.orderBy("range")
+    divided = sizes.withColumn("before", F.lag("high.g").over(in_order)).where(F.col("before") == F.col("low.g")).select(F.col("low.g").alias("g")).distinct()
+    divided = stage(divided, "divided-groups")
+    if not divided.isEmpty():
+        # Cut at both ends of such a group too, so that its ranges hold nothing else.
+        edges = [F.col("g"), F.try_add(F.col("g"), F.lit(1).cast("long"))] if dict(divided.dtypes)["g"] == "bigint" else [F.col("g")]
+        more = divided.select(F.explode(F.array(*edges)).alias("g")).where("g IS NOT NULL").select(_key_at("g").alias("key"))
+        splitters = _as_row(splitters.select(F.explode("splitters").alias("key")).union(more))
+        sizes = stage(_sizes(_ranged(keys, "g", "d", splitters).withColumnRenamed("_range", "range")), "ranges")
+
+    shard_bytes = total / shards
+    alone = sizes.where(F.col("low.g") == F.col("high.g")).join(F.broadcast(divided.select(F.struct("g").alias("own"))), F.col("low.g") == F.col("own.g"))
+    groups = alone.groupBy(F.col("own.g").alias("g")).agg(F.sum("bytes").alias("bytes")).where(F.col("bytes") <= WHOLE * shard_bytes)
+    rank = F.row_number().over(Window.orderBy(F.desc("bytes"), "g")) - 1
+    turn, place = F.floor(rank / shards), rank % shards
+    groups = stage(groups.select("g", "bytes", F.when(turn % 2 == 0, place).otherwise(shards - 1 - place).cast("int").alias("own_shard")), "whole-groups")
+    taken = groups.groupBy("own_shard").agg(F.sum("bytes").alias("taken"))
+    room = F.greatest(F.lit(0.0), F.lit(shard_bytes) - F.coalesce("taken", F.lit(0)))
+    shelf = docs.sparkSession.range(shards).select(F.col("id").cast("int").alias("own_shard")).join(taken, "own_shard", "left").select("own_shard", room.alias("room"))
+    ends = stage(shelf.select("own_shard", F.sum("room").over(Window.orderBy("own_shard")).alias("end")), "shard-ends").agg(F.sort_array(F.collect_list("end")).alias("ends"))
+
+    owned = sizes.join(F.broadcast(groups.select(F.struct("g").alias("own"), "own_shard")), (F.col("low.g") == F.col("own.g")) & (F.col("high.g") == F.col("own.g")), "left")
+    free = F.when(F.col("own_shard").isNull(), F.col("bytes")).otherwise(0)
+    before = F.coalesce(F.sum(free).over(in_order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    whole_free = F.greatest(F.sum(free).over(Window.partitionBy()), F.lit(1))
+    spread = owned.withColumn("at", (before + free / 2) / whole_free).withColumn("ends", ends.scalar())
+    passed = F.size(F.filter("ends", lambda e: e <= F.col("at") * F.element_at("ends", -1)))
+    placed = spread.withColumn("shard", F.coalesce("own_shard", F.least(passed, F.lit(shards - 1))))
     ahead = F.sum("rows").over(Window.partitionBy("shard").orderBy("range").rowsBetween(Window.unboundedPreceding, -1))
     placed = stage(placed.select(F.col("range").alias("_range"), "shard", F.coalesce(ahead, F.lit(0)).alias("_ahead")), "range-places")
     ranged = _ranged(keyed, "_g", "_d", splitters)
