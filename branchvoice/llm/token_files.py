@@ -22,15 +22,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from branchvoice.llm import words
-from branchvoice.llm.stages import partitions_for, ship, slices, stage
+from branchvoice.llm.stages import CLEANUP, broadcast_if_small, partitions_for, ship, slices, stage
 
 MAGIC = b"PFR1"
 BLOCK = 256
 SEGMENT = BLOCK * 4096
 #: The width covers this share of a block's values.
 COVERED = 0.9
-#: Text bytes per partition, about, and ids per file at most (a longer document has a file of its own).
-PARTITION_BYTES, FILE_IDS = 16 << 20, 8 << 20
+#: Text bytes per partition, about, and per partition where cores would be idle; ids per file at most (a longer document has a file of its own).
+PARTITION_BYTES, LEAST_BYTES, FILE_IDS = 512 << 20, 16 << 20, 4 << 20
+MANIFEST = ["part", "number", "documents", "ids"]
+FILES = "part long, number long, documents long, ids long, content binary"
 PIECE = 2 << 20
 #: Chunks that a worker remembers; then it starts anew.
 REMEMBERED = 4_000_000
@@ -334,85 +336,78 @@ def encoder_of(run: str, path: str) -> Encoder:
     return _encoders[run, path]
 
 
-def _save(folder: str, name: str, data: bytes) -> None:
-    """Write under another name, then rename: a file is whole or absent, and a repeated task replaces it."""
-    from pyarrow import fs
-
-    files, path = fs.FileSystem.from_uri(folder)
-    context = TaskContext.get()
-    files.create_dir(path, recursive=True)
-    draft = f"{path}/_{name}-{context.taskAttemptId()}"
-    with files.open_output_stream(draft) as out:
-        out.write(data)
-    files.move(draft, f"{path}/{name}")
-
-
-def _written(folder: str, path: str, end: int):
+def _written(path: str, end: int):
     this_run = uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, part = encoder_of(this_run, path), TaskContext.get().partitionId()
-        ids, counts, tokens, held, files = [], [], [], 0, []
+        ids, counts, tokens, held, number = [], [], [], 0, 0
 
-        def flush() -> None:
-            nonlocal ids, counts, tokens, held
+        def flush() -> Iterator[pa.RecordBatch]:
+            nonlocal ids, counts, tokens, held, number
             if ids:
-                name = f"{part:08d}-{len(files):06d}.tok"
-                _save(folder, name, encode_file(ids, counts, np.concatenate(tokens)))
-                files.append((name, len(ids), held))
+                row = {"part": part, "number": number, "documents": len(ids), "ids": held, "content": encode_file(ids, counts, np.concatenate(tokens))}
+                yield pa.RecordBatch.from_pylist([row], pa.schema([*((c, pa.int64()) for c in MANIFEST), ("content", pa.binary())]))
+                number += 1
             ids, counts, tokens, held = [], [], [], 0
 
         for batch in slices("text", PIECE)(batches):
             some, n = encoder.ids(batch.column("text"), end)
             if held + len(some) > FILE_IDS:
-                flush()
+                yield from flush()
             ids += batch.column("doc_id").to_pylist()
             counts += n.tolist()
             tokens.append(some)
             held += len(some)
-        flush()
-        yield pa.RecordBatch.from_pydict(
-            {"file": [f[0] for f in files], "documents": [f[1] for f in files], "ids": [f[2] for f in files]},
-            schema=pa.schema([("file", pa.string()), ("documents", pa.int64()), ("ids", pa.int64())]),
-        )
+        yield from flush()
 
     return run
 
 
 def write_tokens(docs: DataFrame, tokenizer: str, folder: str, end: int = 0) -> DataFrame:
-    """Write the ids of all texts to `folder` in ascending doc_id order; returns the manifest (file, documents, ids).
+    """Write the ids of all texts to `folder` in ascending doc_id order; returns the manifest (part, number, documents, ids).
 
-    `tokenizer` is a byte-level tokenizers file that every worker has, `folder` a URI that all
-    workers share. Files follow each other by name. Null text is empty; a null doc_id comes first;
-    repeated doc_ids are ordered by text. An empty table writes no file. Other columns are not read.
+    `tokenizer` is a byte-level tokenizers file that every worker has, `folder` any place that Spark
+    can write to. A token file is a row (its bytes in `content`) of a table that Spark writes, so that its
+    commit takes care of tasks that fail or run twice; files follow each other by part and number, and a
+    part holds 512 MB of text, or less where that would leave cores idle. Null text is empty; a null doc_id
+    comes first; repeated doc_ids are ordered by text. An empty table writes no file. Other columns are not read.
     """
-    ship(docs.sparkSession)
+    spark = docs.sparkSession
+    ship(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     order = ["doc_id", F.xxhash64("text"), "text"]
-    dealt = rows.repartitionByRange(partitions_for(size, PARTITION_BYTES), *order[:2]).sortWithinPartitions(*order)
-    return stage(dealt.mapInArrow(_written(folder, tokenizer, end), "file string, documents long, ids long"), "token-manifest")
+    least = min(4 * spark.sparkContext.defaultParallelism, partitions_for(size, LEAST_BYTES))
+    dealt = rows.repartitionByRange(partitions_for(size, PARTITION_BYTES, max(1, least)), *order[:2]).sortWithinPartitions(*order)
+    before = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        dealt.mapInArrow(_written(tokenizer, end), FILES).write.option("compression", "none").parquet(folder)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    return spark.read.schema(FILES).parquet(folder).select(*MANIFEST)
 
 
 def _decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for path, data in zip(batch.column("path").to_pylist(), batch.column("content")):
+        for part, number, data in zip(batch.column("part").to_pylist(), batch.column("number").to_pylist(), batch.column("content")):
             ids, counts, tokens = decode_file(data.as_buffer().to_pybytes())
             raw, ends = tokens.astype("<u4").tobytes(), np.cumsum(counts)
             crc = [zlib.crc32(raw[4 * (e - n) : 4 * e]) for e, n in zip(ends.tolist(), counts.tolist())]
+            n = len(ids)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([path.rsplit("/", 1)[-1]] * len(ids)), pa.array([None if i == NO_ID else i for i in ids.tolist()], pa.int64()), pa.array(ends - counts), pa.array(counts), pa.array(crc, pa.int64())],
-                names=["file", "doc_id", "within", "n_tokens", "ids_crc32"],
+                [pa.array(np.full(n, part)), pa.array(np.full(n, number)), pa.array([None if i == NO_ID else i for i in ids.tolist()], pa.int64()), pa.array(ends - counts), pa.array(counts), pa.array(crc, pa.int64())],
+                names=["part", "number", "doc_id", "within", "n_tokens", "ids_crc32"],
             )
 
 
 def read_tokens(spark: SparkSession, folder: str, manifest: DataFrame) -> DataFrame:
     """Per document in the files: doc_id, start (ids before it in all files), n_tokens, ids_crc32."""
     ship(spark)
-    before = F.sum("ids").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1))  # a row per file
-    starts = stage(manifest.select("file", F.coalesce(before, F.lit(0)).alias("before")), "token-starts")
-    if starts.isEmpty():
-        return spark.createDataFrame([], "doc_id long, start long, n_tokens long, ids_crc32 long")
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.tok").load(folder).select("path", "content")
-    rows = files.mapInArrow(_decoded, "file string, doc_id long, within long, n_tokens long, ids_crc32 long")
-    return rows.join(starts, "file").select("doc_id", (F.col("before") + F.col("within")).alias("start"), "n_tokens", "ids_crc32")
+    before = F.sum("ids").over(Window.orderBy("part", "number").rowsBetween(Window.unboundedPreceding, -1))  # a row per file
+    starts = stage(manifest.select("part", "number", F.coalesce(before, F.lit(0)).alias("before")), "token-starts")
+    files = spark.read.schema(FILES).parquet(folder).select("part", "number", "content")
+    rows = files.mapInArrow(_decoded, "part long, number long, doc_id long, within long, n_tokens long, ids_crc32 long")
+    # A file holds so many ids that a row per file is small beside them.
+    return rows.join(broadcast_if_small(starts, 40), ["part", "number"]).select("doc_id", (F.col("before") + F.col("within")).alias("start"), "n_tokens", "ids_crc32")
