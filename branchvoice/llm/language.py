@@ -250,7 +250,9 @@ def identified(docs: DataFrame, learn: Column | None = None) -> DataFrame:
     """Per document: doc_id, lang_pred, score (how far the best language is ahead of the next, 0 to 1).
 
     Languages and their phrases come from rows with a non-null lang where `learn` holds (default:
-    not held out). `und` with score 0 where the text is null or has no letter, or where nothing
+    not held out): up to 64 rows of a language, chosen by hash, 4,000 characters of a row, 40,000 symbols
+    of a language and 240,000 of all, so beyond six languages each has an equal part of those. Whole
+    texts are parsed, of any length, in pieces of 1,024 symbols at whose ends a phrase ends. `und` with score 0 where the text is null or has no letter, or where nothing
     could be learned; with one language known, score 1. Ties go to the first language by name.
     Predictions see the text alone. Repeated rows are predicted one by one; an empty table gives
     no rows; other columns are not read.

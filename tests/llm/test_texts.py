@@ -315,6 +315,12 @@ def test_the_filter_before_the_random_model_lets_every_match_through(make):
     assert passed >= {i for i, t in enumerate(texts) if secret_scan.base_spans(t)} and len(passed) < 300
 
 
+def test_languages_that_tie_go_by_name(make):
+    rows = [(i, prose(i // 2, 60), ("zz", "aa")[i % 2], "s") for i in range(40)]
+    got = language.identified(make(rows), learn=F.lit(True)).collect()
+    assert {r.lang_pred for r in got} == {"aa"} and all(r.score == 0 for r in got)
+
+
 # Tokens
 
 @pytest.fixture(scope="module")
