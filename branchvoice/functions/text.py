@@ -132,14 +132,23 @@ def _stem_rule(region: str, endings: str, instead: str) -> tuple[str, str]:
     return rf"^({stem})(?:{endings})\z", f"$1{instead}"
 
 
+def _last_letters(endings: str) -> list[str]:
+    """Letters that a word with one of the endings ends in."""
+    found = set()
+    for ending in endings.split("|"):
+        found |= {ending[-2], ending[-3]} if ending.endswith("?") else {ending[-1]}
+    return sorted(found)
+
+
 def _one_round(word: Column, step: list[tuple[str, str, str]]) -> Column:
-    """The first rule that fits takes off its longest ending in its region of the word."""
-    found = [_stem_rule(*rule) for rule in step]
-    if len(found) == 1:
-        return F.regexp_replace(word, *found[0])
-    chosen = F
-    for pattern, replaced in found:
-        chosen = chosen.when(word.rlike(pattern), F.regexp_replace(word, pattern, replaced))
+    """The first rule that fits takes off its longest ending in its region of the word; its last letter is looked at first."""
+    chosen, last = F, F.right(word, F.lit(1))
+    for rule in step:
+        pattern, replaced = _stem_rule(*rule)
+        fits = word.rlike(pattern)
+        if rule[0] != "front":
+            fits = last.isin(_last_letters(rule[1])) & fits
+        chosen = chosen.when(fits, F.regexp_replace(word, pattern, replaced))
     return chosen.otherwise(word)
 
 
