@@ -108,3 +108,23 @@ def test_a_changed_table_gets_a_new_fit(spark, tmp_path, monkeypatch):
     part.rename(part.with_name("incomplete"))
     topics.saved_topic_models(frame(rows), folder)
     assert len(fits) in (2, 3)
+
+
+def test_stems_are_made_once_for_the_filter_and_the_rows(spark):
+    rows = [(1, "services services rapides", "fr"), (2, "الخدمات ممتازة", "ar"), (3, "le", "fr"), (4, "services rapides", "mixed"), (5, "guichets banque et", "fr")]
+    prepared = topics.prep_corpus(spark.createDataFrame(rows, "id long, avis string, langue string"))
+    assert {r["id"]: r["words"] for r in prepared.collect()} == {1: ["servic", "servic", "rapid"], 2: ["خدم", "ممتاز"], 5: ["guichet"]}
+    plan = prepared._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace(regexp_replace(") == len(topics.LANGUAGES)
+
+
+def test_stems_of_lists_with_gaps(spark):
+    words = spark.createDataFrame([(1, ["services", None, "services"]), (2, None), (3, []), (4, ["", "rapides"])], "id long, words array<string>")
+    got = {r["id"]: r["s"] for r in words.coalesce(1).select("id", text.stem_tokens(F.col("words"), "fr").alias("s")).collect()}
+    assert got == {1: ["servic", None, "servic"], 2: None, 3: [], 4: ["", "rapid"]}
+
+
+def test_a_full_memory_of_stems_changes_nothing(spark, monkeypatch):
+    monkeypatch.setattr(text, "KNOWN_STEMS", 1)
+    words = spark.createDataFrame([(["services", "rapides", "services"],)], "words array<string>")
+    assert words.select(text.stem_tokens(F.col("words"), "fr").alias("s")).first()["s"] == ["servic", "rapid", "servic"]
