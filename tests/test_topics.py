@@ -1,9 +1,10 @@
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from branchvoice.functions import dates, sql, text
 from branchvoice.plans import topics
-from registry.queries import AS_OF, Build
+from registry.queries import AS_OF, QUERIES, Build
 
 
 @pytest.fixture(scope="module")
@@ -128,3 +129,34 @@ def test_a_full_memory_of_stems_changes_nothing(spark, monkeypatch):
     monkeypatch.setattr(text, "KNOWN_STEMS", 1)
     words = spark.createDataFrame([(["services", "rapides", "services"],)], "words array<string>")
     assert words.select(text.stem_tokens(F.col("words"), "fr").alias("s")).first()["s"] == ["servic", "rapid", "servic"]
+
+
+def test_vocabulary_equals_the_count_of_all_terms(spark, monkeypatch):
+    """Brute force, with pairs above and below the last word's count, ties, and a word that is in nearly all documents."""
+    lists = [["tout", *[f"m{(i * k) % 11}" for k in range(1, 5)], "tout"][: 2 + i % 5] for i in range(60)]
+    docs = spark.createDataFrame(list(enumerate(lists)), "id long, words array<string>")
+    found = [[*w, *[f"{a} {b}" for a, b in zip(w, w[1:])]] for w in lists]
+    counts = {t: (sum(t in f for f in found), sum(f.count(t) for f in found)) for f in found for t in f}
+    used = sorted((-n, t, d) for t, (d, n) in counts.items() if 2 <= d <= 48)
+    for size in (1, 5, 11, 20, 1000):
+        for frequent in (10, 0):
+            monkeypatch.setattr(topics, "FREQUENT", frequent)
+            got = [(-r["occurrences"], r["term"], r["documents"]) for r in topics.vocabulary(docs, 60, size).collect()]
+            assert got == used[:size]
+
+
+def test_rare_words_are_left_out_of_pairs(spark, monkeypatch):
+    seen, pairs = [], topics.pairs
+    monkeypatch.setattr(topics, "pairs", lambda words, among=None: seen.append(among) or pairs(words, among))
+    docs = spark.createDataFrame([(i, ["guichet", "frais", f"rare{i // 2}"][: 2 + i % 2]) for i in range(12)] + [(12, ["autre"])] * 4, "id long, words array<string>")
+    got = {r["term"]: (r["documents"], r["occurrences"]) for r in topics.vocabulary(docs, 16, 2).collect()}
+    assert got == {"frais": (12, 12), "guichet": (12, 12)} and [sorted(x) for x in seen] == [["frais", "guichet"]]
+
+
+def test_a_vocabulary_is_counted_once(spark, monkeypatch):
+    calls, count = [], topics.vocabulary
+    monkeypatch.setattr(topics, "vocabulary", lambda *a: calls.append(1) or count(*a))
+    for name in ("topic_vocabulary", "topic_names_of_terms"):
+        calls.clear()
+        rows = QUERIES[name](spark, "/root/testdata/sf0.001").groupBy("langue").count().collect()
+        assert len(calls) == len(rows) > 0
