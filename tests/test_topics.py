@@ -153,6 +153,16 @@ def test_rare_words_are_left_out_of_pairs(spark, monkeypatch):
     assert got == {"frais": (12, 12), "guichet": (12, 12)} and [sorted(x) for x in seen] == [["frais", "guichet"]]
 
 
+def test_weights_come_from_the_stored_parts(spark):
+    from pyspark.ml.linalg import Vectors
+
+    known = [Row(term=t) for t in "abc"]
+    vectors = spark.createDataFrame([(1, Vectors.sparse(3, [0, 2], [0.6, 0.8])), (2, Vectors.dense([0.0, 1.0, 0.0])), (3, Vectors.sparse(3, [], []))], ["id", "features"])
+    weights = topics.weights(vectors, known)
+    assert {tuple(r) for r in weights.collect()} == {(1, "a", 0.6), (1, "c", 0.8), (2, "b", 1.0)}
+    assert "UDF(" not in weights._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_a_vocabulary_is_counted_once(spark, monkeypatch):
     calls, count = [], topics.vocabulary
     monkeypatch.setattr(topics, "vocabulary", lambda *a: calls.append(1) or count(*a))
