@@ -170,3 +170,79 @@ def test_a_vocabulary_is_counted_once(spark, monkeypatch):
         calls.clear()
         rows = QUERIES[name](spark, "/root/testdata/sf0.001").groupBy("langue").count().collect()
         assert len(calls) == len(rows) > 0
+
+
+@pytest.fixture(scope="module")
+def dealt_vectors(spark):
+    rows = [(i, [f"m{(i * j + j // 3) % 23}" for j in range(1, 3 + i % 9)] if i % 17 else [f"only{i}"]) for i in range(300)]
+    docs = spark.createDataFrame(rows, "id long, words array<string>")
+    known = topics.vocabulary(docs, 300).orderBy(F.desc("occurrences"), "term").collect()
+    return topics.stored(topics.dealt(topics.tfidf(docs, known, 300)), "vectors", "batch")
+
+
+def test_blocks_are_inferred_as_by_sparks_lda(dealt_vectors):
+    """The same topics given, every document has the shares that Spark's own model finds one by one."""
+    from pyspark.ml.clustering import LDA
+    from pyspark.ml.functions import vector_to_array
+
+    lda = LDA(k=8, seed=42, optimizer="online", maxIter=5, subsamplingRate=0.5, docConcentration=[0.125], optimizeDocConcentration=False, featuresCol="features")
+    model = lda.fit(dealt_vectors)
+    want = {r["id"]: r["p"] for r in model.transform(dealt_vectors).select("id", vector_to_array("topicDistribution").alias("p")).collect()}
+    got = {r["id"]: r for r in topics.assign_topics(model.topicsMatrix().toArray().T, dealt_vectors).collect()}
+    assert got.keys() == want.keys()
+    found = {i: (r["topic_id"], float(r["topic_probability"])) for i, r in got.items()}
+    assert all(found[i] == (0, 0.125) for i, p in want.items() if sum(p) == 0)
+    # Both stop at the same small change, from different starts: some documents settle a little apart.
+    near = [abs(p[found[i][0]] - max(p)) < 0.02 and abs(found[i][1] - max(p)) < 0.02 for i, p in want.items() if sum(p)]
+    assert sum(near) > 0.95 * len(near) > 0
+
+
+def test_an_update_reads_its_own_part_only(spark, dealt_vectors, monkeypatch):
+    read, cells = [], topics._cells
+    monkeypatch.setattr(topics, "_cells", lambda frame, *more: read.append(frame) or cells(frame, *more))
+    model = topics.fit_topics(dealt_vectors, passes=2)
+    assert len(read) == 2 * topics.BATCHES and sum(f.count() for f in read) == 2 * dealt_vectors.count() == 600
+    assert all("PartitionFilters: [isnotnull(batch" in f._jdf.queryExecution().executedPlan().toString() for f in read)
+    assert sorted(r["id"] for f in read[: topics.BATCHES] for r in f.select("id").collect()) == list(range(300))
+    # Rows in another order and other files lie in the same parts.
+    again = topics.stored(topics.dealt(dealt_vectors.drop("batch").orderBy(F.desc("id")).repartition(7)), "vectors", "batch")
+    assert abs(topics.fit_topics(again, passes=2) - model).max() < 1e-9
+
+
+def test_parts_without_documents_are_passed_over(spark, dealt_vectors):
+    few = topics.dealt(dealt_vectors.drop("batch").filter("id in (1, 2)"))
+    assert topics.fit_topics(few, passes=1).shape[0] == 8
+
+
+def test_topics_of_a_document_do_not_depend_on_its_block(monkeypatch):
+    import numpy as np
+
+    from branchvoice.functions import inference
+
+    rng = np.random.default_rng(3)
+    sizes = rng.integers(0, 9, 200)
+    docs = inference.Documents(rng.integers(0, 30, sizes.sum()), rng.random(sizes.sum()), sizes)
+    likely = inference.exp_expected_log(rng.gamma(1.0, 1.0, (8, 30))).T
+    counts, _ = inference.topic_counts(docs, likely, 0.125)
+    sums = inference.word_statistics(docs, likely, 0.125)
+    for block in (1, 7, 1000):
+        monkeypatch.setattr(inference, "BLOCK", block)
+        assert (inference.topic_counts(docs, likely, 0.125)[0] == counts).all()
+    for i in np.flatnonzero(sizes):
+        cells = docs.cells(np.array([i]))
+        share = inference.exp_expected_log(counts[i : i + 1])[0]
+        words, w = likely[docs.places[cells]], docs.weights[cells]
+        ratio = w / (words @ share)
+        # Settled: one more round changes little.
+        assert np.abs(0.125 + share * (ratio @ words) - counts[i]).mean() < 2e-3
+        np.subtract.at(sums, docs.places[cells], words * share * ratio[:, None])
+    assert np.abs(sums).max() < 1e-9 and (counts[sizes == 0] == 1).all()
+
+
+def test_digamma():
+    import numpy as np
+
+    from branchvoice.functions import inference
+
+    got = [np.log(y) + r for y, r in [inference._digamma_parts(np.array([0.125, 1.0, 3.5, 50.0, 1e6]))]][0]
+    assert np.abs(got - [-8.388492663295854, -0.5772156649015329, 1.1031566406452432, 3.901989673427892, 13.815510057964191]).max() < 1e-10
