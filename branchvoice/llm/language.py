@@ -9,7 +9,8 @@ from __future__ import annotations
 
 import unicodedata
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -57,20 +58,46 @@ def labelled_sample(docs: DataFrame, learn: Column) -> list:
     return window.orderBy("lang", "h").collect()
 
 
-def _marks() -> list[int]:
-    """Code points of combining marks: vowel signs, tone marks, accents."""
-    return [c for c in range(0x300, 0x110000) if unicodedata.category(chr(c))[0] == "M"]
+@cache
+def _kinds() -> np.ndarray:
+    """By code point: 1 for letters, 2 for combining marks (vowel signs, tone marks, accents), 0 for others."""
+    kinds = np.fromiter((chr(c).isalpha() for c in range(0x110000)), np.int8, 0x110000)
+    kinds[[c for c in range(0x300, 0x110000) if unicodedata.category(chr(c))[0] == "M"]] = 2
+    return kinds
+
+
+@cache
+def _lowered() -> tuple[np.ndarray, np.ndarray]:
+    """Code points with another code point as lower case, and those."""
+    pairs = [(c, ord(low)) for c in range(0x20000) if len(low := chr(c).lower()) == 1 and ord(low) != c]
+    return tuple(np.array(pairs).T)
+
+
+def _texts(sample: Iterable) -> dict[str, list[str]]:
+    """Texts of a sample by language."""
+    texts: dict[str, list[str]] = {}
+    for row in sample:
+        texts.setdefault(row["lang"], []).append(row["text"])
+    return texts
+
+
+def _share(languages: int) -> int:
+    """Symbols that each of so many languages learns at most."""
+    return min(SYMBOLS, ALL_SYMBOLS // max(1, languages))
 
 
 class Parser:
-    """Automata of all languages as one transition table and a list of the steps by rare symbols."""
+    """Automata of all languages as lists of their steps; the table of the steps by common symbols is made where texts are parsed.
+
+    `most` bounds the symbols of a language. The automata are built one after the other, so that the
+    objects of one alone are in memory. The table takes 256 bytes a state, the lists about 12: the
+    driver makes no table of all languages and sends none.
+    """
 
-    def __init__(self, sample: list) -> None:
+    def __init__(self, sample: list, most: int | None = None) -> None:
         #: Phrases a letter that explain a text, by language; None: every text with a letter is explained.
         self.bounds: dict[str, float] | None = None
-        texts: dict[str, list[str]] = {}
-        for row in sample:
-            texts.setdefault(row["lang"], []).append(row["text"])
+        texts = _texts(sample)
         self.languages = sorted(texts)
         counts: dict[str, int] = {}
         for own in texts.values():
@@ -80,53 +107,71 @@ class Parser:
                     counts[c] = counts.get(c, 0) + n
         self.letters = sorted(counts, key=lambda c: (-counts[c], c))
         self.alphabet = len(self.letters) + 3
-        tables, self.roots, self.bits, base = [], [], [], 0
-        keys, goals = [], []
-        most = min(SYMBOLS, ALL_SYMBOLS // max(1, len(self.languages)))
+        self.roots, self.bits, self.states = [], [], 0
+        common, rare = [], []
+        most = _share(len(self.languages)) if most is None else most
         for language in self.languages:
-            automaton, size = SuffixAutomaton(), 0
-            for text in texts[language]:
-                symbols, _ = self.symbols([text])
-                automaton.add(symbols[: most - size].tolist())
-                size = min(most, size + len(symbols))
-                if size == most:
-                    break
-            table = np.full((len(automaton.next), DENSE), -1, np.int32)
-            for state, edges in enumerate(automaton.next):
-                for symbol, to in edges.items():
-                    if not isinstance(symbol, int):
-                        continue
-                    if symbol < DENSE:
-                        table[state, symbol] = to
-                    else:
-                        keys.append((base + state) * self.alphabet + symbol)
-                        goals.append(base + to)
-            restart = np.where(table[0] < 0, 0, table[0])
-            # A step that starts a new phrase is stored as the complement of the state it leads to.
-            tables.append(np.where(table < 0, ~(restart + base), table + base).astype(np.int32))
-            self.roots.append(base)
+            state, symbol, to, states, size = self._grown(texts[language], most)
+            state, to, dense = state + self.states, to + self.states, symbol < DENSE
+            common.append((state[dense] * DENSE + symbol[dense], to[dense]))
+            rare.append((state[~dense] * self.alphabet + symbol[~dense], to[~dense]))
+            self.roots.append(self.states)
             self.bits.append(np.log2(max(2, size)))
-            base += len(table)
-        self.table = np.concatenate(tables).ravel() if tables else np.zeros(0, np.int32)
-        order = np.argsort(np.array(keys, np.int64))
+            self.states += states
+        empty = np.zeros(0, np.int64)
+        #: Steps by symbols below DENSE: their cells in the table, and the states they lead to.
+        self.cells = np.concatenate([empty, *(k for k, _ in common)]).astype(np.int32)
+        self.ends = np.concatenate([empty, *(t for _, t in common)]).astype(np.int32)
+        keys, goals = np.concatenate([empty, *(k for k, _ in rare)]), np.concatenate([empty, *(t for _, t in rare)])
+        order = np.argsort(keys)
         # A key and goal above all others end the list.
-        self.keys = np.append(np.array(keys, np.int64)[order], np.iinfo(np.int64).max)
-        self.goals = np.append(np.array(goals, np.int32)[order], 0).astype(np.int32)
+        self.keys = np.append(keys[order], np.iinfo(np.int64).max)
+        self.goals = np.append(goals[order], 0).astype(np.int32)
+
+    def _grown(self, texts: list[str], most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, int, int]:
+        """Steps of a language's automaton (state, symbol, next state), its states and the symbols it holds."""
+        automaton, size = SuffixAutomaton(), 0
+        for text in texts:
+            symbols, _ = self.symbols([text])
+            automaton.add(symbols[: most - size].tolist())
+            size = min(most, size + len(symbols))
+            if size == most:
+                break
+        state = np.repeat(np.arange(len(automaton.next)), [len(edges) for edges in automaton.next])
+        # Steps over the end of a text are no steps of the language.
+        symbol = np.fromiter((s if isinstance(s, int) else -1 for edges in automaton.next for s in edges), np.int64, len(state))
+        to = np.fromiter((t for edges in automaton.next for t in edges.values()), np.int64, len(state))
+        inside = symbol >= 0
+        return state[inside], symbol[inside], to[inside], len(automaton.next), size
+
+    def _steps(self) -> np.ndarray:
+        """State by state and symbol below DENSE, where the step leads; made once per process.
+
+        A step that starts a new phrase is stored as the complement of the state it leads to.
+        """
+        if not hasattr(self, "_table"):
+            table = np.empty(self.states * DENSE, np.int32)
+            state = self.cells // DENSE  # in ascending order
+            for root, end in zip(self.roots, [*self.roots[1:], self.states]):
+                start = np.full(DENSE, root, np.int32)
+                own = slice(*np.searchsorted(state, [root, root + 1]))
+                start[self.cells[own] - root * DENSE] = self.ends[own]
+                table[root * DENSE : end * DENSE].reshape(-1, DENSE)[:] = ~start
+            table[self.cells] = self.ends
+            self._table = table
+        return self._table
 
     def _codes(self) -> np.ndarray:
         if not hasattr(self, "_symbol_of"):
-            of = np.fromiter((self.alphabet - 2 if chr(c).isalpha() else 0 for c in range(0x110000)), np.int32, 0x110000)
-            of[_marks()] = self.alphabet - 1
-            for i, letter in enumerate(self.letters):
-                of[ord(letter)] = i + 1
-            for c in range(0x20000):
-                if len(low := chr(c).lower()) == 1 and ord(low) != c:
-                    of[c] = of[ord(low)]
+            of = np.array([0, self.alphabet - 2, self.alphabet - 1], np.int32)[_kinds()]
+            of[[ord(c) for c in self.letters]] = np.arange(1, len(self.letters) + 1)
+            upper, lower = _lowered()
+            of[upper] = of[lower]
             self._symbol_of = of
         return self._symbol_of
 
     def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k != "_symbol_of"}
+        return {k: v for k, v in self.__dict__.items() if k not in ("_symbol_of", "_table")}
 
     def symbols(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Symbols of all texts, runs of 0 made one, and where each text starts."""
@@ -156,6 +201,7 @@ class Parser:
     def phrases(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Phrases by text and language, and letters by text."""
         symbols, starts = self.symbols(texts)
+        table = self._steps()
         n, kinds = len(texts), len(self.languages)
         letters = np.diff(np.concatenate([[0], np.cumsum(self._is_letter()[symbols])])[starts])
         sizes = np.diff(starts)
@@ -172,7 +218,7 @@ class Parser:
         for step in range(int(length.max(initial=0))):
             k = alive[step]
             symbol = symbols[begin[:k] + step]
-            to = self.table[state[:k] * DENSE + np.minimum(symbol, DENSE - 1)[:, None]]
+            to = table[state[:k] * DENSE + np.minimum(symbol, DENSE - 1)[:, None]]
             rare = np.flatnonzero(symbol >= DENSE)
             if len(rare):
                 to[rare] = self._rare(state[rare], symbol[rare])
@@ -193,13 +239,14 @@ def bounds(sample: list) -> dict[str, float]:
     halves = sample[::2], sample[1::2]
     worst: dict[str, float] = {}
     for own, other in (halves, halves[::-1]):
-        parser = Parser(own)
-        column = {k: i for i, k in enumerate(parser.languages)}
-        phrases, letters = parser.phrases([row["text"] for row in other])
-        for i, row in enumerate(other):
-            if row["lang"] in column and letters[i]:
-                rate = float(phrases[i, column[row["lang"]]]) / float(letters[i])
-                worst[row["lang"]] = max(worst.get(row["lang"], LEAST_RATE), TIMES * rate)
+        known, texts = {row["lang"] for row in own}, _texts(other)
+        for language in sorted(known & texts.keys()):
+            # The automaton of one language at a time: a letter it lacks ends a phrase, whether other languages have it or not.
+            parser = Parser([row for row in own if row["lang"] == language], _share(len(known)))
+            phrases, letters = parser.phrases(texts[language])
+            for n, m in zip(phrases[:, 0].tolist(), letters.tolist()):
+                if m:
+                    worst[language] = max(worst.get(language, LEAST_RATE), TIMES * (n / m))
     return worst
 
 

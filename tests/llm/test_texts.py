@@ -1,6 +1,8 @@
 import hashlib
+import pickle
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -153,6 +155,45 @@ def test_steps_by_rare_symbols_and_case():
     assert parser.phrases(["\u0301 \u0301"])[1][0] == 0
 
 
+def spoken(languages, rows, size):
+    """A sample as labelled rows give it: each language with letters of its own, common and rare ones."""
+    draw, sample = random.Random(5), []
+    for k in range(languages):
+        letters = [chr(0x61 + (7 * k + i) % 26) for i in range(12)] + [chr(0x4E00 + 40 * k + i) for i in range(60)] + ["\u0301", " ", "\u0130", "A"]
+        sample += [{"lang": f"l{k}", "text": "".join(draw.choices(letters, k=size))} for _ in range(rows)]
+    return sample
+
+
+def test_driver_holds_no_table_of_all_languages():
+    sample = spoken(6, 8, 1000)
+    language.Parser(sample[:2]).phrases(["a"])  # what a process makes once
+    tracemalloc.start()
+    try:
+        parser = language.Parser(sample)
+        parser.bounds = language.bounds(sample)
+        peak = tracemalloc.get_traced_memory()[1]
+        sent = len(pickle.dumps(parser))
+        parser.phrases(["abc"])
+        assert len(pickle.dumps(parser)) == pytest.approx(sent, rel=0.01)
+    finally:
+        tracemalloc.stop()
+    table = 6 * 8 * 1000 * language.DENSE * 4  # with a state for each symbol, the fewest there can be
+    assert peak < 3 * table and sent < table / 4
+
+
+def test_bounds_of_one_language_are_those_among_all():
+    sample = spoken(5, 6, 300) + [{"lang": "m", "text": "1 2"}, {"lang": "m", "text": "\u0301"}, {"lang": "n", "text": "alone"}]
+    worst = {}
+    for own, other in ((sample[::2], sample[1::2]), (sample[1::2], sample[::2])):
+        parser = language.Parser(own)
+        phrases, letters = parser.phrases([row["text"] for row in other])
+        for row, n, m in zip(other, phrases, letters):
+            if row["lang"] in parser.languages and m:
+                rate = n[parser.languages.index(row["lang"])] / m
+                worst[row["lang"]] = max(worst.get(row["lang"], language.LEAST_RATE), language.TIMES * rate)
+    assert language.bounds(sample) == worst and len(worst) == 5
+
+
 def test_unlearned_languages_go(make):
     rows = [(i, prose(i, 150, "fr" if i % 2 else "en"), "fr" if i % 2 else "en", "s") for i in range(60)]
     draw = random.Random(1)
